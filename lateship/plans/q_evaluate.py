@@ -1 +1,72 @@
-"""Queries registered later."""
+"""Evaluation queries on the fixed-score table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import evaluate
+from ..sources.fixtures import predictions
+from .oracle import with_fixtures
+from .registry import query
+
+
+@query("score_fixed_logit", with_fixtures("SELECT * FROM predictions", "predictions"))
+def score_fixed_logit(spark, sf_dir):
+    return predictions(spark, sf_dir)
+
+
+@query("confusion_matrix", with_fixtures("""
+SELECT CAST(late_delivery_risk AS DOUBLE) AS actual, prediction AS predicted, count(*) AS n
+FROM predictions GROUP BY ALL""", "predictions"))
+def confusion_matrix(spark, sf_dir):
+    return evaluate.confusion_counts(predictions(spark, sf_dir))
+
+
+@query("confusion_matrix_square", with_fixtures("""
+SELECT CAST(late_delivery_risk AS DOUBLE) AS actual,
+       count(*) FILTER (WHERE prediction = 0.0) AS pred_0,
+       count(*) FILTER (WHERE prediction = 1.0) AS pred_1
+FROM predictions GROUP BY ALL""", "predictions"))
+def confusion_matrix_square(spark, sf_dir):
+    return evaluate.confusion_square(predictions(spark, sf_dir))
+
+
+_METRICS_CTES = """
+conf AS (SELECT CAST(late_delivery_risk AS DOUBLE) AS actual, prediction AS predicted, count(*) AS n
+         FROM predictions GROUP BY ALL),
+cls AS (SELECT a.actual,
+               sum(n) AS support,
+               sum(n) FILTER (WHERE actual = predicted) AS tp,
+               (SELECT coalesce(sum(n), 0) FROM conf c2 WHERE c2.predicted = a.actual) AS pred_n
+        FROM conf a GROUP BY a.actual),
+m AS (SELECT *, CASE WHEN pred_n > 0 THEN tp / pred_n ELSE 0.0 END AS precision,
+             tp / support AS recall, support / (SELECT sum(n) FROM conf) AS wt FROM cls)"""
+_METRICS = """
+SELECT round(sum(tp) / (SELECT sum(n) FROM conf), 9) AS accuracy,
+       round(sum(wt * precision), 9) AS weighted_precision,
+       round(sum(wt * recall), 9) AS weighted_recall,
+       round(sum(wt * CASE WHEN precision + recall > 0
+                           THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END), 9) AS weighted_f1
+FROM m"""
+
+
+@query("classification_metrics", with_fixtures(_METRICS, "predictions", extra=_METRICS_CTES))
+def classification_metrics(spark, sf_dir):
+    m = evaluate.classification_metrics(predictions(spark, sf_dir))
+    return m.select(*[F.round(c, 9).alias(c) for c in m.columns])
+
+
+_AUC_CTES = """
+g AS (SELECT score AS s, sum(CASE WHEN late_delivery_risk = 1 THEN 1 ELSE 0 END) AS pos,
+             sum(CASE WHEN late_delivery_risk = 1 THEN 0 ELSE 1 END) AS neg
+      FROM predictions WHERE score IS NOT NULL AND late_delivery_risk IS NOT NULL GROUP BY score),
+c AS (SELECT *, sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS neg_le FROM g)"""
+
+
+@query("auc_roc_exact", with_fixtures("""
+SELECT round(sum(pos * (neg_le - neg + neg / 2.0)) / (sum(pos) * sum(neg)), 9) AS auc,
+       CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM c""",
+    "predictions", extra=_AUC_CTES))
+def auc_roc_exact(spark, sf_dir):
+    a = evaluate.auc_roc_exact(predictions(spark, sf_dir))
+    return a.select(F.round("auc", 9).alias("auc"), "n_pos", "n_neg")
