@@ -110,17 +110,32 @@ city_names AS (
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
 )"""
 
-CTES["enriched"] = """
-enriched AS (
-  SELECT o.*, g.dest_lat, g.dest_lon,
-         2 * 6371.0 * asin(sqrt(least(1.0,
-             pow(sin((radians(o.latitude) - radians(g.dest_lat)) / 2), 2)
-             + cos(radians(g.dest_lat)) * cos(radians(o.latitude))
-               * pow(sin((radians(o.longitude) - radians(g.dest_lon)) / 2), 2)))) AS distance_km
-  FROM order_items o
-  LEFT JOIN gazetteer g
-    ON o.order_city IS NOT DISTINCT FROM g.order_city
-   AND o.order_state IS NOT DISTINCT FROM g.order_state
+
+def _enriched(name: str, items: str) -> str:
+    return f"""
+{name} AS (
+  SELECT * EXCLUDE (a),
+         2 * 6371.0 * asin(sqrt(CASE WHEN isnan(a) THEN a ELSE least(1.0, a) END)) AS distance_km
+  FROM (
+    SELECT o.*, g.dest_lat, g.dest_lon,
+           pow(sin((radians(o.latitude) - radians(g.dest_lat)) / 2), 2)
+           + cos(radians(g.dest_lat)) * cos(radians(o.latitude))
+             * pow(sin((radians(o.longitude) - radians(g.dest_lon)) / 2), 2) AS a
+    FROM {items} o
+    LEFT JOIN gazetteer g
+      ON o.order_city IS NOT DISTINCT FROM g.order_city
+     AND o.order_state IS NOT DISTINCT FROM g.order_state
+  )
+)"""
+
+
+CTES["enriched"] = _enriched("enriched", "order_items")
+CTES["enriched_nulls"] = _enriched("enriched_nulls", "order_items_nulls")
+CTES["model_input"] = """
+model_input AS (
+  SELECT order_id, line_no, latitude, longitude, distance_km,
+         shipping_mode, order_region, order_state, late_delivery_risk
+  FROM enriched_nulls WHERE late_delivery_risk IS NOT NULL
 )"""
 
 # Which fixtures each fixture needs (emitted in this order).
@@ -128,9 +143,12 @@ DEPENDS = {
     "order_items_nulls": ["order_items"],
     "predictions": ["order_items"],
     "enriched": ["order_items", "gazetteer"],
+    "enriched_nulls": ["order_items_nulls", "gazetteer"],
+    "model_input": ["enriched_nulls"],
 }
 ORDER = ["order_items", "order_items_nulls", "gazetteer", "gazetteer_done",
-         "geocode_candidates", "predictions", "city_names", "enriched"]
+         "geocode_candidates", "predictions", "city_names", "enriched",
+         "enriched_nulls", "model_input"]
 
 
 def with_fixtures(body: str, *names: str, extra: str = "") -> str:
