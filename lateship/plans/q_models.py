@@ -1 +1,77 @@
-"""Queries registered later."""
+"""Model queries (M6-M16, S6, W6): checked by rows and unit tests, as a fit
+has no SQL form. Fitted models are memoized per session and data folder so
+that the scoring and reporting queries reuse one fit."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..ml import train as T
+from ..session import shared_dir
+from .q_features import model_input
+from .registry import query
+
+_KEYS = ["order_id", "line_no"]
+_FITS: dict = {}
+
+
+def fitted(spark, sf_dir, name):
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _FITS:
+        _FITS[key] = T.train_and_select(model_input(spark, sf_dir), name, _KEYS)
+    return _FITS[key]
+
+
+def _report(spark, sf_dir, name):
+    r = fitted(spark, sf_dir, name)
+    return T.evaluation_report(T.score(r.model, r.test), name)
+
+
+@query("train_logistic_regression")
+def train_logistic_regression(spark, sf_dir):
+    return _report(spark, sf_dir, "Logistic Regression")
+
+
+@query("train_random_forest")
+def train_random_forest(spark, sf_dir):
+    return _report(spark, sf_dir, "Random Forest")
+
+
+@query("train_gbt")
+def train_gbt(spark, sf_dir):
+    return _report(spark, sf_dir, "Gradient-Boosted Trees (GBT)")
+
+
+@query("cross_validate_grid")
+def cross_validate_grid(spark, sf_dir):
+    return fitted(spark, sf_dir, "Logistic Regression").grid_metrics
+
+
+@query("score_batch")
+def score_batch(spark, sf_dir):
+    r = fitted(spark, sf_dir, "Logistic Regression")
+    return T.score(r.model, r.test).select(*_KEYS, "late_delivery_risk", "prediction")
+
+
+@query("prediction_view")
+def prediction_view(spark, sf_dir):
+    r = fitted(spark, sf_dir, "Logistic Regression")
+    return T.prediction_view(T.score(r.model, r.test))
+
+
+@query("evaluate_model")
+def evaluate_model(spark, sf_dir):
+    return _report(spark, sf_dir, "Logistic Regression")
+
+
+@query("model_save_load_score")
+def model_save_load_score(spark, sf_dir):
+    """Save the best pipeline, load it back, score the test part with both
+    and report agreement per row (``same`` must be true everywhere)."""
+    r = fitted(spark, sf_dir, "Logistic Regression")
+    path = T.save_model(r.model, shared_dir(spark, "models"), r.name)
+    loaded = T.load_model(path)
+    saved = T.score(r.model, r.test).select(*r.test.columns, F.col("prediction").alias("p_saved"))
+    return (T.score(loaded, saved)
+             .select(*_KEYS, "p_saved", F.col("prediction").alias("p_loaded"),
+                     (F.col("p_saved") == F.col("prediction")).alias("same")))
