@@ -166,3 +166,30 @@ def with_fixtures(body: str, *names: str, extra: str = "") -> str:
     if extra:
         parts.append(extra.strip())
     return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+
+
+CTES["events_parsed"] = """
+events_parsed AS (
+  SELECT strftime(order_ts, '%Y-%m-%d %H:%M:%S') AS order_date, order_city, order_state,
+         customer_segment, shipping_mode, market, order_region, category_name,
+         department_name, product_status, order_item_quantity, order_item_total,
+         order_profit, discount_rate, latitude, longitude, days_scheduled
+  FROM order_items
+  UNION ALL
+  SELECT '2001-01-01 00:00:00', 'CITY_' || CAST(n_nationkey AS VARCHAR), NULL, 'Consumer',
+         'Standard Class', NULL, NULL, NULL, NULL, NULL, n_nationkey,
+         CAST(n_nationkey * 1.5 AS DOUBLE), 1.0, CAST(n_nationkey AS DOUBLE),
+         CAST(-n_nationkey AS DOUBLE), NULL
+  FROM nation
+  UNION ALL
+  SELECT NULL, n_name, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+         NULL, NULL, NULL, NULL FROM nation
+  UNION ALL
+  SELECT NULL, n_name, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+         NULL, NULL, NULL, NULL FROM nation
+  UNION ALL
+  SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+         NULL, NULL, NULL, NULL FROM region, (VALUES (1), (2)) t(i)
+)"""
+DEPENDS["events_parsed"] = ["order_items"]
+ORDER.append("events_parsed")
