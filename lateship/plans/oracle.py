@@ -168,28 +168,29 @@ def with_fixtures(body: str, *names: str, extra: str = "") -> str:
     return "WITH " + ",\n".join(parts) + "\n" + body.strip()
 
 
-CTES["events_parsed"] = """
-events_parsed AS (
-  SELECT strftime(order_ts, '%Y-%m-%d %H:%M:%S') AS order_date, order_city, order_state,
-         customer_segment, shipping_mode, market, order_region, category_name,
-         department_name, product_status, order_item_quantity, order_item_total,
-         order_profit, discount_rate, latitude, longitude, days_scheduled
-  FROM order_items
-  UNION ALL
-  SELECT '2001-01-01 00:00:00', 'CITY_' || CAST(n_nationkey AS VARCHAR), NULL, 'Consumer',
-         'Standard Class', NULL, NULL, NULL, NULL, NULL, n_nationkey,
-         CAST(n_nationkey * 1.5 AS DOUBLE), 1.0, CAST(n_nationkey AS DOUBLE),
-         CAST(-n_nationkey AS DOUBLE), NULL
-  FROM nation
-  UNION ALL
-  SELECT NULL, n_name, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
-         NULL, NULL, NULL, NULL FROM nation
-  UNION ALL
-  SELECT NULL, n_name, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
-         NULL, NULL, NULL, NULL FROM nation
-  UNION ALL
-  SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
-         NULL, NULL, NULL, NULL FROM region, (VALUES (1), (2)) t(i)
-)"""
+_EVENT_COLS = ["order_date", "order_city", "order_state", "customer_segment", "shipping_mode",
+               "market", "order_region", "category_name", "department_name", "product_status",
+               "order_item_quantity", "order_item_total", "order_profit", "discount_rate",
+               "latitude", "longitude", "days_scheduled"]
+
+
+def _event_row(values: dict, source: str) -> str:
+    return "SELECT " + ", ".join(f"{values.get(c, 'NULL')} AS {c}" for c in _EVENT_COLS) + f" FROM {source}"
+
+
+CTES["events_parsed"] = "events_parsed AS (\n" + "\nUNION ALL\n".join([
+    _event_row({c: c for c in _EVENT_COLS} | {
+        "order_date": "strftime(order_ts, '%Y-%m-%d %H:%M:%S')"}, "order_items"),
+    _event_row({"order_date": "'2001-01-01 00:00:00'",
+                "order_city": "'CITY_' || CAST(n_nationkey AS VARCHAR)",
+                "customer_segment": "'Consumer'", "shipping_mode": "'Standard Class'",
+                "order_item_quantity": "n_nationkey",
+                "order_item_total": "CAST(n_nationkey * 1.5 AS DOUBLE)",
+                "order_profit": "1.0", "latitude": "CAST(n_nationkey AS DOUBLE)",
+                "longitude": "CAST(-n_nationkey AS DOUBLE)"}, "nation"),
+    _event_row({"order_city": "n_name"}, "nation"),
+    _event_row({"order_city": "n_name"}, "nation"),
+    _event_row({}, "region, (VALUES (1), (2)) t(i)"),
+]) + "\n)"
 DEPENDS["events_parsed"] = ["order_items"]
 ORDER.append("events_parsed")

@@ -1 +1,130 @@
-"""Queries registered later."""
+"""Streaming queries (S5, T1-T9, W7): each runs a Structured Streaming query
+with the ``availableNow`` trigger over event files derived from the data,
+then reads its sink back as a batch table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..session import shared_dir
+from ..sources.events import write_event_files
+from ..sources.fixtures import gazetteer
+from ..streaming import job
+from .oracle import with_fixtures
+from .registry import query
+
+_EVENTS: dict = {}
+
+
+def events_dir(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _EVENTS:
+        _EVENTS[key] = write_event_files(spark, sf_dir, shared_dir(spark, "events"))
+    return _EVENTS[key]
+
+
+def _lines(spark, sf_dir):
+    return job.line_source(spark, events_dir(spark, sf_dir), max_files_per_trigger=1)
+
+
+def _run(spark, df, name):
+    out, ckpt = shared_dir(spark, f"{name}-out"), shared_dir(spark, f"{name}-ckpt")
+    job.run_available_now(df, ckpt, out)
+    return spark.read.parquet(out)
+
+
+@query("stream_text_source")
+def stream_text_source(spark, sf_dir):
+    return _run(spark, _lines(spark, sf_dir), "text")
+
+
+_PARSED_COLS = ["order_date", "order_city", "order_state", "customer_segment", "shipping_mode",
+                "market", "order_region", "category_name", "department_name", "product_status",
+                "order_item_quantity", "order_item_total", "order_profit", "discount_rate",
+                "latitude", "longitude", "days_scheduled"]
+
+
+@query("stream_json_parse", with_fixtures("SELECT * FROM events_parsed", "events_parsed"))
+def stream_json_parse(spark, sf_dir):
+    parsed = job.parse_orders(_lines(spark, sf_dir), with_ingest_ts=False)
+    return _run(spark, parsed, "parse").select(*_PARSED_COLS)
+
+
+@query("stream_static_join", with_fixtures("""
+SELECT e.order_date, e.order_city, e.order_state, e.order_item_total, g.dest_lat, g.dest_lon
+FROM events_parsed e LEFT JOIN gazetteer g
+  ON e.order_city = g.order_city AND e.order_state = g.order_state""", "events_parsed", "gazetteer"))
+def stream_static_join(spark, sf_dir):
+    parsed = job.parse_orders(_lines(spark, sf_dir), with_ingest_ts=False)
+    joined = job.join_gazetteer(parsed, gazetteer(spark, sf_dir))
+    return _run(spark, joined.select("order_date", "order_city", "order_state", "order_item_total",
+                                     "dest_lat", "dest_lon"), "join")
+
+
+@query("stream_fallback_score", with_fixtures("""
+SELECT order_city, order_region, order_item_total,
+       CAST(order_item_quantity * 0 AS DOUBLE) AS prediction FROM events_parsed""", "events_parsed"))
+def stream_fallback_score(spark, sf_dir):
+    parsed = job.parse_orders(_lines(spark, sf_dir), with_ingest_ts=False)
+    scored = job.score_orders(parsed, job.Scoring("zero"))
+    return _run(spark, scored.select("order_city", "order_region", "order_item_total", "prediction"),
+                "fallback")
+
+
+_FIXED = "round(1 / (1 + exp(-(1.5 + (-0.9) * days_scheduled + 2.0 * discount_rate))), 6)"
+
+
+@query("stream_score_fixed", with_fixtures(f"""
+SELECT e.order_date, e.order_city, e.order_state,
+       coalesce(g.dest_lat, 0) AS dest_lat, coalesce(g.dest_lon, 0) AS dest_lon,
+       {_FIXED} AS score, CAST({_FIXED} > 0.5 AS DOUBLE) AS prediction
+FROM events_parsed e LEFT JOIN gazetteer g
+  ON e.order_city = g.order_city AND e.order_state = g.order_state""", "events_parsed", "gazetteer"))
+def stream_score_fixed(spark, sf_dir):
+    parsed = job.parse_orders(_lines(spark, sf_dir), with_ingest_ts=False)
+    joined = job.join_gazetteer(parsed, gazetteer(spark, sf_dir))
+    scored = job.score_orders(joined, job.Scoring("fixed", fill_zero_coords=True))
+    return _run(spark, scored.select("order_date", "order_city", "order_state", "dest_lat", "dest_lon",
+                                     "score", "prediction"), "fixed")
+
+
+@query("stream_score_model")
+def stream_score_model(spark, sf_dir):
+    """Score the stream with the saved and reloaded best pipeline; the
+    distance feature is computed in the stream before ``transform``."""
+    from ..ml import train as T
+    from .q_models import fitted
+    r = fitted(spark, sf_dir, "Logistic Regression")
+    model = T.load_model(T.save_model(r.model, shared_dir(spark, "stream-model"), r.name))
+    stream = job.scoring_stream(_lines(spark, sf_dir), gazetteer(spark, sf_dir),
+                                job.Scoring("model", model=model))
+    return _run(spark, stream, "model")
+
+
+_E2E = f"""
+SELECT e.order_city, e.order_region, e.order_item_total,
+       CAST({_FIXED} > 0.5 AS DOUBLE) AS prediction, true AS has_timestamp
+FROM events_parsed e LEFT JOIN gazetteer g
+  ON e.order_city = g.order_city AND e.order_state = g.order_state"""
+
+
+@query("stream_end_to_end", with_fixtures(_E2E, "events_parsed", "gazetteer"))
+def stream_end_to_end(spark, sf_dir):
+    stream = job.scoring_stream(_lines(spark, sf_dir), gazetteer(spark, sf_dir), job.Scoring("fixed"))
+    out = _run(spark, stream, "e2e")
+    return out.select("order_city", "order_region", "order_item_total", "prediction",
+                      F.col("ingest_ts").isNotNull().alias("has_timestamp"))
+
+
+@query("stream_foreach_batch_dual", with_fixtures(
+    _E2E.replace("e.order_city,", "e.order_city AS city,", 1)
+        .replace("e.order_region,", "e.order_region AS region,")
+        .replace("e.order_item_total,", "e.order_item_total AS amount,"), "events_parsed", "gazetteer"))
+def stream_foreach_batch_dual(spark, sf_dir):
+    stream = job.scoring_stream(_lines(spark, sf_dir), gazetteer(spark, sf_dir), job.Scoring("fixed"))
+    rel, docs, ckpt = (shared_dir(spark, "relational"), shared_dir(spark, "docs"),
+                       shared_dir(spark, "dual-ckpt"))
+    job.run_available_now(stream, ckpt, foreach_batch=job.dual_sink(rel, docs))
+    out = spark.read.parquet(rel)
+    return out.select("city", "region", "amount", "prediction",
+                      F.col("timestamp").isNotNull().alias("has_timestamp"))
