@@ -27,8 +27,13 @@ def model_input(spark, sf_dir):
 
 
 def _fit_transform(df, n_stages):
+    """Fit the first ``n_stages`` feature stages (input persisted for the
+    fitting passes), then transform."""
+    from ..ml.train import persisted
     stages = feature_stages(NUMERIC_FEATURES, CATEGORICAL_FEATURES)[:n_stages]
-    return Pipeline(stages=stages).fit(df).transform(df)
+    with persisted(df):
+        model = Pipeline(stages=stages).fit(df)
+    return model.transform(df)
 
 
 def _present(c):

@@ -103,3 +103,17 @@ def geo_completeness(spark, sf_dir):
     + ", ".join(f"{c} ASC NULLS FIRST" for c in MODEL_COLUMNS) + " LIMIT 20", "order_items"))
 def preview_topn(spark, sf_dir):
     return profile.preview(order_items(spark, sf_dir).select(*MODEL_COLUMNS), 20)
+
+
+_SCHEMA_ROWS = ",\n".join(
+    f"({i + 1}, '{c}', '{t}', true, (SELECT count({c}) FROM order_items))"
+    for i, (c, t) in enumerate(zip(MODEL_COLUMNS, [
+        "int", "int", "timestamp_ntz", "string", "string", "string", "double", "double",
+        "string", "string", "int", "string", "string", "double", "double", "double"])))
+
+
+@query("schema_report", with_fixtures(
+    "SELECT * FROM (VALUES " + _SCHEMA_ROWS + ") t(position, column_name, data_type, nullable, non_null)",
+    "order_items"))
+def schema_report(spark, sf_dir):
+    return profile.schema_report(order_items(spark, sf_dir).select(*MODEL_COLUMNS))

@@ -19,12 +19,14 @@ _EVENTS: dict = {}
 def events_dir(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _EVENTS:
-        _EVENTS[key] = write_event_files(spark, sf_dir, shared_dir(spark, "events"))
+        _EVENTS[key] = write_event_files(spark, sf_dir, shared_dir(spark, "events"),
+                                         records_per_file=100_000)
     return _EVENTS[key]
 
 
 def _lines(spark, sf_dir):
-    return job.line_source(spark, events_dir(spark, sf_dir), max_files_per_trigger=1)
+    # up to 4 files (400k events) per micro-batch
+    return job.line_source(spark, events_dir(spark, sf_dir), max_files_per_trigger=4)
 
 
 def _run(spark, df, name):

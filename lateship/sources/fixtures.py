@@ -18,8 +18,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.joins import checked_broadcast
+from ..session import shared_dir
 from .tables import table
 
+_MATERIALIZED: dict = {}
+
+
+def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Build a derived table once per application and data folder, write it
+    as Parquet under the shared checkpoint folder, and read it from there.
+
+    This is the prepared input table the reference reads: later queries scan
+    it (with column pruning and filter pushdown) instead of repeating the
+    seven-table join, and a lost executor costs a re-read, not a re-join.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _MATERIALIZED:
+        path = shared_dir(spark, f"table-{name}")
+        build(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _MATERIALIZED[key] = path
+    return spark.read.parquet(_MATERIALIZED[key])
+
 # Shipping mode and scheduled days by the first character of
 # the order priority ('1'..'5').
 SHIPPING_MODES = {"1": "Same Day", "2": "First Class", "3": "Second Class",
@@ -54,6 +73,12 @@ def _nation_region(spark, sf_dir) -> DataFrame:
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order-item table (materialized once, see :func:`materialized`)."""
+    return materialized(spark, sf_dir, "order_items", build_order_items)
+
+
+def build_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seven-table join that derives the order-item table."""
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
                "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
                "l_linestatus", "l_shipdate")
