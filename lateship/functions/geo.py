@@ -21,7 +21,7 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     dlat = p2 - p1
     dlon = F.radians(_c(lon2)) - F.radians(_c(lon1))
     a = F.pow(F.sin(dlat / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlon / 2), 2)
-    # NaN input stays NaN (Spark orders NaN above 1, so least() alone would
-    # turn it into the antipodal distance).
-    a = F.when(F.isnan(a), a).otherwise(F.least(F.lit(1.0), a))
+    # least() skips nulls and orders NaN above 1, so alone it would turn a
+    # null or NaN input into the antipodal distance: pass those through.
+    a = F.when(a.isNull() | F.isnan(a), a).otherwise(F.least(F.lit(1.0), a))
     return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(a))

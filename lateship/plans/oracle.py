@@ -115,7 +115,7 @@ def _enriched(name: str, items: str) -> str:
     return f"""
 {name} AS (
   SELECT * EXCLUDE (a),
-         2 * 6371.0 * asin(sqrt(CASE WHEN isnan(a) THEN a ELSE least(1.0, a) END)) AS distance_km
+         2 * 6371.0 * asin(sqrt(CASE WHEN a IS NULL OR isnan(a) THEN a ELSE least(1.0, a) END)) AS distance_km
   FROM (
     SELECT o.*, g.dest_lat, g.dest_lon,
            pow(sin((radians(o.latitude) - radians(g.dest_lat)) / 2), 2)
