@@ -43,7 +43,8 @@ def _present(c):
 # --- SQL building blocks -----------------------------------------------------
 
 def _fmt(x, d=6):
-    return f"CAST(CAST(round({x}, {d}) AS DECIMAL(38,{d})) AS VARCHAR)"
+    """Same fixed-point integer text as :func:`features.vector_text`."""
+    return f"CAST(CAST(floor({x} * {float(10 ** d)} + 0.5) AS BIGINT) AS VARCHAR)"
 
 
 _MEANS = "means AS (SELECT " + ", ".join(
