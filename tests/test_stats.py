@@ -73,3 +73,12 @@ def test_approx_quantile_rank_error(spark):
     b = stats.quantile_bounds(df, ["x"], 0.01, 0.99, exact=False, rel_error=0.001)["x"]
     ranks = [np.searchsorted(np.sort(xs), v, side="right") / len(xs) for v in b]
     assert abs(ranks[0] - 0.01) <= 0.0011 and abs(ranks[1] - 0.99) <= 0.0011
+
+
+def test_boxplot_approx_close_to_exact(spark):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(float(x),) for x in rng.normal(size=4000)], "x double")
+    a = stats.boxplot_stats(df, ["x"], exact=True).first()
+    b = stats.boxplot_stats(df, ["x"], exact=False).first()
+    assert abs(a["median"] - b["median"]) < 0.01 and abs(a["iqr"] - b["iqr"]) < 0.02
+    assert a["n"] == b["n"] == 4000
