@@ -1,13 +1,16 @@
 """Exact order statistics without a single-partition window.
 
 A global ``Window.orderBy`` moves every row to one task. The running total
-here is the distributed prefix sum instead:
+here is a distributed prefix sum instead:
 
-1. range-partition on (group, order) columns -- each task gets one slice of
-   the sorted order, sized by Spark's range sampler;
-2. a window *within* each (slice, group) gives the local running sum;
-3. slice totals (at most ``slices x groups`` rows, a proven bound) get their
-   own tiny window for the offsets, which are broadcast back and added.
+1. cut points per group from ``percentile_approx`` (``slices - 1`` numbers
+   per group: a bounded collect) split the order into slices of about equal
+   row counts; each row's slice is a pure expression of its value (a
+   balanced CASE tree, log2(slices) comparisons), so every branch of the
+   plan and every task retry assigns the same slice;
+2. a window *within* each (group, slice) gives the local running sum;
+3. slice totals (at most ``slices x groups`` rows) get a tiny window for the
+   offsets, which are broadcast back and added.
 
 Inputs are pre-aggregated to one row per distinct value with a weight, so a
 value repeated a billion times is one row, and ties never need breaking.
@@ -15,9 +18,10 @@ value repeated a billion times is one row, and ties never need breaking.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 _PID = "__slice"
+MAX_GROUPS = 10_000
 
 
 def _slices(df: DataFrame, num_slices: int | None) -> int:
@@ -26,6 +30,39 @@ def _slices(df: DataFrame, num_slices: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _bucket(v: Column, cuts: list[float]) -> Column:
+    """Index i of the slice (cuts[i-1], cuts[i]] holding v (0..len(cuts))."""
+    def build(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(v <= F.lit(cuts[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
+    return build(0, len(cuts))
+
+
+def _slice_expr(df: DataFrame, order_col: str, groups: list[str], n: int) -> Column:
+    if n <= 1:
+        return F.lit(0)
+    probs = [i / n for i in range(1, n)]
+    q = F.percentile_approx(F.col(order_col).cast("double"), probs, 10_000).alias("q")
+    rows = (df.groupBy(*groups).agg(q) if groups else df.agg(q)).limit(MAX_GROUPS + 1).collect()
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"running_total: more than {MAX_GROUPS} groups")
+    v = F.col(order_col).cast("double")
+    expr = None
+    for r in rows:
+        cuts = sorted(set(x for x in (r["q"] or []) if x is not None))
+        b = _bucket(v, cuts)
+        if not groups:
+            return b
+        match = None
+        for g in groups:
+            m = F.col(g).eqNullSafe(F.lit(r[g]))
+            match = m if match is None else match & m
+        expr = F.when(match, b) if expr is None else expr.when(match, b)
+    return F.lit(0) if expr is None else expr.otherwise(F.lit(0))
+
+
 def running_total(df: DataFrame, order_col: str, weight_col: str, out_col: str,
                   group_cols: list[str] | None = None,
                   num_slices: int | None = None) -> DataFrame:
@@ -33,22 +70,30 @@ def running_total(df: DataFrame, order_col: str, weight_col: str, out_col: str,
     whose ``order_col`` is <= this row's (``order_col`` unique per group)."""
     groups = list(group_cols or [])
     n = _slices(df, num_slices)
-    ranged = (df.repartitionByRange(n, *[F.col(g) for g in groups], F.col(order_col))
-                .withColumn(_PID, F.spark_partition_id()))
-    w_local = (Window.partitionBy(_PID, *groups).orderBy(order_col)
+    sliced = df.withColumn(_PID, _slice_expr(df, order_col, groups, n))
+    w_local = (Window.partitionBy(*groups, _PID).orderBy(order_col)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.withColumn("__local", F.sum(weight_col).over(w_local))
-    totals = ranged.groupBy(_PID, *groups).agg(F.sum(weight_col).alias("__t"))
+    local = sliced.withColumn("__local", F.sum(weight_col).over(w_local))
+    totals = sliced.groupBy(*groups, _PID).agg(F.sum(weight_col).alias("__t"))
     w_off = (Window.partitionBy(*groups).orderBy(_PID)
              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(_PID, *groups,
+    offsets = totals.select(*groups, _PID,
                             F.coalesce(F.sum("__t").over(w_off), F.lit(0)).alias("__off"))
-    # offsets has at most n x |groups| rows: safe to broadcast.
-    return (local.join(F.broadcast(offsets), [_PID, *groups])
+    # offsets has at most slices x groups rows: safe to broadcast.
+    return (local.join(F.broadcast(offsets), [*groups, _PID])
                  .withColumn(out_col, F.col("__local") + F.col("__off"))
                  .drop(_PID, "__local", "__off"))
 
 
+def _reliable(df: DataFrame) -> DataFrame:
+    """Checkpoint to the shared checkpoint folder: the table is read several
+    times (cut points, slice windows, slice totals, lookups), so the scan
+    and shuffle behind it run once, and executor loss cannot change it."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     """(column_name, value, w): weight of each distinct non-null, non-NaN
     value of each column, from one scan and one (partially aggregated)
@@ -83,7 +128,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     Spark ``percentile``, SQL ``percentile_cont``). ``method="disc"``: the
     smallest value whose cumulative share reaches p (``percentile_disc``).
     """
-    counts = counts if counts is not None else value_counts(df, cols)
+    counts = counts if counts is not None else _reliable(value_counts(df, cols))
     cum = running_total(counts, "value", "w", "cum", ["column_name"])
     # targets: columns x probs rows, a bounded broadcast
     tg = F.broadcast(_targets(counts, probs, method))
@@ -136,7 +181,7 @@ def boxplot_stats(df: DataFrame, cols: list[str], whisker: float = 1.5,
     quartiles in one pass); whiskers are the furthest data points within
     ``whisker x IQR`` of the box; outliers are the points beyond.
     """
-    counts = value_counts(df, cols)
+    counts = _reliable(value_counts(df, cols))
     probs = [0.25, 0.5, 0.75]
     q = (exact_quantiles(df, cols, probs, "linear", counts=counts) if exact
          else approx_quantiles(df, cols, probs))
@@ -171,7 +216,7 @@ def auc_exact(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
            .groupBy(F.col(score_col).cast("double").alias("s"))
            .agg(F.sum(F.when(lab == 1.0, 1).otherwise(0)).cast("long").alias("pos"),
                 F.sum(F.when(lab == 1.0, 0).otherwise(1)).cast("long").alias("neg")))
-    cum = running_total(g, "s", "neg", "neg_le")
+    cum = running_total(_reliable(g), "s", "neg", "neg_le")
     contrib = F.col("pos").cast("double") * (F.col("neg_le") - F.col("neg") + F.col("neg") / 2.0)
     return (cum.agg(F.sum(contrib).alias("u"), F.sum("pos").alias("n_pos"),
                     F.sum("neg").alias("n_neg"))
