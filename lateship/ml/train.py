@@ -52,6 +52,11 @@ def train_and_select(df: DataFrame, name: str, key_cols: list[str], numeric=None
     ROC, best model refit on the whole training part."""
     numeric, categorical = feature_columns(df, numeric, categorical)
     data = df.select(*key_cols, *numeric, *categorical, label).na.drop(subset=[label])
+    # every optimizer iteration is one pass over the cached rows: spread them
+    # over at least one partition per core (the scan may give fewer)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if data.rdd.getNumPartitions() < cores:
+        data = data.repartition(cores)
     train, test = split_hash(data, key_cols, salt=str(seed))
     train = train.withColumn("fold", hash_bucket(key_cols, num_folds, "fold"))
     pipeline, params = training_pipeline(train, name, numeric, categorical, label, seed, grid)
