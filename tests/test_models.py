@@ -13,10 +13,10 @@ def test_lr_auc_save_load(spark, sf_dir):
     path = T.save_model(r.model, shared_dir(spark, "t-model"), r.name)
     assert path.endswith("logistic_regression")
     loaded = T.load_model(path)
-    a = T.score(r.model, r.test).select("order_id", "line_no", F.col("probability").alias("pa"))
-    b = T.score(loaded, r.test).select(F.col("probability").alias("pb"))
-    pa = [x.pa for x in a.collect()]
-    pb = [x.pb for x in b.collect()]
+    a = T.score(r.model, r.test).select("order_id", "line_no", F.col("probability").alias("p"))
+    b = T.score(loaded, r.test).select("order_id", "line_no", F.col("probability").alias("p"))
+    pa = sorted((x.order_id, x.line_no, tuple(x.p)) for x in a.collect())
+    pb = sorted((x.order_id, x.line_no, tuple(x.p)) for x in b.collect())
     assert pa == pb
     view = T.prediction_view(T.score(r.model, r.test))
     assert view.columns == ["features_str", "prob_late", "prediction", "late_delivery_risk"]
