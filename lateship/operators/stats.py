@@ -64,28 +64,41 @@ def _slice_expr(df: DataFrame, order_col: str, groups: list[str], n: int) -> Col
     return F.lit(0) if expr is None else expr.otherwise(F.lit(0))
 
 
-def running_total(df: DataFrame, order_col: str, weight_col: str, out_col: str,
-                  group_cols: list[str] | None = None,
-                  num_slices: int | None = None) -> DataFrame:
-    """Add ``out_col`` = sum of ``weight_col`` over rows of the same group
-    whose ``order_col`` is <= this row's (``order_col`` unique per group)."""
-    groups = list(group_cols or [])
+def _slice_offsets(df: DataFrame, order_col: str, weight_col: str, groups: list[str],
+                   num_slices: int | None):
+    """(rows with their slice, per-slice table: total ``__t`` and offset
+    ``__off`` = weight of all earlier slices of the group)."""
     n = _slices(df, num_slices)
     sliced = df.withColumn(_PID, _slice_expr(df, order_col, groups, n))
-    w_local = (Window.partitionBy(*groups, _PID).orderBy(order_col)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = sliced.withColumn("__local", F.sum(weight_col).over(w_local))
     totals = sliced.groupBy(*groups, _PID).agg(F.sum(weight_col).alias("__t"))
     w_off = (Window.partitionBy(*groups).orderBy(_PID)
              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*groups, _PID,
+    offsets = totals.select(*groups, _PID, "__t",
                             F.coalesce(F.sum("__t").over(w_off), F.lit(0)).alias("__off"))
+    return sliced, offsets
+
+
+def _local_cum(sliced: DataFrame, offsets: DataFrame, order_col: str, weight_col: str,
+               out_col: str, groups: list[str]) -> DataFrame:
+    w_local = (Window.partitionBy(*groups, _PID).orderBy(order_col)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = sliced.withColumn("__local", F.sum(weight_col).over(w_local))
     # offsets has at most slices x groups rows: safe to broadcast.
-    return (local.join(F.broadcast(offsets), [*groups, _PID])
+    return (local.join(F.broadcast(offsets.select(*groups, _PID, "__off")), [*groups, _PID])
                  .withColumn(out_col, F.col("__local") + F.col("__off"))
                  .drop(_PID, "__local", "__off"))
 
 
+def running_total(df: DataFrame, order_col: str, weight_col: str, out_col: str,
+                  group_cols: list[str] | None = None,
+                  num_slices: int | None = None) -> DataFrame:
+    """Add ``out_col`` = sum of ``weight_col`` over rows of the same group
+    whose ``order_col`` is <= this row's (``order_col`` unique per group)."""
+    groups = list(group_cols or [])
+    sliced, offsets = _slice_offsets(df, order_col, weight_col, groups, num_slices)
+    return _local_cum(sliced, offsets, order_col, weight_col, out_col, groups)
+
+
 def _reliable(df: DataFrame) -> DataFrame:
     """Checkpoint to the shared checkpoint folder: the table is read several
     times (cut points, slice windows, slice totals, lookups), so the scan
@@ -105,11 +118,10 @@ def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("w"))
 
 
-def _targets(counts: DataFrame, probs: list[float], method: str) -> DataFrame:
+def _targets(n_per_group: DataFrame, probs: list[float], method: str) -> DataFrame:
     """Per (column, p): 1-based ranks to look up (tiny: columns x probs)."""
-    n = counts.groupBy("column_name").agg(F.sum("w").alias("n"))
     ps = F.array(*[F.lit(float(p)) for p in probs])
-    t = n.select("column_name", "n", F.explode(ps).alias("p"))
+    t = n_per_group.select("column_name", "n", F.explode(ps).alias("p"))
     if method == "disc":
         k = F.greatest(F.ceil(F.col("n") * F.col("p")), F.lit(1)).cast("long")
         return t.select("column_name", "p", k.alias("k_lo"), k.alias("k_hi"),
@@ -122,20 +134,33 @@ def _targets(counts: DataFrame, probs: list[float], method: str) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    method: str = "linear", counts: DataFrame | None = None) -> DataFrame:
+                    method: str = "linear", counts: DataFrame | None = None,
+                    num_slices: int | None = None) -> DataFrame:
     """(column_name, p, value) for every column and probability.
 
     ``method="linear"``: interpolated between closest ranks (numpy default,
     Spark ``percentile``, SQL ``percentile_cont``). ``method="disc"``: the
     smallest value whose cumulative share reaches p (``percentile_disc``).
+
+    Only the slices that contain a wanted rank are sorted: slice totals
+    (a tiny table) locate each rank, so the window runs over at most two
+    slices per probability and column, not over every distinct value.
     """
     counts = counts if counts is not None else _reliable(value_counts(df, cols))
-    cum = running_total(counts, "value", "w", "cum", ["column_name"])
-    # targets: columns x probs rows, a bounded broadcast
-    tg = F.broadcast(_targets(counts, probs, method))
+    g = ["column_name"]
+    sliced, offsets = _slice_offsets(counts, "value", "w", g, num_slices)
+    offsets = _reliable(offsets)  # tiny; reused three times below
+    n_per = offsets.groupBy("column_name").agg(F.sum("__t").alias("n"))
+    tg = _targets(n_per, probs, method)
+    k_in = lambda k: (F.col("__off") < F.col(k)) & (F.col(k) <= F.col("__off") + F.col("__t"))
+    need = (offsets.join(F.broadcast(tg), "column_name")
+                   .filter(k_in("k_lo") | k_in("k_hi"))
+                   .select("column_name", _PID).distinct())
+    wanted = sliced.join(F.broadcast(need), ["column_name", _PID], "left_semi")
+    cum = _local_cum(wanted, offsets, "value", "w", "cum", g)
     lo_hit = (F.col("cum") - F.col("w") < F.col("k_lo")) & (F.col("k_lo") <= F.col("cum"))
     hi_hit = (F.col("cum") - F.col("w") < F.col("k_hi")) & (F.col("k_hi") <= F.col("cum"))
-    hits = (cum.join(tg, "column_name").filter(lo_hit | hi_hit)
+    hits = (cum.join(F.broadcast(tg), "column_name").filter(lo_hit | hi_hit)
                .groupBy("column_name", "p", "frac")
                .agg(F.max(F.when(lo_hit, F.col("value"))).alias("v_lo"),
                     F.max(F.when(hi_hit, F.col("value"))).alias("v_hi")))
