@@ -3,14 +3,14 @@
 A global ``Window.orderBy`` moves every row to one task. The running total
 here is a distributed prefix sum instead:
 
-1. cut points per group from ``percentile_approx`` (``slices - 1`` numbers
-   per group: a bounded collect) split the order into slices of about equal
-   row counts; each row's slice is a pure expression of its value (a
-   balanced CASE tree, log2(slices) comparisons), so every branch of the
-   plan and every task retry assigns the same slice;
+1. the (pre-aggregated) rows are range-partitioned on (group, order) --
+   Spark samples the bounds, AQE may merge small neighbouring ranges -- and
+   each row's slice is its partition index. The sliced table is then
+   checkpointed to the shared folder, which freezes the assignment: every
+   later branch of the plan and every task retry sees the same slices;
 2. a window *within* each (group, slice) gives the local running sum;
-3. slice totals (at most ``slices x groups`` rows) get a tiny window for the
-   offsets, which are broadcast back and added.
+3. slice totals (one row per slice and group: a proven bound) get a tiny
+   window for the offsets, which are broadcast back and added.
 
 Inputs are pre-aggregated to one row per distinct value with a weight, so a
 value repeated a billion times is one row, and ties never need breaking.
@@ -18,64 +18,34 @@ value repeated a billion times is one row, and ties never need breaking.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 _PID = "__slice"
-MAX_GROUPS = 10_000
-
-
-def _slices(df: DataFrame, num_slices: int | None) -> int:
-    if num_slices:
-        return num_slices
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _bucket(v: Column, cuts: list[float]) -> Column:
-    """Index i of the slice (cuts[i-1], cuts[i]] holding v (0..len(cuts))."""
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(v <= F.lit(cuts[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
-    return build(0, len(cuts))
-
-
-def _slice_expr(df: DataFrame, order_col: str, groups: list[str], n: int) -> Column:
-    if n <= 1:
-        return F.lit(0)
-    probs = [i / n for i in range(1, n)]
-    # slices only need to be roughly even: rank error 1/(20 n) is plenty
-    q = F.percentile_approx(F.col(order_col).cast("double"), probs, 20 * n).alias("q")
-    rows = (df.groupBy(*groups).agg(q) if groups else df.agg(q)).limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"running_total: more than {MAX_GROUPS} groups")
-    v = F.col(order_col).cast("double")
-    expr = None
-    for r in rows:
-        cuts = sorted(set(x for x in (r["q"] or []) if x is not None))
-        b = _bucket(v, cuts)
-        if not groups:
-            return b
-        match = None
-        for g in groups:
-            m = F.col(g).eqNullSafe(F.lit(r[g]))
-            match = m if match is None else match & m
-        expr = F.when(match, b) if expr is None else expr.when(match, b)
-    return F.lit(0) if expr is None else expr.otherwise(F.lit(0))
-
-
-def _slice_offsets(df: DataFrame, order_col: str, weight_col: str, groups: list[str],
-                   num_slices: int | None):
-    """(rows with their slice, per-slice table: total ``__t`` and offset
-    ``__off`` = weight of all earlier slices of the group)."""
-    n = _slices(df, num_slices)
-    sliced = df.withColumn(_PID, _slice_expr(df, order_col, groups, n))
+
+
+def _reliable(df: DataFrame) -> DataFrame:
+    """Checkpoint to the shared checkpoint folder (``spark.checkpoint.dir``)."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def slice_by_range(df: DataFrame, order_col: str, groups: list[str],
+                   num_slices: int | None = None) -> DataFrame:
+    """Rows with their slice id (``__slice``), frozen by a reliable checkpoint."""
+    keys = [F.col(g) for g in groups] + [F.col(order_col)]
+    ranged = df.repartitionByRange(num_slices, *keys) if num_slices else df.repartitionByRange(*keys)
+    return _reliable(ranged.withColumn(_PID, F.spark_partition_id()))
+
+
+def _offsets(sliced: DataFrame, weight_col: str, groups: list[str]) -> DataFrame:
+    """Per (group, slice): total ``__t`` and offset ``__off`` (weight of all
+    earlier slices of the group). At most slices x groups rows."""
     totals = sliced.groupBy(*groups, _PID).agg(F.sum(weight_col).alias("__t"))
     w_off = (Window.partitionBy(*groups).orderBy(_PID)
              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*groups, _PID, "__t",
-                            F.coalesce(F.sum("__t").over(w_off), F.lit(0)).alias("__off"))
-    return sliced, offsets
+    return totals.select(*groups, _PID, "__t",
+                         F.coalesce(F.sum("__t").over(w_off), F.lit(0)).alias("__off"))
 
 
 def _local_cum(sliced: DataFrame, offsets: DataFrame, order_col: str, weight_col: str,
@@ -95,17 +65,9 @@ def running_total(df: DataFrame, order_col: str, weight_col: str, out_col: str,
     """Add ``out_col`` = sum of ``weight_col`` over rows of the same group
     whose ``order_col`` is <= this row's (``order_col`` unique per group)."""
     groups = list(group_cols or [])
-    sliced, offsets = _slice_offsets(df, order_col, weight_col, groups, num_slices)
-    return _local_cum(sliced, offsets, order_col, weight_col, out_col, groups)
-
-
-def _reliable(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared checkpoint folder: the table is read several
-    times (cut points, slice windows, slice totals, lookups), so the scan
-    and shuffle behind it run once, and executor loss cannot change it."""
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    sliced = slice_by_range(df, order_col, groups, num_slices)
+    return _local_cum(sliced, _offsets(sliced, weight_col, groups), order_col, weight_col,
+                      out_col, groups)
 
 
 def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -146,10 +108,11 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     (a tiny table) locate each rank, so the window runs over at most two
     slices per probability and column, not over every distinct value.
     """
-    counts = counts if counts is not None else _reliable(value_counts(df, cols))
     g = ["column_name"]
-    sliced, offsets = _slice_offsets(counts, "value", "w", g, num_slices)
-    offsets = _reliable(offsets)  # tiny; reused three times below
+    if counts is None:
+        counts = value_counts(df, cols)
+    sliced = counts if _PID in counts.columns else slice_by_range(counts, "value", g, num_slices)
+    offsets = _offsets(sliced, "w", g)
     n_per = offsets.groupBy("column_name").agg(F.sum("__t").alias("n"))
     tg = _targets(n_per, probs, method)
     k_in = lambda k: (F.col("__off") < F.col(k)) & (F.col(k) <= F.col("__off") + F.col("__t"))
@@ -207,7 +170,7 @@ def boxplot_stats(df: DataFrame, cols: list[str], whisker: float = 1.5,
     quartiles in one pass); whiskers are the furthest data points within
     ``whisker x IQR`` of the box; outliers are the points beyond.
     """
-    counts = _reliable(value_counts(df, cols))
+    counts = slice_by_range(value_counts(df, cols), "value", ["column_name"])
     probs = [0.25, 0.5, 0.75]
     q = (exact_quantiles(df, cols, probs, "linear", counts=counts) if exact
          else approx_quantiles(df, cols, probs))
@@ -221,7 +184,7 @@ def boxplot_stats(df: DataFrame, cols: list[str], whisker: float = 1.5,
     v, w = F.col("value"), F.col("w")
     inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))
     # box has one row per column: a bounded broadcast.
-    agg = (counts.join(F.broadcast(box), "column_name")
+    agg = (counts.drop(_PID).join(F.broadcast(box), "column_name")
                  .groupBy("column_name", "q1", "median", "q3", "iqr")
                  .agg(F.sum(w).alias("n"),
                       F.min(v).alias("min_value"), F.max(v).alias("max_value"),
@@ -242,7 +205,7 @@ def auc_exact(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
            .groupBy(F.col(score_col).cast("double").alias("s"))
            .agg(F.sum(F.when(lab == 1.0, 1).otherwise(0)).cast("long").alias("pos"),
                 F.sum(F.when(lab == 1.0, 0).otherwise(1)).cast("long").alias("neg")))
-    cum = running_total(_reliable(g), "s", "neg", "neg_le")
+    cum = running_total(g, "s", "neg", "neg_le")
     contrib = F.col("pos").cast("double") * (F.col("neg_le") - F.col("neg") + F.col("neg") / 2.0)
     return (cum.agg(F.sum(contrib).alias("u"), F.sum("pos").alias("n_pos"),
                     F.sum("neg").alias("n_neg"))
@@ -251,4 +214,4 @@ def auc_exact(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
 
 
 __all__ = ["running_total", "value_counts", "exact_quantiles", "quantile_bounds",
-           "boxplot_stats", "auc_exact", "T"]
+           "boxplot_stats", "auc_exact", "approx_quantiles", "slice_by_range"]
