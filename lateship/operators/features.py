@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from . import stats
 
 
 def _present(df: DataFrame, c: str) -> Column:
@@ -34,14 +36,19 @@ def string_index_mapping(df: DataFrame, cols: list[str]) -> DataFrame:
     """(column_name, value, count, index): frequency order, ties by value,
     nulls not counted -- the labels StringIndexer(frequencyDesc) fits.
 
-    The window runs over the *grouped* table (one row per distinct value).
+    The index is a distributed running count over the grouped table (one row
+    per distinct value) in (count desc, value) order, so even a column with
+    millions of labels is ranked across many tasks.
     """
     long = (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
               .unpivot([], cols, "column_name", "value")
               .filter(F.col("value").isNotNull()))
-    counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
-    w = Window.partitionBy("column_name").orderBy(F.desc("count"), F.asc("value"))
-    return counts.withColumn("index", (F.row_number().over(w) - 1).cast("double"))
+    counts = (long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
+                  .withColumn("_one", F.lit(1)))
+    ranked = stats.running_total(counts, [F.desc("count"), F.asc("value")], "_one", "_rank",
+                                 ["column_name"])
+    return ranked.select("column_name", "value", "count",
+                         (F.col("_rank") - 1).cast("double").alias("index"))
 
 
 def vector_text(col: str, decimals: int = 6) -> Column:

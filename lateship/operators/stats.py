@@ -30,10 +30,16 @@ def _reliable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def slice_by_range(df: DataFrame, order_col: str, groups: list[str],
+def _order(order) -> list:
+    """One column name / Column, or a list of them (sort orders allowed)."""
+    items = order if isinstance(order, (list, tuple)) else [order]
+    return [F.col(o) if isinstance(o, str) else o for o in items]
+
+
+def slice_by_range(df: DataFrame, order, groups: list[str],
                    num_slices: int | None = None) -> DataFrame:
     """Rows with their slice id (``__slice``), frozen by a reliable checkpoint."""
-    keys = [F.col(g) for g in groups] + [F.col(order_col)]
+    keys = [F.col(g) for g in groups] + _order(order)
     ranged = df.repartitionByRange(num_slices, *keys) if num_slices else df.repartitionByRange(*keys)
     return _reliable(ranged.withColumn(_PID, F.spark_partition_id()))
 
@@ -48,9 +54,9 @@ def _offsets(sliced: DataFrame, weight_col: str, groups: list[str]) -> DataFrame
                          F.coalesce(F.sum("__t").over(w_off), F.lit(0)).alias("__off"))
 
 
-def _local_cum(sliced: DataFrame, offsets: DataFrame, order_col: str, weight_col: str,
+def _local_cum(sliced: DataFrame, offsets: DataFrame, order, weight_col: str,
                out_col: str, groups: list[str]) -> DataFrame:
-    w_local = (Window.partitionBy(*groups, _PID).orderBy(order_col)
+    w_local = (Window.partitionBy(*groups, _PID).orderBy(*_order(order))
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = sliced.withColumn("__local", F.sum(weight_col).over(w_local))
     # offsets has at most slices x groups rows: safe to broadcast.
@@ -59,11 +65,12 @@ def _local_cum(sliced: DataFrame, offsets: DataFrame, order_col: str, weight_col
                  .drop(_PID, "__local", "__off"))
 
 
-def running_total(df: DataFrame, order_col: str, weight_col: str, out_col: str,
+def running_total(df: DataFrame, order_col, weight_col: str, out_col: str,
                   group_cols: list[str] | None = None,
                   num_slices: int | None = None) -> DataFrame:
     """Add ``out_col`` = sum of ``weight_col`` over rows of the same group
-    whose ``order_col`` is <= this row's (``order_col`` unique per group)."""
+    that sort at or before this row. ``order_col`` is a column, or a list of
+    columns / sort orders, that orders the rows of a group totally."""
     groups = list(group_cols or [])
     sliced = slice_by_range(df, order_col, groups, num_slices)
     return _local_cum(sliced, _offsets(sliced, weight_col, groups), order_col, weight_col,
