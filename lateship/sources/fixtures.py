@@ -67,7 +67,7 @@ def city_of(custkey: Column) -> Column:
 def _nation_region(spark, sf_dir) -> DataFrame:
     n = table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region", "r_regionkey", "r_name")
-    nr = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select(
+    nr = n.join(checked_broadcast(r, 100_000), n.n_regionkey == r.r_regionkey).select(
         "n_nationkey", "n_name", "r_name")
     return checked_broadcast(nr, 100_000)
 
