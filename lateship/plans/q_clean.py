@@ -141,13 +141,14 @@ def sample_seeded(spark, sf_dir):
 SELECT order_date, try_strptime(order_date, '%Y-%m-%d %H:%M:%S') AS order_ts
 FROM (SELECT strftime(order_ts, '%Y-%m-%d %H:%M:%S') AS order_date FROM order_items
       UNION ALL
-      SELECT strftime(order_ts, '%Y-%m-%d') || ' 25:00:00' FROM order_items WHERE line_no = 1)""",
+      SELECT strftime(order_ts, '%Y-%m-%d') || ' 25:00:00' FROM order_items)""",
     "order_items"))
 def order_date_parse(spark, sf_dir):
     df = order_items(spark, sf_dir)
     good = df.select(format_order_date("order_ts").alias("order_date"))
-    # malformed text (hour 25) must parse to null, not fail the job
-    bad = df.filter(F.col("line_no") == 1).select(
+    # every row also gets a malformed twin (hour 25): it must parse to null,
+    # not fail the job
+    bad = df.select(
         F.concat(F.date_format("order_ts", "yyyy-MM-dd"), F.lit(" 25:00:00")).alias("order_date"))
     both = good.unionByName(bad)
     return both.select("order_date", parse_order_date("order_date").cast("timestamp_ntz").alias("order_ts"))
