@@ -140,6 +140,15 @@ def order_items_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gazetteer(spark: SparkSession, sf_dir: str, done_only: bool = False) -> DataFrame:
+    """The gazetteer file (materialized once): distinct (city, state) with
+    destination coordinates, null for some states. ``done_only``: the part
+    resolved by an earlier run (nation keys below 20)."""
+    name = "gazetteer_done" if done_only else "gazetteer"
+    return materialized(spark, sf_dir, name,
+                        lambda sp, d: build_gazetteer(sp, d, done_only=done_only))
+
+
+def build_gazetteer(spark: SparkSession, sf_dir: str, done_only: bool = False) -> DataFrame:
     """Distinct (city, state) with destination coordinates (null for some states)."""
     c = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
@@ -162,6 +171,11 @@ def gazetteer(spark: SparkSession, sf_dir: str, done_only: bool = False) -> Data
 
 
 def geocode_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The geocoder answers table (materialized once)."""
+    return materialized(spark, sf_dir, "geocode_candidates", build_geocode_candidates)
+
+
+def build_geocode_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two or three geocoder answers per gazetteer key, in response order.
 
     rank 0 is a 'state' hit; rank 1 is a 'city' hit for even nation keys and a
@@ -215,6 +229,11 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def city_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The city-name list (materialized once)."""
+    return materialized(spark, sf_dir, "city_names", build_city_names)
+
+
+def build_city_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct accented city names per state (some not representable in Latin-1)."""
     c = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
