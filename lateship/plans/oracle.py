@@ -194,3 +194,31 @@ CTES["events_parsed"] = "events_parsed AS (\n" + "\nUNION ALL\n".join([
 ]) + "\n)"
 DEPENDS["events_parsed"] = ["order_items"]
 ORDER.append("events_parsed")
+
+
+def _event_json_good() -> str:
+    """One JSON object per order item, nulls omitted, fields in schema order."""
+    from ..schema import EVENT_FIELDS, REFERENCE_TO_SNAKE
+    parts = []
+    for ref, _ in EVENT_FIELDS:
+        snake = REFERENCE_TO_SNAKE[ref]
+        src = "strftime(order_ts, '%Y-%m-%d %H:%M:%S')" if snake == "order_ts" else snake
+        parts.append(f"""CASE WHEN {src} IS NOT NULL THEN '"{ref}":' || to_json({src}) END""")
+    return "SELECT '{' || concat_ws(',', " + ", ".join(parts) + ") || '}' AS value FROM order_items"
+
+
+CTES["event_lines"] = "event_lines AS (\n" + "\nUNION ALL\n".join([
+    _event_json_good(),
+    """SELECT '{"order_date":"2001-01-01 00:00:00","Order City":"CITY_' || CAST(n_nationkey AS VARCHAR)
+       || '","Shipping Mode":"Standard Class","Customer Segment":"Consumer","Order Item Quantity":'
+       || CAST(n_nationkey AS VARCHAR) || ',"Order Item Total":'
+       || CAST(CAST(n_nationkey * 1.5 AS DECIMAL(10, 1)) AS VARCHAR)
+       || ',"Order Profit Per Order":1.0,"Latitude":' || to_json(CAST(n_nationkey AS DOUBLE))
+       || ',"Longitude":' || to_json(CAST(-n_nationkey AS DOUBLE)) || '}' FROM nation""",
+    """SELECT '{"Order City":"' || n_name || '","Order Item Quantity":"many"}' FROM nation""",
+    """SELECT '{"Order City":"' || n_name || '","Order Item Quantity":3.5}' FROM nation""",
+    "SELECT 'not json: ' || r_name FROM region",
+    "SELECT '{}' FROM region",
+]) + "\n)"
+DEPENDS["event_lines"] = ["order_items"]
+ORDER.append("event_lines")

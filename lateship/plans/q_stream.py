@@ -35,7 +35,7 @@ def _run(spark, df, name):
     return spark.read.parquet(out)
 
 
-@query("stream_text_source")
+@query("stream_text_source", with_fixtures("SELECT value FROM event_lines", "event_lines"))
 def stream_text_source(spark, sf_dir):
     return _run(spark, _lines(spark, sf_dir), "text")
 
