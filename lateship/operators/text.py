@@ -2,30 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from ..sinks.files import LATIN1_OUTSIDE
+
+
+def latin1_lossy_form(col: Column) -> Column:
+    """What a name becomes after a Latin-1 write: every character outside
+    ISO-8859-1 turns into '?'."""
+    return F.regexp_replace(col, LATIN1_OUTSIDE, "?")
 
 
 def repair_lossy_names(lossy: DataFrame, reference: DataFrame, name: str = "city",
                        scope: str = "state") -> DataFrame:
-    """For each name containing '?', find the reference names of the same
-    scope and length that match with '?' as a one-character wildcard; the
-    name is replaced only when exactly one candidate matches.
+    """Restore names containing '?' from a reference list of the same scope.
 
-    The join is an equi-join on (scope, length) plus a LIKE filter, so each
-    lossy name is compared only with names of its own state and length.
+    A reference name is a candidate when its own Latin-1 lossy form equals
+    the damaged name -- the exact model of the loss. That makes the lookup an
+    equi-join on (scope, lossy form): every reference name joins at most one
+    damaged name, so no pairs are generated within a scope. The name is
+    replaced only when exactly one candidate matches.
     """
     l = (lossy.filter(F.col(name).contains("?"))
-              .select(F.col(name).alias("lossy_city"), F.col(scope).alias("_scope"),
-                      F.length(name).alias("_len"),
-                      F.regexp_replace(F.col(name), r"([%_\\])", r"\\$1").alias("_esc")))
-    r = reference.select(F.col(name).alias("_cand"), F.col(scope).alias("_rscope"),
-                         F.length(name).alias("_rlen")).distinct()
-    l = l.withColumn("_pat", F.regexp_replace("_esc", r"\?", "_"))
-    cond = ((F.col("_scope") == F.col("_rscope")) & (F.col("_len") == F.col("_rlen"))
-            & F.expr("_cand LIKE _pat"))
-    joined = l.join(r, cond, "left")
+              .select(F.col(name).alias("lossy_city"), F.col(scope).alias("_scope")).distinct())
+    r = (reference.select(F.col(name).alias("_cand"), F.col(scope).alias("_scope"),
+                          latin1_lossy_form(F.col(name)).alias("lossy_city"))
+                  .filter(F.col("lossy_city").contains("?")).distinct())
+    joined = l.join(r, ["_scope", "lossy_city"], "left")
     out = joined.groupBy("lossy_city", "_scope").agg(
-        F.count("_cand").alias("candidates"), F.min("_cand").alias("_one"))
+        F.countDistinct("_cand").alias("candidates"), F.min("_cand").alias("_one"))
     return out.select(
         "lossy_city", F.col("_scope").alias(scope),
         F.when(F.col("candidates") == 1, F.col("_one")).otherwise(F.col("lossy_city")).alias("repaired_city"),

@@ -151,15 +151,15 @@ def sink_json_documents(spark, sf_dir):
 
 @query("repair_lossy_city_names", with_fixtures(f"""
 SELECT l.city AS lossy_city, l.state,
-       CASE WHEN count(c.city) = 1 THEN min(c.city) ELSE l.city END AS repaired_city,
-       count(c.city) AS candidates
+       CASE WHEN count(DISTINCT c.city) = 1 THEN min(c.city) ELSE l.city END AS repaired_city,
+       count(DISTINCT c.city) AS candidates
 FROM (SELECT DISTINCT {_LOSSY_SQL} AS city, state FROM city_names) l
 LEFT JOIN city_names c
-  ON c.state = l.state AND length(c.city) = length(l.city) AND c.city LIKE replace(l.city, '?', '_')
+  ON c.state = l.state AND regexp_replace(c.city, '[^\\x00-\\xFF]', '?', 'g') = l.city
 WHERE l.city LIKE '%?%'
 GROUP BY l.city, l.state""", "city_names"))
 def repair_lossy_city_names(spark, sf_dir):
-    from ..operators.text import repair_lossy_names
+    from ..operators.text import latin1_lossy_form, repair_lossy_names
     names = city_names(spark, sf_dir)
-    lossy = names.select(F.regexp_replace("city", sinks.LATIN1_OUTSIDE, "?").alias("city"), "state").distinct()
+    lossy = names.select(latin1_lossy_form(F.col("city")).alias("city"), "state").distinct()
     return repair_lossy_names(lossy, names)
