@@ -216,7 +216,9 @@ def auc_exact(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
     contrib = F.col("pos").cast("double") * (F.col("neg_le") - F.col("neg") + F.col("neg") / 2.0)
     return (cum.agg(F.sum(contrib).alias("u"), F.sum("pos").alias("n_pos"),
                     F.sum("neg").alias("n_neg"))
-               .select((F.col("u") / (F.col("n_pos").cast("double") * F.col("n_neg"))).alias("auc"),
+               .select(F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0),
+                              F.col("u") / (F.col("n_pos").cast("double") * F.col("n_neg")))
+                        .alias("auc"),  # undefined (null) with a single class
                        "n_pos", "n_neg"))
 
 

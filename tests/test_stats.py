@@ -82,3 +82,9 @@ def test_boxplot_approx_close_to_exact(spark):
     b = stats.boxplot_stats(df, ["x"], exact=False).first()
     assert abs(a["median"] - b["median"]) < 0.01 and abs(a["iqr"] - b["iqr"]) < 0.02
     assert a["n"] == b["n"] == 4000
+
+
+def test_auc_single_class_is_null(spark):
+    df = spark.createDataFrame([(1, 0.2), (1, 0.7)], "y int, s double")
+    r = stats.auc_exact(df, "y", "s").first()
+    assert r["auc"] is None and r["n_pos"] == 2 and r["n_neg"] == 0
