@@ -45,29 +45,32 @@ def feature_stages(numeric: list[str], categorical: list[str],
     ]
 
 
+# The model names a user chooses from, and the parameter grid
+# searched for each (values to reproduce the reference's training).
 MODEL_NAMES = ["Logistic Regression", "Random Forest", "Gradient-Boosted Trees (GBT)"]
+DEFAULT_GRIDS = {
+    "Logistic Regression": {"regParam": [0.01]},
+    "Random Forest": {"numTrees": [20]},
+    "Gradient-Boosted Trees (GBT)": {"maxIter": [20, 50], "maxDepth": [3, 5]},
+}
 
 
 def classifier_and_grid(name: str, label: str = LABEL, seed: int = 42,
                         grid: dict | None = None):
     """The estimator and its parameter grid for a model name.
 
-    Grids follow the reference: LR regParam {0.01}; RF numTrees {20};
-    GBT maxIter {20, 50} x maxDepth {3, 5}. ``grid`` overrides values by
-    parameter name (e.g. smaller grids in tests). Unknown names raise.
+    Grids are :data:`DEFAULT_GRIDS`; ``grid`` overrides values by parameter
+    name (e.g. smaller grids in tests). Unknown names raise.
     """
     if name == "Logistic Regression":
         est = LogisticRegression(featuresCol="features", labelCol=label)
-        default = {"regParam": [0.01]}
     elif name == "Random Forest":
         est = RandomForestClassifier(featuresCol="features", labelCol=label, seed=seed)
-        default = {"numTrees": [20]}
     elif name == "Gradient-Boosted Trees (GBT)":
         est = GBTClassifier(featuresCol="features", labelCol=label, seed=seed)
-        default = {"maxIter": [20, 50], "maxDepth": [3, 5]}
     else:
         raise ValueError(f"unknown model name {name!r}; expected one of {MODEL_NAMES}")
-    values = dict(default)
+    values = dict(DEFAULT_GRIDS[name])
     values.update(grid or {})
     builder = ParamGridBuilder()
     for pname, vals in values.items():

@@ -24,7 +24,7 @@ from ..operators.clean import hash_bucket, split_hash
 from ..operators.evaluate import classification_metrics
 from ..operators.stats import auc_exact
 from ..schema import LABEL
-from .pipeline import feature_columns, training_pipeline
+from .stages import feature_columns, training_pipeline
 
 
 @contextmanager

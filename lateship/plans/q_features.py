@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from ..ml.pipeline import feature_stages
+from ..ml.stages import feature_stages
 from ..operators import clean, features
 from ..operators.geo import enrich_with_distance
 from ..schema import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+# Column names of the relational prediction table.
 RELATIONAL_COLUMNS = {"ingest_ts": "timestamp", "order_city": "city",
                       "order_region": "region", "order_item_total": "amount",
                       "prediction": "prediction"}

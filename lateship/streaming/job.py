@@ -23,6 +23,7 @@ from ..sinks.jdbc import RELATIONAL_COLUMNS, to_relational, write_jdbc
 from ..sources.fixtures import fixed_logit
 
 FINAL_COLUMNS = ["ingest_ts", "order_city", "order_region", "order_item_total", "prediction"]
+# Field names of one stored prediction document.
 DOCUMENT_NAMES = {"ingest_ts": "timestamp", "order_city": "Order City",
                   "order_region": "Order Region", "order_item_total": "Order Item Total",
                   "prediction": "prediction"}

@@ -2,7 +2,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 
-from lateship.ml.pipeline import classifier_and_grid, feature_columns, feature_stages
+from lateship.ml.stages import classifier_and_grid, feature_columns, feature_stages
 from lateship.operators.features import string_index_mapping
 
 
