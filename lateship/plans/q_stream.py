@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from ..sources.events import write_event_files
-from ..sources.fixtures import gazetteer
+from ..sources.fixtures import _still_there, gazetteer
 from ..streaming import job
 from .oracle import with_fixtures
 from .registry import query
@@ -18,6 +18,8 @@ _EVENTS: dict = {}
 
 def events_dir(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _EVENTS and not _still_there(_EVENTS[key]):
+        del _EVENTS[key]
     if key not in _EVENTS:
         _EVENTS[key] = write_event_files(spark, sf_dir, shared_dir(spark, "events"),
                                          records_per_file=100_000)

@@ -24,6 +24,15 @@ from .tables import table
 _MATERIALIZED: dict = {}
 
 
+def _still_there(path: str) -> bool:
+    """False only when a local table folder has disappeared (remote stores
+    are trusted; a missing table there fails loudly on read)."""
+    import os
+    if "://" in path and not path.startswith("file:"):
+        return True
+    return os.path.exists(os.path.join(path.replace("file:", "", 1), "_SUCCESS"))
+
+
 def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """Build a derived table once per application and data folder, write it
     as Parquet under the shared checkpoint folder, and read it from there.
@@ -33,6 +42,8 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFram
     seven-table join, and a lost executor costs a re-read, not a re-join.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key in _MATERIALIZED and not _still_there(_MATERIALIZED[key]):
+        del _MATERIALIZED[key]  # the shared folder was cleaned: build again
     if key not in _MATERIALIZED:
         path = shared_dir(spark, f"table-{name}")
         build(spark, sf_dir).write.mode("overwrite").parquet(path)
