@@ -124,6 +124,16 @@ def winsorize_columns(spark, sf_dir):
     return clean.winsorize_columns(df, _W_COLS, exact=True).select("order_id", "line_no", *_W_COLS)
 
 
+@query("winsorize_columns_approx")
+def winsorize_columns_approx(spark, sf_dir):
+    """The reference's own bounds: ``approxQuantile(cols, [0.01, 0.99], 0.001)``
+    in one job (rows-only: approximate bounds have no exact SQL twin; the
+    rank error is unit-tested)."""
+    df = order_items(spark, sf_dir)
+    return clean.winsorize_columns(df, _W_COLS, exact=False, rel_error=0.001).select(
+        "order_id", "line_no", *_W_COLS)
+
+
 @query("sample_hash", with_fixtures("""
 SELECT * FROM order_items
 WHERE CAST(('0x' || substr(md5(concat_ws('|', '42', CAST(order_id AS VARCHAR), CAST(line_no AS VARCHAR))), 1, 8))
