@@ -8,6 +8,7 @@ EXPECTED = {
     "top_k_shipping_modes", "gazetteer_union", "haversine_distance", "order_date_parse",
     "text_slug", "repair_lossy_city_names", "winsorize_column", "winsorize_columns",
     "sample_seeded", "sample_hash", "geocode_pick_candidate", "gazetteer_incremental",
+    "winsorize_columns_approx", "confusion_matrix_square", "schema_report", "text_slug",
     "enrich_with_distance", "impute_mean", "string_index_apply", "one_hot_encode",
     "assemble_features", "standardize_features", "train_logistic_regression",
     "train_random_forest", "train_gbt", "split_hash_80_20", "cross_validate_grid",
