@@ -15,6 +15,7 @@ from . import packing
 from .decontaminate import find_benchmark_passages
 from .quality_rules import quality_rules
 from .simhash import simhash_near_duplicates
+from .token_counts import token_counts
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -124,3 +125,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_simhash_near_dedup")
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_duplicates(spark, table(spark, sf_dir, "documents", "doc_id", "text"), shingle=3, max_bits=2)
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    counted = token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
