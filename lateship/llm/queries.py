@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
 from ..sources.tables import table
-from . import packing
+from . import packing, warc
 from .decontaminate import find_benchmark_passages
 from .quality_rules import quality_rules
 from .simhash import simhash_near_duplicates
@@ -133,3 +134,27 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     counted = token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+OP2_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+m AS (SELECT h, min(page_id) AS first_id FROM p GROUP BY h),
+d AS (SELECT page_id, first_id, octet_length(encode(h)) AS payload_bytes, upper(sha1(h)) AS x FROM p JOIN m USING (h)),
+b AS (SELECT *, list_transform(range(0, 32), lambda k: list_reduce(list_transform(range(k * 5, k * 5 + 5), lambda j:
+        ((strpos('0123456789ABCDEF', substr(x, CAST(j // 4 AS INTEGER) + 1, 1)) - 1) >> (3 - CAST(j % 4 AS INTEGER))) & 1),
+        lambda s, v: s * 2 + v)) AS digits FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(digits, lambda v: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(v AS INTEGER) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM b
+"""
+
+
+@query("op2_warc_segments", OP2_SQL)
+def op2_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark, 'warc')}/archives"
+    warc.write_archives(table(spark, sf_dir, "pages", "page_id", "url", "html"), path, "page_id", "url", "html")
+    return warc.read_archives(spark, path).select(
+        F.col("row_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"))
