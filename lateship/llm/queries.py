@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from ..sources.tables import table
-from . import packing, warc
+from . import packing, url_filter, warc
 from .decontaminate import find_benchmark_passages
 from .quality_rules import quality_rules
 from .simhash import simhash_near_duplicates
@@ -158,3 +158,13 @@ def op2_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, path).select(
         F.col("row_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.col("refers_to").cast("long").alias("refers_to"))
+
+
+#: The production rules: host, path, verdict.
+URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
+
+
+@query("op7_url_filter")
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url")
+    return url_filter.filter_urls(spark, pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
