@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from ..sources.tables import table
-from . import packing, url_filter, warc
+from . import html_template, packing, url_filter, warc
 from .decontaminate import find_benchmark_passages
 from .quality_rules import quality_rules
 from .simhash import simhash_near_duplicates
@@ -168,3 +168,10 @@ URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages", "page_id", "url")
     return url_filter.filter_urls(spark, pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query("op9_html_templates")
+def op9_html_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    found = html_template.extract_main_text(spark, pages)
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
