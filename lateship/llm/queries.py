@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from ..sources.tables import table
-from . import html_template, packing, url_filter, warc
+from . import html_template, licenses, packing, url_filter, warc
 from .decontaminate import find_benchmark_passages
 from .quality_rules import quality_rules
 from .simhash import simhash_near_duplicates
@@ -175,3 +175,33 @@ def op9_html_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
     found = html_template.extract_main_text(spark, pages)
     return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
+def _op3_sql() -> str:
+    rows = ", ".join("('{}', {}, [{}])".format(t.license, t.number, ", ".join(f"'{g}'" for g in t.bigrams)) for t in licenses.templates())
+    return f"""
+WITH t(license, number, grams) AS (VALUES {rows}),
+l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls, coalesce(text, '') AS text FROM documents),
+p AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS line, unnest(ls) AS t FROM l
+      UNION ALL SELECT doc_id, 0, text FROM l WHERE len(ls) > 1),
+w AS (SELECT doc_id, line, regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z]+') AS w FROM p),
+g AS (SELECT doc_id, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM w WHERE len(w) > 1),
+h AS (SELECT doc_id, line, license, 2 * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice
+      FROM g JOIN t ON len(g) BETWEEN {licenses.THRESHOLD / (2 - licenses.THRESHOLD)!r} * len(grams) AND {(2 - licenses.THRESHOLD) / licenses.THRESHOLD!r} * len(grams)),
+m AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, max(dice) AS best,
+             string_agg(DISTINCT CAST(line AS VARCHAR), ',' ORDER BY CAST(line AS VARCHAR)) AS lines
+      FROM h WHERE dice >= {licenses.THRESHOLD} GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_matches, coalesce(licenses, '') AS licenses, coalesce(lines, '') AS lines, coalesce(best, 0.0) AS best_dice
+FROM documents LEFT JOIN m USING (doc_id)
+"""
+
+
+@query("op3_license_scan", _op3_sql())
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents", "doc_id", "text"))
+    e = F.col("licenses")
+    return found.select(
+        "doc_id", F.size(e).cast("long").alias("n_matches"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(e, lambda x: x["license"]))), ",").alias("licenses"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(e, lambda x: x["line"].cast("string")))), ",").alias("lines"),
+        F.coalesce(F.array_max(F.transform(e, lambda x: x["dice"])), F.lit(0.0)).alias("best_dice"))
