@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from ..sources.tables import table
-from . import html_template, licenses, packing, url_filter, warc
+from . import html_template, licenses, packing, tool_calls, url_filter, warc
 from .decontaminate import find_benchmark_passages
 from .quality_rules import quality_rules
 from .simhash import simhash_near_duplicates
@@ -205,3 +205,48 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.array_sort(F.array_distinct(F.transform(e, lambda x: x["license"]))), ",").alias("licenses"),
         F.array_join(F.array_sort(F.array_distinct(F.transform(e, lambda x: x["line"].cast("string")))), ",").alias("lines"),
         F.coalesce(F.array_max(F.transform(e, lambda x: x["dice"])), F.lit(0.0)).alias("best_dice"))
+
+
+#: The tools of the derived calls.
+TOOL_SCHEMAS = {
+    "search": {"type": "object", "required": ["query"], "additionalProperties": False, "properties": {
+        "query": {"type": "string", "minLength": 1}, "limit": {"type": "integer", "minimum": 1, "maximum": 50}, "after": {"type": "object"}}},
+    "translate": {"type": "object", "required": ["query"], "additionalProperties": False, "properties": {
+        "query": {"type": "string"}, "limit": {"type": "integer"}, "after": {"type": "object"}}},
+    "rate": {"type": "object", "required": ["query", "limit"], "properties": {
+        "query": {"type": "string", "maxLength": 2000}, "limit": {"type": ["integer", "null"], "maximum": 40}}},
+}
+
+
+def derived_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tool calls and results that the turns of ``conversations`` stand for.
+
+    Every assistant turn is a call whose arguments hold its text; the turn
+    after it, if it is a user's, is the result. A hash of the turn picks the
+    tool (one in four is unknown), a limit (some are out of bounds, some are
+    no integers) and a reference to another call (mostly an earlier one,
+    sometimes a later one, which may close a cycle).
+    """
+    h = F.xxhash64("conv_id", "turn", "text")
+    of = lambda t: F.concat(F.lit("call_"), F.col("conv_id").cast("string"), F.lit("_"), t.cast("string"))
+    pick = lambda n: F.pmod(F.shiftright(h, 8 * (n % 6)), F.lit(n))
+    tool = F.element_at(F.array(*[F.lit(t) for t in ("search", "translate", "rate", "paint")]), (pick(4) + 1).cast("int"))
+    limit = F.when(pick(17) == 0, F.lit('"ten"')).otherwise(F.pmod(h, F.lit(53)).cast("string"))
+    other = F.when(pick(31) == 0, F.col("turn") + 2).when(pick(3) == 0, F.col("turn") - 2)
+    after = F.when(other.isNotNull(), F.concat(F.lit(', "after" : {"$ref": "'), of(other), F.lit('"}'))).otherwise(F.lit(""))
+    query = F.regexp_replace(F.to_json(F.struct(F.col("text").alias("query"))), r"\}$", "")
+    arguments = F.concat(query, after, F.lit(', "limit" : '), limit, F.lit("}"))
+    calls = turns.where("role = 'assistant'").select(
+        F.col("conv_id").alias("conv"), F.col("turn").alias("position"), of(F.col("turn")).alias("call"), tool.alias("name"),
+        arguments.alias("arguments"))
+    results = turns.where("role = 'user'").select(
+        F.col("conv_id").alias("conv"), F.col("turn").alias("position"), of(F.col("turn") - 1).alias("call"), F.col("text").alias("content"))
+    return calls, results
+
+
+@query("op1_tool_calls")
+def op1_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = derived_calls(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    linked = tool_calls.link_tool_calls(spark, calls, results, TOOL_SCHEMAS)
+    return linked.select(F.col("conv").cast("long").alias("conv_id"), F.col("position").alias("turn"), F.col("call").alias("call_id"),
+                         "name", "level", "status", F.size("errors").cast("long").alias("n_errors"), "message")
