@@ -87,9 +87,10 @@ def templates(notices=None) -> list[Template]:
     return out
 
 
-def size_bounds(size: int, threshold: float) -> tuple[float, float]:
+def size_bounds(size: int, threshold: float) -> tuple[int, int]:
     """The passage sizes that can reach ``threshold`` against ``size`` bigrams."""
-    return threshold / (2 - threshold) * size, (2 - threshold) / threshold * size
+    ratio = threshold / (2 - threshold)
+    return math.ceil(ratio * size - 1e-9), math.floor(size / ratio + 1e-9)
 
 
 def _words(text: Column) -> Column:

@@ -178,16 +178,18 @@ def op9_html_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op3_sql() -> str:
-    rows = ", ".join("('{}', {}, [{}])".format(t.license, t.number, ", ".join(f"'{g}'" for g in t.bigrams)) for t in licenses.templates())
+    rows = ", ".join("('{}', {}, [{}], {}, {})".format(
+        t.license, t.number, ", ".join(f"'{g}'" for g in t.bigrams), *licenses.size_bounds(len(t.bigrams), licenses.THRESHOLD))
+        for t in licenses.templates())
     return f"""
-WITH t(license, number, grams) AS (VALUES {rows}),
+WITH t(license, number, grams, lo, hi) AS (VALUES {rows}),
 l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls, coalesce(text, '') AS text FROM documents),
 p AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS line, unnest(ls) AS t FROM l
       UNION ALL SELECT doc_id, 0, text FROM l WHERE len(ls) > 1),
 w AS (SELECT doc_id, line, regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z]+') AS w FROM p),
 g AS (SELECT doc_id, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM w WHERE len(w) > 1),
 h AS (SELECT doc_id, line, license, 2 * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice
-      FROM g JOIN t ON len(g) BETWEEN {licenses.THRESHOLD / (2 - licenses.THRESHOLD)!r} * len(grams) AND {(2 - licenses.THRESHOLD) / licenses.THRESHOLD!r} * len(grams)),
+      FROM g JOIN t ON len(g) BETWEEN lo AND hi),
 m AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, max(dice) AS best,
              string_agg(DISTINCT CAST(line AS VARCHAR), ',' ORDER BY CAST(line AS VARCHAR)) AS lines
       FROM h WHERE dice >= {licenses.THRESHOLD} GROUP BY doc_id)
