@@ -117,7 +117,11 @@ def base_metrics(df: DataFrame, text_col: str = "text", stop_words=None) -> Data
     covered = F.aggregate(
         F.transform(at, lambda p, k: F.least(F.coalesce(F.get(at, k + 1) - p, F.lit(WINDOW)), F.lit(WINDOW))),
         F.lit(0), lambda a, x: a + x)
-    return step4.select(*keep, *[c for c in counts], F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
+    # A filter on the verdict would be pushed through these projections, and
+    # the expressions, which refer to one another many times over, multiplied
+    # out. Catalyst pushes nothing past a non-deterministic column.
+    barrier = F.monotonically_increasing_id() < 0
+    return step4.select(*keep, *counts, F.when(barrier, F.lit(None)).otherwise(F.coalesce(covered, F.lit(0))).cast("long").alias("n_repeat_words"))
 
 
 def ratios() -> dict[str, Column]:
