@@ -50,3 +50,15 @@ def zero_score(quantity) -> Column:
 
 def as_double(col) -> Column:
     return _c(col).cast("double")
+
+
+# Coefficients of the deterministic logistic score.
+SCORE_INTERCEPT = 1.5
+SCORE_DAYS = -0.9
+SCORE_DISCOUNT = 2.0
+
+
+def fixed_logit(days: Column, discount: Column) -> Column:
+    """The fixed logistic score, rounded to six places."""
+    z = F.lit(SCORE_INTERCEPT) + F.lit(SCORE_DAYS) * days + F.lit(SCORE_DISCOUNT) * discount
+    return F.round(1 / (1 + F.exp(-z)), 6)

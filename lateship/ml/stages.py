@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.feature import (Imputer, OneHotEncoder, StandardScaler,
@@ -76,11 +75,3 @@ def classifier_and_grid(name: str, label: str = LABEL, seed: int = 42,
     for pname, vals in values.items():
         builder = builder.addGrid(est.getParam(pname), list(vals))
     return est, builder.build()
-
-
-def training_pipeline(df: DataFrame, name: str, numeric=None, categorical=None,
-                      label: str = LABEL, seed: int = 42, grid: dict | None = None):
-    """(Pipeline, param grid): feature stages plus the chosen classifier."""
-    numeric, categorical = feature_columns(df, numeric, categorical)
-    est, params = classifier_and_grid(name, label, seed, grid)
-    return Pipeline(stages=feature_stages(numeric, categorical) + [est]), params

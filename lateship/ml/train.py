@@ -1,10 +1,11 @@
 """Training with cross-validation, model persistence, scoring and reports.
 
-Data movement: the training rows are persisted (memory, spilling to disk)
-for the duration of the fit and released afterwards; partitioning is left
-to the scan and AQE instead of a fixed ``repartition(200)``. The split and
-the folds are key hashes, so they are reproducible, disjoint, and survive
-recomputation after an executor loss.
+Data movement: the feature stages are fitted once per fold and the prepared
+rows (vector, label and fold part) are the only copy that is persisted; the
+whole grid is searched on them. Partitioning is left to the scan and AQE
+unless ``num_partitions`` asks for a hash partitioning on the row key. The
+split and the folds are key hashes by default, so they are reproducible,
+disjoint, and survive recomputation after an executor loss.
 """
 
 from __future__ import annotations
@@ -13,18 +14,17 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.expr import slug_text
-from ..operators.clean import hash_bucket, split_hash
+from ..operators.clean import hash_bucket, split_hash, split_random
 from ..operators.evaluate import classification_metrics
 from ..operators.stats import auc_exact
 from ..schema import LABEL
-from .stages import feature_columns, training_pipeline
+from .stages import classifier_and_grid, feature_columns, feature_stages
 
 
 @contextmanager
@@ -45,33 +45,70 @@ class TrainResult:
     test: DataFrame
 
 
+def _describe(params: dict) -> str:
+    return ", ".join(f"{p.name}={v}" for p, v in sorted(params.items(), key=lambda kv: kv[0].name))
+
+
+def cross_validate(train: DataFrame, features: Pipeline, classifier, grid: list[dict], num_folds: int,
+                   label: str) -> list[float]:
+    """Mean area under ROC of each grid point over the folds in ``fold``.
+
+    Per fold the feature stages are fitted once, on the other folds; the
+    prepared rows of the fold are persisted, and every grid point is fitted
+    and measured on them.
+    """
+    evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
+    total = [0.0] * len(grid)
+    for k in range(num_folds):
+        prepared = features.fit(train.filter(F.col("fold") != k)).transform(train).select("features", label, "fold")
+        with persisted(prepared):
+            fit_part, held = prepared.filter(F.col("fold") != k), prepared.filter(F.col("fold") == k)
+            for i, params in enumerate(grid):
+                total[i] += evaluator.evaluate(classifier.fit(fit_part, params).transform(held))
+    return [t / num_folds for t in total]
+
+
 def train_and_select(df: DataFrame, name: str, key_cols: list[str], numeric=None,
                      categorical=None, label: str = LABEL, num_folds: int = 2,
-                     parallelism: int = 1, seed: int = 42, grid: dict | None = None) -> TrainResult:
-    """Hash split 80/20, k-fold cross-validation over the grid by area under
-    ROC, best model refit on the whole training part."""
+                     seed: int = 42, grid: dict | None = None, with_mean: bool = True,
+                     split: str = "hash", num_partitions: int | None = None) -> TrainResult:
+    """80/20 split, k-fold cross-validation over the grid by area under ROC,
+    best grid point refit on the whole training part.
+
+    ``split``: ``"hash"`` of ``key_cols`` or ``"random"`` (Spark's seeded
+    ``randomSplit``, then cut off by a checkpoint so that both parts agree
+    for good). ``with_mean=False`` keeps the one-hot vectors sparse: memory
+    and each optimizer pass then do not grow with the number of categories.
+    ``num_partitions`` hash-partitions the rows on their key; a random
+    forest's bagging is seeded per partition, so the fitted trees depend on
+    the partitioning, whatever the machine.
+    """
     numeric, categorical = feature_columns(df, numeric, categorical)
-    data = df.select(*key_cols, *numeric, *categorical, label).na.drop(subset=[label])
-    # every optimizer iteration is one pass over the cached rows: spread them
-    # over at least one partition per core (the scan may give fewer)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if data.rdd.getNumPartitions() < cores:
-        data = data.repartition(cores)
-    train, test = split_hash(data, key_cols, salt=str(seed))
+    if split not in ("hash", "random"):
+        raise ValueError(f"unknown split {split!r}")
+    cols = list(dict.fromkeys([*key_cols, *numeric, *categorical, label]))
+    data = df.select(*cols).na.drop(subset=[label])
+    if num_partitions:
+        data = data.repartition(num_partitions, *(key_cols or numeric + categorical))
+    if split == "hash":
+        train, test = split_hash(data, key_cols, salt=str(seed))
+    else:
+        data = data.checkpoint()
+        train, test = split_random(data, 0.8, seed)
     train = train.withColumn("fold", hash_bucket(key_cols, num_folds, "fold"))
-    pipeline, params = training_pipeline(train, name, numeric, categorical, label, seed, grid)
-    evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=params, evaluator=evaluator,
-                        numFolds=num_folds, foldCol="fold", parallelism=parallelism, seed=seed)
-    with persisted(train):
-        cv_model = cv.fit(train)
-    rows = []
-    for pm, metric in zip(params, cv_model.avgMetrics):
-        desc = ", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda kv: kv[0].name))
-        rows.append((name, desc, float(metric)))
-    spark = df.sparkSession
-    grid_df = spark.createDataFrame(rows, "model string, params string, avg_auc double")
-    return TrainResult(name, cv_model.bestModel, grid_df, train.drop("fold"), test)
+    classifier, params = classifier_and_grid(name, label, seed, grid)
+    features = Pipeline(stages=feature_stages(numeric, categorical, with_mean))
+    # One grid point wins without a search, but its metric is reported too.
+    metrics = cross_validate(train, features, classifier, params, num_folds, label)
+    best = max(range(len(params)), key=lambda i: metrics[i])
+    fitted = features.fit(train)
+    prepared = fitted.transform(train).select("features", label)
+    with persisted(prepared):
+        last = classifier.fit(prepared, params[best])
+    model = PipelineModel(stages=[*fitted.stages, last])
+    rows = [(name, _describe(p), float(m)) for p, m in zip(params, metrics)]
+    grid_df = df.sparkSession.createDataFrame(rows, "model string, params string, avg_auc double")
+    return TrainResult(name, model, grid_df, train.drop("fold"), test)
 
 
 def model_dir(base: str, name: str) -> str:
@@ -112,7 +149,7 @@ def evaluation_report(pred: DataFrame, name: str, label: str = LABEL) -> DataFra
         scored = p.select(label, vector_to_array("probability")[1].alias("p1"))
         auc = auc_exact(scored, label, "p1").first()["auc"]
         m = classification_metrics(p, label, "prediction").first().asDict()
-    row = (name, float(auc_binned), float(auc), m["accuracy"], m["weighted_precision"],
+    row = (name, float(auc_binned), None if auc is None else float(auc), m["accuracy"], m["weighted_precision"],
            m["weighted_recall"], m["weighted_f1"])
     return pred.sparkSession.createDataFrame(
         [row], "model string, auc double, auc_exact double, accuracy double, "

@@ -73,21 +73,25 @@ def winsorize_column(df: DataFrame, col: str, lower: float = 0.01, upper: float
     return winsorize_columns(df, [col], lower, upper, exact, rel_error)
 
 
+def key_hash(key_cols: list[str], salt: str = "") -> Column:
+    """The first 32 bits of the md5 of the key text, as a long."""
+    text = F.concat_ws("|", F.lit(salt), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key_cols])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
 def hash_bucket(key_cols: list[str], buckets: int = 10, salt: str = "") -> Column:
     """Deterministic bucket 0..buckets-1 from the md5 of the key text.
 
     Independent of partitioning and of task retries, and reproducible in SQL
     (md5, first 8 hex digits, modulo).
     """
-    text = F.concat_ws("|", F.lit(salt), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key_cols])
-    h = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
-    return (h % buckets).cast("int")
+    return (key_hash(key_cols, salt) % buckets).cast("int")
 
 
-def sample_hash(df: DataFrame, fraction: float, key_cols: list[str], salt: str = "42",
-                resolution: int = 10000) -> DataFrame:
-    """Repeatable sample: keep rows whose key hash falls under ``fraction``."""
-    return df.filter(hash_bucket(key_cols, resolution, salt) < int(round(fraction * resolution)))
+def sample_hash(df: DataFrame, fraction: float, key_cols: list[str], salt: str = "42") -> DataFrame:
+    """Repeatable sample: keep rows whose 32-bit key hash falls under
+    ``fraction`` of its range (so fractions down to about 1e-9 hold)."""
+    return df.filter(key_hash(key_cols, salt) < F.lit(float(fraction) * 2 ** 32))
 
 
 def sample_seeded(df: DataFrame, fraction: float = 0.1, seed: int = 42) -> DataFrame:
@@ -95,6 +99,14 @@ def sample_seeded(df: DataFrame, fraction: float = 0.1, seed: int = 42) -> DataF
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
+def split_random(df: DataFrame, train: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Spark's ``randomSplit``: seeded, but dependent on partitioning and row
+    order, so persist or checkpoint the input when both parts must agree
+    after a recomputation. :func:`split_hash` has no such condition."""
+    a, b = df.randomSplit([train, 1.0 - train], seed=seed)
+    return a, b
+
+
 def split_hash(df: DataFrame, key_cols: list[str], train_buckets: int = 8, buckets: int = 10,
                salt: str = "42") -> tuple[DataFrame, DataFrame]:
     """80/20 split by key hash: disjoint, complete, stable across reruns."""

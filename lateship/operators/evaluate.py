@@ -18,13 +18,14 @@ def confusion_counts(df: DataFrame, label: str = "late_delivery_risk",
 
 def confusion_square(df: DataFrame, label: str = "late_delivery_risk",
                      prediction: str = "prediction", classes=(0.0, 1.0)) -> DataFrame:
-    """Square form: one row per actual class, one column per predicted class."""
+    """Square form: one row per actual class, one column per predicted class,
+    and ``pred_other`` for every other prediction (null included), so that a
+    row's columns always add up to its class."""
     long = confusion_counts(df, label, prediction)
-    names = {c: f"pred_{int(c)}" for c in classes}
-    sq = long.groupBy("actual").pivot("predicted", list(classes)).agg(F.sum("n"))
-    for c in classes:
-        sq = sq.withColumnRenamed(str(c), names[c])
-    return sq.fillna(0, subset=list(names.values()))
+    known = F.coalesce(F.col("predicted").isin(*classes), F.lit(False))
+    return long.groupBy("actual").agg(
+        *[F.sum(F.when(F.col("predicted") == c, F.col("n")).otherwise(0)).alias(f"pred_{int(c)}") for c in classes],
+        F.sum(F.when(~known, F.col("n")).otherwise(0)).alias("pred_other"))
 
 
 def classification_metrics(df: DataFrame, label: str = "late_delivery_risk",

@@ -7,18 +7,22 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 # Largest dimension we are willing to ship to every executor.
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
+def planned_bytes(df: DataFrame) -> int:
+    """The optimizer's size of ``df``: file sizes scaled to the columns read,
+    and an upper estimate above joins. No job is run."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
-    The check is a bounded job (``limit(max_rows + 1).count()``), never a full
-    count. Beyond the bound the frame is returned unchanged and Catalyst/AQE
-    pick a shuffle join (and may still convert it at runtime).
+
+def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only if its planned size is within ``max_bytes``.
+
+    Beyond the bound the frame is returned unchanged; AQE may still broadcast
+    it once its real size has been measured, else the join is a shuffle join.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if planned_bytes(df) <= max_bytes else df
 
 
 def null_safe_condition(left: DataFrame, right: DataFrame, left_keys, right_keys):

@@ -137,11 +137,20 @@ def winsorize_columns_approx(spark, sf_dir):
 @query("sample_hash", with_fixtures("""
 SELECT * FROM order_items
 WHERE CAST(('0x' || substr(md5(concat_ws('|', '42', CAST(order_id AS VARCHAR), CAST(line_no AS VARCHAR))), 1, 8))
-           AS BIGINT) % 10000 < 1000""", "order_items"))
+           AS BIGINT) < 0.1 * 4294967296""", "order_items"))
 def sample_hash(spark, sf_dir):
     return clean.sample_hash(order_items(spark, sf_dir), 0.1, ["order_id", "line_no"], salt="42")
 
 
+@query("sample_hash_small", with_fixtures("""
+SELECT * FROM order_items
+WHERE CAST(('0x' || substr(md5(concat_ws('|', 'small', CAST(order_id AS VARCHAR), CAST(line_no AS VARCHAR))), 1, 8))
+           AS BIGINT) < 0.00007 * 4294967296""", "order_items"))
+def sample_hash_small(spark, sf_dir):
+    """A fraction below one in ten thousand."""
+    return clean.sample_hash(order_items(spark, sf_dir), 0.00007, ["order_id", "line_no"], salt="small")
+
+
 @query("sample_seeded")
 def sample_seeded(spark, sf_dir):
     return clean.sample_seeded(order_items(spark, sf_dir), 0.1, 42)

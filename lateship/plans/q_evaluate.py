@@ -25,7 +25,8 @@ def confusion_matrix(spark, sf_dir):
 @query("confusion_matrix_square", with_fixtures("""
 SELECT CAST(late_delivery_risk AS DOUBLE) AS actual,
        count(*) FILTER (WHERE prediction = 0.0) AS pred_0,
-       count(*) FILTER (WHERE prediction = 1.0) AS pred_1
+       count(*) FILTER (WHERE prediction = 1.0) AS pred_1,
+       count(*) FILTER (WHERE prediction IS NULL OR prediction NOT IN (0.0, 1.0)) AS pred_other
 FROM predictions GROUP BY ALL""", "predictions"))
 def confusion_matrix_square(spark, sf_dir):
     return evaluate.confusion_square(predictions(spark, sf_dir))

@@ -140,6 +140,23 @@ def enrich_with_distance(spark, sf_dir):
     return enriched(spark, sf_dir).select(*_KEYS, F.round("distance_km", 3).alias("distance_km"))
 
 
+@query("enrich_repeated_keys", with_fixtures("""
+SELECT o.order_id, o.line_no, o.order_city, o.order_state, g.dest_lat, g.dest_lon
+FROM order_items o LEFT JOIN (
+  SELECT order_city, order_state, dest_lat, dest_lon FROM (
+    SELECT *, row_number() OVER (PARTITION BY order_city, order_state
+        ORDER BY CASE WHEN dest_lat IS NOT NULL AND dest_lon IS NOT NULL THEN 0 ELSE 1 END,
+                 dest_lat NULLS FIRST, dest_lon NULLS FIRST) AS rn
+    FROM (SELECT * FROM gazetteer
+          UNION ALL SELECT order_city, order_state, lat, lon FROM geocode_candidates) u
+  ) WHERE rn = 1) g
+  ON o.order_city IS NOT DISTINCT FROM g.order_city
+ AND o.order_state IS NOT DISTINCT FROM g.order_state""", "order_items", "gazetteer", "geocode_candidates"))
+def enrich_repeated_keys(spark, sf_dir):
+    """A gazetteer with several rows per key: one row per order item all the same."""
+    return geo.enrich_with_distance(order_items(spark, sf_dir), _gazetteer_with_repeats(spark, sf_dir)).select(*_KEYS)
+
+
 @query("haversine_distance", with_fixtures("""
 SELECT DISTINCT latitude, longitude, dest_lat, dest_lon, round(distance_km, 3) AS distance_km
 FROM enriched""", "enriched"))

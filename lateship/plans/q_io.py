@@ -37,9 +37,16 @@ def scan_csv_latin1(spark, sf_dir):
 
 
 @query("scan_csv_encoding_fallback", with_fixtures(
-    f"SELECT {_LOSSY_SQL} AS city, state FROM city_names", "city_names"))
+    f"""SELECT {_LOSSY_SQL} AS city, state FROM city_names
+UNION ALL SELECT city, state FROM city_names
+UNION ALL SELECT chr(65533) || ' ' || city AS city, state FROM city_names""", "city_names"))
 def scan_csv_encoding_fallback(spark, sf_dir):
+    """A folder that mixes Latin-1 and UTF-8 files; the UTF-8 ones also hold
+    U+FFFD as legitimate text."""
     path = _latin1_file(spark, sf_dir)
+    names = city_names(spark, sf_dir)
+    sinks.write_csv(names, path, mode="append")
+    sinks.write_csv(names.withColumn("city", F.concat(F.lit("\ufffd "), F.col("city"))), path, mode="append")
     return sources.read_csv_fallback(spark, path, _CITY_SCHEMA)
 
 
@@ -122,11 +129,44 @@ def sink_gazetteer_append(spark, sf_dir):
     keys = order_items(spark, sf_dir).select("order_city", "order_state").distinct()
     todo = geo.pending_keys(keys, done)
     picked = geo.pick_candidate(geocode_candidates(spark, sf_dir))
-    new = geo.geo_join_nullsafe(todo, picked, broadcast_max_rows=2_000_000)
+    new = geo.geo_join_nullsafe(todo, picked)
     sinks.append_csv(to_reference(new.select("order_city", "order_state", "dest_lat", "dest_lon")), path)
     return sources.read_gazetteer(spark, path)
 
 
+@query("sink_gazetteer_append_retry", with_fixtures("""
+SELECT order_city, order_state, dest_lat, dest_lon FROM gazetteer_done d
+WHERE d.dest_lat IS NOT NULL AND d.dest_lon IS NOT NULL
+UNION ALL
+SELECT k.order_city, k.order_state, p.dest_lat, p.dest_lon
+FROM (SELECT DISTINCT order_city, order_state FROM order_items) k
+LEFT JOIN picked p ON k.order_city IS NOT DISTINCT FROM p.order_city
+                  AND k.order_state IS NOT DISTINCT FROM p.order_state
+WHERE NOT EXISTS (SELECT 1 FROM gazetteer_done d
+                  WHERE d.order_city IS NOT DISTINCT FROM k.order_city
+                    AND d.order_state IS NOT DISTINCT FROM k.order_state
+                    AND d.dest_lat IS NOT NULL AND d.dest_lon IS NOT NULL)""",
+    "order_items", "gazetteer_done", "geocode_candidates", extra="""
+picked AS (
+SELECT order_city, order_state,
+       CASE WHEN lat IS NOT NULL AND lon IS NOT NULL THEN lat END AS dest_lat,
+       CASE WHEN lat IS NOT NULL AND lon IS NOT NULL THEN lon END AS dest_lon
+FROM (SELECT *, row_number() OVER (PARTITION BY order_city, order_state
+          ORDER BY CASE WHEN result_type = 'city' THEN 0 ELSE 1 END, rank) AS rn
+      FROM geocode_candidates) WHERE rn = 1)"""))
+def sink_gazetteer_append_retry(spark, sf_dir):
+    """The resumed run also retries failed keys and appends their answers;
+    reading the folder with unique keys gives one row per key."""
+    path = shared_dir(spark, "gazetteer-retry")
+    sinks.append_csv(to_reference(gazetteer(spark, sf_dir, done_only=True)), path)
+    done = sources.read_gazetteer(spark, path)
+    keys = order_items(spark, sf_dir).select("order_city", "order_state").distinct()
+    todo = geo.pending_keys(keys, done, retry_failed=True)
+    new = geo.geo_join_nullsafe(todo, geo.pick_candidate(geocode_candidates(spark, sf_dir)))
+    sinks.append_csv(to_reference(new.select("order_city", "order_state", "dest_lat", "dest_lon")), path)
+    return sources.read_gazetteer(spark, path, unique=True)
+
+
 _DOC_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampNTZType()), T.StructField("Order City", T.StringType()),
     T.StructField("Order Region", T.StringType()), T.StructField("Order Item Total", T.DoubleType()),

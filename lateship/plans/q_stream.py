@@ -54,6 +54,13 @@ def stream_json_parse(spark, sf_dir):
     return _run(spark, parsed, "parse").select(*_PARSED_COLS)
 
 
+@query("json_parse_flatten", with_fixtures("SELECT * FROM events_parsed", "events_parsed"))
+def json_parse_flatten(spark, sf_dir):
+    """The same parsing over a batch table of lines."""
+    lines = spark.read.text(events_dir(spark, sf_dir))
+    return job.parse_orders(lines, with_ingest_ts=False).select(*_PARSED_COLS)
+
+
 @query("stream_static_join", with_fixtures("""
 SELECT e.order_date, e.order_city, e.order_state, e.order_item_total, g.dest_lat, g.dest_lon
 FROM events_parsed e LEFT JOIN gazetteer g
@@ -105,6 +112,8 @@ def stream_score_model(spark, sf_dir):
     return _run(spark, stream, "model")
 
 
+_DUAL_DOCUMENT = ("timestamp timestamp, `Order City` string, `Order Region` string, "
+                  "`Order Item Total` double, prediction double")
 _E2E = f"""
 SELECT e.order_city, e.order_region, e.order_item_total,
        CAST({_FIXED} > 0.5 AS DOUBLE) AS prediction, true AS has_timestamp
@@ -120,15 +129,22 @@ def stream_end_to_end(spark, sf_dir):
                       F.col("ingest_ts").isNotNull().alias("has_timestamp"))
 
 
+_DUAL = (_E2E.replace("e.order_city,", "e.order_city AS city,", 1)
+         .replace("e.order_region,", "e.order_region AS region,")
+         .replace("e.order_item_total,", "e.order_item_total AS amount,"))
+
+
 @query("stream_foreach_batch_dual", with_fixtures(
-    _E2E.replace("e.order_city,", "e.order_city AS city,", 1)
-        .replace("e.order_region,", "e.order_region AS region,")
-        .replace("e.order_item_total,", "e.order_item_total AS amount,"), "events_parsed", "gazetteer"))
+    f"SELECT *, 'relational' AS target FROM ({_DUAL}) UNION ALL SELECT *, 'documents' AS target FROM ({_DUAL})",
+    "events_parsed", "gazetteer"))
 def stream_foreach_batch_dual(spark, sf_dir):
     stream = job.scoring_stream(_lines(spark, sf_dir), gazetteer(spark, sf_dir), job.Scoring("fixed"))
     rel, docs, ckpt = (shared_dir(spark, "relational"), shared_dir(spark, "docs"),
                        shared_dir(spark, "dual-ckpt"))
     job.run_available_now(stream, ckpt, foreach_batch=job.dual_sink(rel, docs))
-    out = spark.read.parquet(rel)
-    return out.select("city", "region", "amount", "prediction",
-                      F.col("timestamp").isNotNull().alias("has_timestamp"))
+    a = spark.read.parquet(rel).select("city", "region", "amount", "prediction",
+                                       F.col("timestamp").isNotNull().alias("has_timestamp"), F.lit("relational").alias("target"))
+    d = spark.read.schema(_DUAL_DOCUMENT).json(docs)
+    b = d.select(F.col("Order City").alias("city"), F.col("Order Region").alias("region"), F.col("Order Item Total").alias("amount"),
+                 "prediction", F.col("timestamp").isNotNull().alias("has_timestamp"), F.lit("documents").alias("target"))
+    return a.unionByName(b)

@@ -32,10 +32,12 @@ EVENT_FIELDS = [
 
 EVENT_SCHEMA = T.StructType([T.StructField(n, t, True) for n, t in EVENT_FIELDS])
 
-# Reference header -> our column name.
+# CSV header -> our column name.
 REFERENCE_TO_SNAKE = {
     "order_date": "order_ts",
     "order date (DateOrders)": "order_ts",
+    "Order Id": "order_id",
+    "Order Item Id": "line_no",
     "Order City": "order_city",
     "Order State": "order_state",
     "Customer Segment": "customer_segment",
@@ -58,7 +60,7 @@ REFERENCE_TO_SNAKE = {
     "Late_delivery_risk": "late_delivery_risk",
 }
 
-# The 16 columns of the profiling projection, in the reference's order.
+# The 16 columns of the profiling projection, in the reference's order.
 MODEL_COLUMNS = [
     "late_delivery_risk", "days_scheduled", "order_ts", "shipping_mode",
     "market", "order_region", "latitude", "longitude", "category_name",
@@ -66,20 +68,20 @@ MODEL_COLUMNS = [
     "customer_segment", "order_item_total", "order_profit", "discount_rate",
 ]
 
-# Numeric columns shown as box plots by the reference.
+# Numeric columns shown as box plots by the reference.
 NUMERIC_COLUMNS = [
     "days_scheduled", "latitude", "longitude", "order_item_quantity",
     "order_item_total", "order_profit", "discount_rate", "dest_lat",
     "dest_lon", "distance_km",
 ]
 
-# Columns profiled for distinct values.
+# Columns profiled for distinct values.
 PROFILE_COLUMNS = [
     "market", "late_delivery_risk", "category_name", "customer_segment",
     "shipping_mode",
 ]
 
-# Training features of the current pipeline, and the older layout that the
+# Training features of the current pipeline, and the older layout that the
 # saved logistic-regression / random-forest artifacts were built with.
 CATEGORICAL_FEATURES = ["shipping_mode", "order_region", "order_state"]
 NUMERIC_FEATURES = ["latitude", "longitude", "distance_km"]

@@ -51,8 +51,10 @@ def build_session(app_name: str = "lateship", master: str | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting is always used when present. Only when it is unset
-    (local tests) is a fresh private folder created and set.
+    The cluster's setting is always used when present. If it is unset, a
+    fresh private folder is created and set on a ``local`` master (tests);
+    on any other master the executors could not see such a folder, and
+    ``RuntimeError`` is raised.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="lateship-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

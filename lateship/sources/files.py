@@ -3,9 +3,7 @@ and the gazetteer file."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..schema import to_snake
 
@@ -27,29 +25,33 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return r.csv(path)
 
 
-def has_replacement_chars(df: DataFrame) -> bool:
-    """True if any string cell holds U+FFFD (bytes that were not UTF-8).
+def decode_cell(cell: Column) -> Column:
+    """A cell that was read as ISO-8859-1: its UTF-8 decoding if its bytes are
+    valid UTF-8, else the Latin-1 text itself."""
+    raw = F.encode(cell, "ISO-8859-1")
+    return F.when(F.is_valid_utf8(raw.cast("string")), F.decode(raw, "UTF-8")).otherwise(cell)
 
-    A bounded job: the filter stops at the first hit (``limit(1)``).
-    """
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    if not strings:
-        return False
-    hit = reduce(lambda a, b: a | b, [F.coalesce(F.col(f"`{c}`").contains("�"), F.lit(False))
-                                      for c in strings])
-    return df.filter(hit).limit(1).count() > 0
 
+def read_csv_fallback(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Read text of either encoding in one scan.
 
-def read_csv_fallback(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                      fallback: str = "ISO-8859-1") -> DataFrame:
-    """Read as UTF-8; if the text does not decode, read again as ``fallback``."""
-    df = read_csv(spark, path, schema)
-    return read_csv(spark, path, schema, encoding=fallback) if has_replacement_chars(df) else df
+    Every byte is an ISO-8859-1 character, so reading as ISO-8859-1 loses
+    nothing; each string cell is then decoded on its own. A folder may mix
+    files of both encodings, and one odd cell does not change the others.
+    """
+    df = read_csv(spark, path, schema, encoding="ISO-8859-1")
+    return df.select(*[decode_cell(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType)
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
 
 
-def read_gazetteer(spark: SparkSession, path: str | None) -> DataFrame | None:
+def read_gazetteer(spark: SparkSession, path: str | None, unique: bool = False) -> DataFrame | None:
     """The four gazetteer columns, renamed to ours; None when no path is
-    configured (the caller then skips the join, by configuration)."""
+    configured (the caller then skips the join, by configuration).
+
+    A malformed coordinate is null. ``unique=True`` keeps one row per key (a
+    row with coordinates wins), which is what a folder holds after a retried
+    append; the joins do the same on their own.
+    """
     if not path:
         return None
     df = spark.read.option("header", True).option("enforceSchema", False).csv(path)
@@ -57,6 +59,7 @@ def read_gazetteer(spark: SparkSession, path: str | None) -> DataFrame | None:
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise ValueError(f"gazetteer {path} lacks columns {missing}")
-    typed = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
+    typed = df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
                         for f in GAZETTEER_SCHEMA.fields])
-    return to_snake(typed)
+    from ..operators.geo import dedup_gazetteer
+    return dedup_gazetteer(to_snake(typed)) if unique else to_snake(typed)

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.expr import fixed_logit
 from ..operators.joins import checked_broadcast
 from ..session import shared_dir
 from .tables import table
@@ -78,9 +79,9 @@ def city_of(custkey: Column) -> Column:
 def _nation_region(spark, sf_dir) -> DataFrame:
     n = table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region", "r_regionkey", "r_name")
-    nr = n.join(checked_broadcast(r, 100_000), n.n_regionkey == r.r_regionkey).select(
+    nr = n.join(checked_broadcast(r), n.n_regionkey == r.r_regionkey).select(
         "n_nationkey", "n_name", "r_name")
-    return checked_broadcast(nr, 100_000)
+    return checked_broadcast(nr)
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,7 +176,7 @@ def build_gazetteer(spark: SparkSession, sf_dir: str, done_only: bool = False) -
          .otherwise((F.lit(-60) + (nk * 53 + 11) % 121).cast("double")).alias("dest_lat"),
         F.when(missing, F.lit(None).cast("double"))
          .otherwise((F.lit(-180) + (nk * 97 + 29) % 360).cast("double")).alias("dest_lon"))
-    return (c.join(checked_broadcast(n, 100_000), c.c_nationkey == n.n_nationkey)
+    return (c.join(checked_broadcast(n), c.c_nationkey == n.n_nationkey)
              .select(city_of(F.col("c_custkey")).alias("order_city"),
                      F.col("n_name").alias("order_state"), "dest_lat", "dest_lon")
              .distinct())
@@ -196,7 +197,7 @@ def build_geocode_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     c = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    keys = (c.join(checked_broadcast(n, 100_000), c.c_nationkey == n.n_nationkey)
+    keys = (c.join(checked_broadcast(n), c.c_nationkey == n.n_nationkey)
              .select(city_of(F.col("c_custkey")).alias("order_city"),
                      F.col("n_name").alias("order_state"), "n_nationkey")
              .distinct())
@@ -219,17 +220,6 @@ def build_geocode_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Coefficients of the deterministic logistic score.
-SCORE_INTERCEPT = 1.5
-SCORE_DAYS = -0.9
-SCORE_DISCOUNT = 2.0
-
-
-def fixed_logit(days: Column, discount: Column) -> Column:
-    z = F.lit(SCORE_INTERCEPT) + F.lit(SCORE_DAYS) * days + F.lit(SCORE_DISCOUNT) * discount
-    return F.round(1 / (1 + F.exp(-z)), 6)
-
-
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored order items: fixed logistic score, prediction = score > 0.5."""
     df = order_items(spark, sf_dir)
@@ -252,6 +242,6 @@ def build_city_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     ck = F.col("c_custkey")
     city = F.concat(F.element_at(words, (ck % len(ACCENTED_WORDS) + 1).cast("int")),
                     F.lit(" "), (ck % 40).cast("string"))
-    return (c.join(checked_broadcast(n, 100_000), c.c_nationkey == n.n_nationkey)
+    return (c.join(checked_broadcast(n), c.c_nationkey == n.n_nationkey)
              .select(city.alias("city"), F.col("n_name").alias("state"))
              .distinct())

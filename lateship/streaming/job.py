@@ -3,8 +3,9 @@
 Stateless apart from source offsets: each micro-batch is parsed, joined to
 the static gazetteer (broadcast after a size check), scored, and appended.
 The checkpoint (under the shared checkpoint folder) makes a restart resume
-at the first unfinished batch; the dual sink keys every write by batch id
-so a replayed batch overwrites its own output instead of duplicating it.
+at the first unfinished batch; the dual sink keys every write by the writing
+query and its batch id, so a replayed batch overwrites its own output instead
+of duplicating it, and no other query's output is ever touched.
 """
 
 from __future__ import annotations
@@ -14,13 +15,12 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.expr import zero_score
+from ..functions.expr import fixed_logit, zero_score
 from ..functions.geo import haversine_km
-from ..operators.joins import checked_broadcast
+from ..operators.geo import geo_join_using
 from ..schema import EVENT_SCHEMA, REFERENCE_TO_SNAKE
 from ..sinks.files import write_json_documents
 from ..sinks.jdbc import RELATIONAL_COLUMNS, to_relational, write_jdbc
-from ..sources.fixtures import fixed_logit
 
 FINAL_COLUMNS = ["ingest_ts", "order_city", "order_region", "order_item_total", "prediction"]
 # Field names of one stored prediction document.
@@ -57,10 +57,12 @@ def parse_orders(lines: DataFrame, with_ingest_ts: bool = True) -> DataFrame:
 
 def join_gazetteer(orders: DataFrame, gaz: DataFrame | None) -> DataFrame:
     """Stream-static left join on (city, state), plain equality; skipped
-    when no gazetteer is configured."""
+    when no gazetteer is configured. Repeated gazetteer keys are reduced to
+    one row first, so no order is multiplied; orders without a city or state
+    (the producer sends none) match nothing and are spread over all tasks."""
     if gaz is None:
         return orders
-    return orders.join(checked_broadcast(gaz), ["order_city", "order_state"], "left")
+    return geo_join_using(orders, gaz)
 
 
 def fill_missing_coords(df: DataFrame) -> DataFrame:
@@ -111,34 +113,62 @@ def to_documents(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).alias(DOCUMENT_NAMES[c]) for c in FINAL_COLUMNS])
 
 
+# Partition folders of the file targets: the date bounds the folders of one
+# level, writer and batch identify the output of one micro-batch.
+BATCH_KEYS = ["batch_date", "writer_id", "batch_id"]
+
+
+def _writer_of(batch: DataFrame) -> str:
+    """The id of the running streaming query, which its checkpoint keeps
+    across restarts."""
+    wid = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not wid:
+        raise ValueError("dual_sink outside a streaming query needs an explicit writer_id")
+    return wid
+
+
 def dual_sink(relational_path: str | None = None, documents_path: str | None = None,
-              jdbc: dict | None = None):
+              jdbc: dict | None = None, writer_id: str | None = None,
+              documents_format: str = "json", documents_options: dict | None = None):
     """``foreachBatch`` function writing each micro-batch to two targets.
 
     * relational: a JDBC table when ``jdbc`` (url, table, properties) is
-      configured, else a Parquet table partitioned by ``batch_id``;
-    * documents: JSON objects partitioned by ``batch_id``.
-
-    File targets overwrite only their own ``batch_id`` partition (dynamic
-    partition overwrite), so a replayed batch replaces its earlier output.
-    Empty batches are skipped. Errors propagate and stop the query, so the
-    batch is retried from the checkpoint rather than silently lost.
+      configured, else a Parquet table;
+    * documents: JSON objects, or any connector given by
+      ``documents_format`` and ``documents_options`` (appended to).
+
+    File targets are partitioned by date, writer and batch id and overwrite
+    only the partitions of their own batch (dynamic partition overwrite): a
+    replayed batch replaces its earlier output, and what other queries (batch
+    ids start at 0 with every new checkpoint) have written stays. The writer
+    is the streaming query's id, or ``writer_id``; the date comes from the
+    batch's time stamp, which a replay repeats. Empty batches are skipped.
+    Errors propagate and stop the query, so the batch is retried from the
+    checkpoint rather than silently lost.
     """
+    def keyed(df: DataFrame, stamp: str, wid: str, batch_id: int) -> DataFrame:
+        return df.withColumns({"batch_date": F.to_date(F.col(stamp)), "writer_id": F.lit(wid),
+                               "batch_id": F.lit(batch_id).cast("long")})
+
+    def replace_own(df: DataFrame):
+        return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*BATCH_KEYS)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         batch.persist()
         try:
-            rel = to_relational(batch, batch_id)
+            if batch.isEmpty():
+                return
+            wid = writer_id or _writer_of(batch)
             if jdbc:
-                write_jdbc(rel, jdbc["url"], jdbc["table"], jdbc.get("properties"))
+                write_jdbc(to_relational(batch, batch_id).withColumn("writer_id", F.lit(wid)), jdbc["url"], jdbc["table"],
+                           jdbc.get("properties"), replaces=(wid, batch_id), delete_first=jdbc.get("delete_first"))
             elif relational_path:
-                (rel.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                    .partitionBy("batch_id").parquet(relational_path))
-            if documents_path:
-                docs = to_documents(batch).withColumn("batch_id", F.lit(batch_id).cast("long"))
-                (docs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                     .partitionBy("batch_id").json(documents_path))
+                replace_own(keyed(to_relational(batch), "timestamp", wid, batch_id)).parquet(relational_path)
+            if documents_format != "json":
+                w = to_documents(batch).write.format(documents_format).mode("append").options(**(documents_options or {}))
+                w.save(documents_path) if documents_path else w.save()
+            elif documents_path:
+                replace_own(keyed(to_documents(batch), "timestamp", wid, batch_id)).json(documents_path)
         finally:
             batch.unpersist()
     return write
@@ -146,14 +176,23 @@ def dual_sink(relational_path: str | None = None, documents_path: str | None = N
 
 def run_available_now(df: DataFrame, checkpoint: str, sink_path: str | None = None,
                       fmt: str = "parquet", foreach_batch=None, timeout_s: float | None = None):
-    """Process everything available, then stop (``availableNow`` trigger)."""
+    """Process everything available, then stop (``availableNow`` trigger).
+
+    With ``timeout_s``, a query that has not finished by then is stopped and
+    ``TimeoutError`` raised: a partial result is never returned as a whole one
+    (a later run with the same checkpoint goes on where it stopped).
+    """
     w = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True)
     if foreach_batch is not None:
         q = w.foreachBatch(foreach_batch).start()
     else:
         q = w.format(fmt).start(sink_path)
-    q.awaitTermination(timeout_s)
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError(f"stream not finished after {timeout_s} s")
     if q.exception() is not None:
         raise RuntimeError(f"stream failed: {q.exception()}")
     return q

@@ -43,6 +43,19 @@ def test_split_hash_disjoint_complete_stable(spark):
     assert tr2.count() == n_tr
 
 
+def test_sample_hash_keeps_small_fractions(spark):
+    df = spark.range(400_000).withColumnRenamed("id", "order_id")
+    n = {f: clean.sample_hash(df, f, ["order_id"]).count() for f in (4e-5, 7e-5, 1e-4)}
+    assert 5 <= n[4e-5] <= 32 and n[4e-5] < n[7e-5] < n[1e-4]
+
+
+def test_split_random(spark):
+    df = spark.range(4000).cache()
+    a, b = clean.split_random(df, 0.8, 1)
+    assert a.count() + b.count() == 4000 and a.join(b, "id").count() == 0
+    df.unpersist()
+
+
 def test_sample_hash_independent_of_partitioning(spark):
     df = spark.range(3000).withColumnRenamed("id", "order_id")
     a = clean.sample_hash(df, 0.1, ["order_id"]).count()

@@ -20,7 +20,8 @@ EXPECTED = {
     "sink_gazetteer_append", "sink_json_documents", "preview_topn", "project_model_columns",
     "filter_geocoded", "clean_drop_nulls", "clean_null_audit", "drop_null_label",
     "fill_missing_coords", "geo_join_nullsafe", "geo_join_using", "geo_pending_keys",
-    "geo_pending_keys_retry", "geo_dedup_gazetteer",
+    "geo_pending_keys_retry", "geo_dedup_gazetteer", "json_parse_flatten", "enrich_repeated_keys",
+    "sink_gazetteer_append_retry", "sample_hash_small",
 }
 
 

@@ -19,9 +19,39 @@ def test_nullsafe_vs_plain_join(spark):
     assert geo.geo_join_nullsafe(items, gaz).columns.count("order_city") == 1
 
 
+def test_repeated_keys_never_multiply_rows(spark):
+    items, gaz = _frames(spark)
+    many = gaz.unionByName(gaz).unionByName(spark.createDataFrame([("C1", "S1", None, 9.0)], gaz.schema))
+    items = items.withColumn("latitude", items.order_id * 1.0).withColumn("longitude", items.order_id * 1.0)
+    for out in (geo.geo_join_nullsafe(items, many), geo.geo_join_using(items, many), geo.enrich_with_distance(items, many)):
+        assert {r.order_id: r.dest_lat for r in out.collect()}[2] == 3.0 and out.count() == 3
+
+
+def test_shuffle_joins_give_the_same_rows_and_spread_null_keys(spark):
+    """Broadcast switched off: sort-merge plans, salted null keys."""
+    items = spark.range(2000).selectExpr("id AS order_id", "CASE WHEN id % 3 = 0 THEN NULL ELSE concat('C', id % 7) END AS order_city",
+                                         "CASE WHEN id % 5 = 0 THEN NULL ELSE 'S1' END AS order_state")
+    gaz = spark.createDataFrame([(f"C{i}", "S1", float(i), 1.0) for i in range(7)] + [(None, "S1", 50.0, 1.0), (None, None, 51.0, 1.0)],
+                                "order_city string, order_state string, dest_lat double, dest_lon double")
+    old = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for join in (geo.geo_join_nullsafe, geo.geo_join_using):
+        want = sorted(map(str, join(items, gaz).collect()))
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        try:
+            df = join(items, gaz, broadcast_max_bytes=0)
+            assert sorted(map(str, df.collect())) == want
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        finally:
+            spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old)
+    assert "hashpartitioning(order_city" in plan and "__salt" in plan
+
+
 def test_nullsafe_join_is_hash_join(spark):
     items, gaz = _frames(spark)
-    plan = geo.geo_join_nullsafe(items, gaz)._jdf.queryExecution().executedPlan().toString()
+    df = geo.geo_join_nullsafe(items, gaz)
+    df.collect()  # the measured size decides on the broadcast
+    plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
 
 

@@ -20,8 +20,42 @@ def test_fallback_keeps_utf8_and_repairs_latin1(spark):
     a = sorted(r.city for r in sources.read_csv_fallback(spark, utf8, SCHEMA).collect())
     b = sorted(r.city for r in sources.read_csv_fallback(spark, latin, SCHEMA).collect())
     assert a == ["Belém 1", "Dėvė 2"]          # valid UTF-8: read as is
-    assert b == ["Belém 1", "D?v? 2"]          # Latin-1 bytes: re-read as Latin-1
-    assert sources.has_replacement_chars(sources.read_csv(spark, latin, SCHEMA))
+    assert b == ["Belém 1", "D?v? 2"]          # Latin-1 bytes: kept as Latin-1
+
+
+def test_fallback_decides_per_cell_in_one_scan(spark):
+    mixed = shared_dir(spark, "t-mixed")
+    sinks.write_csv(spark.createDataFrame([("Belém", "\ufffd legitimate"), ("", None)], SCHEMA), mixed, mode="append")
+    sinks.write_csv(spark.createDataFrame([("Açaí", "n")], SCHEMA), mixed, encoding="ISO-8859-1", mode="append")
+    df = sources.read_csv_fallback(spark, mixed, SCHEMA)
+    assert sorted((r.city or "", r.state or "") for r in df.collect()) == [("", ""), ("Açaí", "n"), ("Belém", "\ufffd legitimate")]
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+
+
+def test_malformed_coordinates_are_null_and_repeats_fold(spark):
+    path = shared_dir(spark, "t-gaz")
+    spark.createDataFrame([("A", "S", "None", "1"), ("B", "S", "2.5", "x"), ("A", "S", "3", "4")],
+                          "`Order City` string, `Order State` string, Dest_Lat string, Dest_Lon string").write.mode("overwrite").option("header", True).csv(path)
+    got = sorted(((r.order_city, r.dest_lat, r.dest_lon) for r in sources.read_gazetteer(spark, path).collect()), key=str)
+    assert got == [("A", 3.0, 4.0), ("A", None, 1.0), ("B", 2.5, None)]
+    once = sorted((r.order_city, r.dest_lat) for r in sources.read_gazetteer(spark, path, unique=True).collect())
+    assert once == [("A", 3.0), ("B", 2.5)]
+
+
+def test_shared_folder_or_fail(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    import pytest
+    from lateship import session
+
+    calls = []
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: calls and calls[-1] or None, setCheckpointDir=calls.append)
+    fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d))
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(fake)
+    sc.master = "local[2]"
+    assert session.ensure_checkpoint_dir(fake) == calls[-1]
+    os.rmdir(calls[-1])
 
 
 def test_prepared_table_is_rebuilt_when_its_folder_is_gone(spark, sf_dir):

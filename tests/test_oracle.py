@@ -6,12 +6,10 @@ from pathlib import Path
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
-import __spark_entry__ as E  # noqa: E402
+from lateship.plans.registry import ORACLES as SQL, QUERIES, load_all  # noqa: E402
 from oracle_check import canon, duck  # noqa: E402
 
-SQL = E.oracle_sql()
-SLOW = {"stream_json_parse", "stream_static_join", "stream_score_fixed", "stream_fallback_score",
-        "stream_end_to_end", "stream_foreach_batch_dual"}
+load_all()
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +19,7 @@ def con(sf_dir):
 
 @pytest.mark.parametrize("key", sorted(SQL))
 def test_query_matches_oracle(spark, sf_dir, con, key):
-    df = E.queries()[key](spark, sf_dir)
+    df = QUERIES[key](spark, sf_dir)
     rows = [tuple(r) for r in df.collect()]
     res = con.execute(SQL[key])
     ocols = [d[0] for d in res.description]

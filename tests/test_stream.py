@@ -36,22 +36,57 @@ def test_several_batches_constant_ingest_ts_and_restart(spark, sf_dir, events):
     assert spark.read.parquet(rel).count() == total
 
 
+SCORED = ("ingest_ts timestamp, order_city string, order_region string, "
+          "order_item_total double, prediction double")
+
+
 def test_replayed_batch_overwrites_its_own_output(spark):
-    df = spark.createDataFrame([(None, "C", "R", 1.0, 0.0)],
-                               "ingest_ts timestamp, order_city string, order_region string, "
-                               "order_item_total double, prediction double")
+    df = spark.createDataFrame([(None, "C", "R", 1.0, 0.0)], SCORED)
     rel, docs = shared_dir(spark, "t-rel2"), shared_dir(spark, "t-docs2")
-    w = job.dual_sink(rel, docs)
+    w = job.dual_sink(rel, docs, writer_id="a")
     w(df, 7)
     w(df, 7)  # replay
     w(df, 8)
-    assert spark.read.parquet(rel).count() == 2
-    assert spark.read.json(docs).count() == 2
+    job.dual_sink(rel, docs, writer_id="b")(df, 7)  # another writer's batch 7
+    assert spark.read.parquet(rel).count() == 3
+    assert spark.read.json(docs).count() == 3
+    with pytest.raises(ValueError):
+        job.dual_sink(rel, docs)(df, 7)
+
+
+def test_two_queries_keep_each_others_output(spark, sf_dir, events):
+    """Batch ids restart at 0 with every new checkpoint."""
+    stream = job.scoring_stream(job.line_source(spark, events, max_files_per_trigger=2), None, job.Scoring("zero"))
+    rel, docs = shared_dir(spark, "t-rel3"), shared_dir(spark, "t-docs3")
+    total = spark.read.text(events).count()
+    for n in (1, 2):
+        job.run_available_now(stream, shared_dir(spark, "t-ckpt3"), foreach_batch=job.dual_sink(rel, docs))
+        assert spark.read.parquet(rel).count() == n * total
+        assert spark.read.json(docs).count() == n * total
+
+
+def test_timeout_stops_the_query_and_raises(spark, events):
+    import time
+
+    def slow(batch, batch_id):
+        time.sleep(5)
+
+    lines = job.line_source(spark, events, max_files_per_trigger=1)
+    with pytest.raises(TimeoutError):
+        job.run_available_now(lines, shared_dir(spark, "t-ckpt4"), foreach_batch=slow, timeout_s=1)
+    assert not spark.streams.active
+
+
+def test_documents_by_connector(spark):
+    df = spark.createDataFrame([(None, "C", "R", 1.0, 0.0)], SCORED)
+    path = shared_dir(spark, "t-docs5")
+    w = job.dual_sink(documents_path=path, documents_format="parquet", writer_id="a", documents_options={"compression": "gzip"})
+    w(df, 1)
+    assert spark.read.parquet(path).columns == list(job.DOCUMENT_NAMES.values())
 
 
 def test_empty_batch_is_skipped(spark):
-    empty = spark.createDataFrame([], "ingest_ts timestamp, order_city string, order_region string, "
-                                      "order_item_total double, prediction double")
+    empty = spark.createDataFrame([], SCORED)
     rel = os.path.join(tempfile.mkdtemp(), "rel")
     job.dual_sink(rel, None)(empty, 0)
     assert not os.path.exists(rel)
