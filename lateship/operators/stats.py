@@ -18,14 +18,17 @@ value repeated a billion times is one row, and ties never need breaking.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import delete_path, ensure_checkpoint_dir, shared_dir
+
 _PID = "__slice"
 
 
 def _reliable(df: DataFrame) -> DataFrame:
     """Checkpoint to the shared checkpoint folder (``spark.checkpoint.dir``)."""
-    from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -59,8 +62,9 @@ def _local_cum(sliced: DataFrame, offsets: DataFrame, order, weight_col: str,
     w_local = (Window.partitionBy(*groups, _PID).orderBy(*_order(order))
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = sliced.withColumn("__local", F.sum(weight_col).over(w_local))
-    # offsets has at most slices x groups rows: safe to broadcast.
-    return (local.join(F.broadcast(offsets.select(*groups, _PID, "__off")), [*groups, _PID])
+    # offsets has at most slices x groups rows; groups may be many, so whether
+    # they are broadcast is left to the measured size.
+    return (local.join(offsets.select(*groups, _PID, "__off"), [*groups, _PID])
                  .withColumn(out_col, F.col("__local") + F.col("__off"))
                  .drop(_PID, "__local", "__off"))
 
@@ -77,65 +81,143 @@ def running_total(df: DataFrame, order_col, weight_col: str, out_col: str,
                       out_col, groups)
 
 
-def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(column_name, value, w): weight of each distinct non-null, non-NaN
-    value of each column, from one scan and one (partially aggregated)
-    shuffle."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
-        [], cols, "column_name", "value")
-    long = long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("w"))
+def _value(c: str):
+    """A column as double; null and NaN are no value."""
+    v = F.col(c).cast("double")
+    return F.when(v.isNotNull() & ~F.isnan(v), v)
 
 
-def _targets(n_per_group: DataFrame, probs: list[float], method: str) -> DataFrame:
-    """Per (column, p): 1-based ranks to look up (tiny: columns x probs)."""
-    ps = F.array(*[F.lit(float(p)) for p in probs])
-    t = n_per_group.select("column_name", "n", F.explode(ps).alias("p"))
+def _sketch(df: DataFrame, wanted: dict[str, list[float]], accuracy: int) -> dict[str, tuple[int, list[float]]]:
+    """(number of values, approximate quantiles) per column, in one pass;
+    a few numbers per column reach the driver."""
+    aggs = []
+    for i, (c, ps) in enumerate(wanted.items()):
+        aggs += [F.count(_value(c)).alias(f"n{i}"),
+                 F.percentile_approx(_value(c), F.array(*[F.lit(float(p)) for p in ps]), accuracy).alias(f"q{i}")]
+    row = df.agg(*aggs).first()
+    return {c: (row[f"n{i}"], list(row[f"q{i}"] or [])) for i, c in enumerate(wanted)}
+
+
+def _ranks(n: int, p: float, method: str) -> tuple[int, int, float]:
+    """1-based ranks to look up and the share of the second."""
     if method == "disc":
-        k = F.greatest(F.ceil(F.col("n") * F.col("p")), F.lit(1)).cast("long")
-        return t.select("column_name", "p", k.alias("k_lo"), k.alias("k_hi"),
-                        F.lit(0.0).alias("frac"))
-    h = (F.col("n") - 1) * F.col("p")
-    return t.select("column_name", "p",
-                    (F.floor(h) + 1).cast("long").alias("k_lo"),
-                    (F.ceil(h) + 1).cast("long").alias("k_hi"),
-                    (h - F.floor(h)).alias("frac"))
+        k = max(math.ceil(n * p), 1)
+        return k, k, 0.0
+    h = (n - 1) * p
+    return math.floor(h) + 1, math.ceil(h) + 1, h - math.floor(h)
+
+
+def _merged(brackets: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    out: list[tuple[float, float]] = []
+    for lo, hi in sorted(brackets):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    method: str = "linear", counts: DataFrame | None = None,
-                    num_slices: int | None = None) -> DataFrame:
-    """(column_name, p, value) for every column and probability.
+def _cells(df: DataFrame, brackets: dict[str, list[tuple[float, float]]]) -> DataFrame:
+    """(column_name, cell, value, w) from one scan.
+
+    The disjoint brackets of a column cut its values into cells: cell 2i is
+    the gap before bracket i, cell 2i + 1 the bracket. Values inside a bracket
+    are counted one by one, all others by cell only (value null), so tasks
+    combine almost every row before the shuffle.
+    """
+    parts = []
+    for c, bs in brackets.items():
+        v = _value(c)
+        cell, kept = F.lit(2 * len(bs)), F.lit(None).cast("double")
+        for i, (lo, hi) in reversed(list(enumerate(bs))):
+            inside = (v >= lo) & (v <= hi)
+            cell = F.when(v < lo, 2 * i).when(inside, 2 * i + 1).otherwise(cell)
+            kept = F.when(inside, v).otherwise(kept)
+        parts.append(F.when(v.isNotNull(), F.struct(F.lit(c).alias("column_name"), cell.alias("cell"), kept.alias("value"))))
+    return (df.select(F.explode(F.array_compact(F.array(*parts))).alias("x")).select("x.*")
+              .groupBy("column_name", "cell", "value").agg(F.count(F.lit(1)).alias("w")))
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], method: str = "linear",
+                    accuracy: int = 10000, margin: float | None = None) -> DataFrame:
+    """(column_name, p, value) for every column with values and probability.
 
     ``method="linear"``: interpolated between closest ranks (numpy default,
     Spark ``percentile``, SQL ``percentile_cont``). ``method="disc"``: the
     smallest value whose cumulative share reaches p (``percentile_disc``).
 
-    Only the slices that contain a wanted rank are sorted: slice totals
-    (a tiny table) locate each rank, so the window runs over at most two
-    slices per probability and column, not over every distinct value.
+    One sketch pass gives a bracket around each wanted rank (``margin`` to
+    either side, twice the sketch's error by default); a second pass counts
+    what lies outside and keeps the distinct values inside, about
+    ``2 * margin`` of the rows, and only those are ordered. If a rank falls
+    outside its bracket, the bracket is widened and the passes repeated for
+    that column: the result is exact at any accuracy. The result is a local
+    table of columns x probabilities; intermediate tables are deleted.
     """
-    g = ["column_name"]
-    if counts is None:
-        counts = value_counts(df, cols)
-    sliced = counts if _PID in counts.columns else slice_by_range(counts, "value", g, num_slices)
-    offsets = _offsets(sliced, "w", g)
-    n_per = offsets.groupBy("column_name").agg(F.sum("__t").alias("n"))
-    tg = _targets(n_per, probs, method)
-    k_in = lambda k: (F.col("__off") < F.col(k)) & (F.col(k) <= F.col("__off") + F.col("__t"))
-    need = (offsets.join(F.broadcast(tg), "column_name")
-                   .filter(k_in("k_lo") | k_in("k_hi"))
-                   .select("column_name", _PID).distinct())
-    wanted = sliced.join(F.broadcast(need), ["column_name", _PID], "left_semi")
-    cum = _local_cum(wanted, offsets, "value", "w", "cum", g)
-    lo_hit = (F.col("cum") - F.col("w") < F.col("k_lo")) & (F.col("k_lo") <= F.col("cum"))
-    hi_hit = (F.col("cum") - F.col("w") < F.col("k_hi")) & (F.col("k_hi") <= F.col("cum"))
-    hits = (cum.join(F.broadcast(tg), "column_name").filter(lo_hit | hi_hit)
-               .groupBy("column_name", "p", "frac")
-               .agg(F.max(F.when(lo_hit, F.col("value"))).alias("v_lo"),
-                    F.max(F.when(hi_hit, F.col("value"))).alias("v_hi")))
-    value = F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))
-    return hits.select("column_name", "p", value.alias("value"))
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, p double, value double")
+    found: dict[str, dict[float, float]] = {}
+    todo, width = list(dict.fromkeys(cols)), margin if margin is not None else 2.0 / accuracy
+    sizes: dict[str, int] = {}
+    while todo:
+        ends = [e for p in probs for e in (max(0.0, p - width), min(1.0, p + width))]
+        sketch = _sketch(df, {c: ends for c in todo}, accuracy)
+        sizes.update({c: n for c, (n, _) in sketch.items()})
+        todo = [c for c in todo if sizes[c]]
+        if not todo:
+            break
+        whole = width >= 1.0
+        brackets = {c: [(-math.inf, math.inf)] if whole else
+                    _merged(list(zip(sketch[c][1][::2], sketch[c][1][1::2]))) for c in todo}
+        found.update(_lookup(df, brackets, {c: {p: _ranks(sizes[c], p, method) for p in probs} for c in todo}))
+        todo = [c for c in todo if c not in found]
+        width = max(width * 8, 1e-4)
+    rows = [(c, float(p), float(v)) for c in cols if c in found for p, v in found[c].items()]
+    return df.sparkSession.createDataFrame(rows, "column_name string, p double, value double")
+
+
+def _lookup(df: DataFrame, brackets: dict, ranks: dict) -> dict[str, dict[float, float]]:
+    """The values at the ranks of each column whose ranks all lie in brackets."""
+    spark = df.sparkSession
+    path = shared_dir(spark, "quantile-cells")
+    try:
+        _cells(df, brackets).write.mode("overwrite").parquet(path)
+        cells = spark.read.parquet(path)
+        totals: dict[str, dict[int, int]] = {}
+        # cells: two per bracket and column at most
+        for r in cells.groupBy("column_name", "cell").agg(F.sum("w").alias("w")).collect():
+            totals.setdefault(r["column_name"], {})[r["cell"]] = r["w"]
+        wanted, complete = [], []
+        for c, by_p in ranks.items():
+            places = {}
+            for k in {k for lo, hi, _ in by_p.values() for k in (lo, hi)}:
+                before = 0
+                for cell in sorted(totals[c]):
+                    if before < k <= before + totals[c][cell]:
+                        places[k] = (cell, k - before)
+                        break
+                    before += totals[c][cell]
+            if all(cell % 2 for cell, _ in places.values()):
+                complete.append(c)
+                wanted += [(c, cell, r, k) for k, (cell, r) in places.items()]
+        if not wanted:
+            return {}
+        targets = F.broadcast(spark.createDataFrame(wanted, "column_name string, cell int, r long, k long"))
+        inside = cells.join(F.broadcast(targets.select("column_name", "cell").distinct()), ["column_name", "cell"], "left_semi")
+        sliced_path = shared_dir(spark, "quantile-slices")
+        try:
+            ranged = inside.repartitionByRange(F.col("column_name"), F.col("cell"), F.col("value"))
+            ranged.withColumn(_PID, F.spark_partition_id()).write.mode("overwrite").parquet(sliced_path)
+            sliced = spark.read.parquet(sliced_path)
+            g = ["column_name", "cell"]
+            cum = _local_cum(sliced, _offsets(sliced, "w", g), "value", "w", "cum", g)
+            hit = (F.col("cum") - F.col("w") < F.col("r")) & (F.col("r") <= F.col("cum"))
+            at = {(r["column_name"], r["k"]): r["value"] for r in cum.join(targets, g).filter(hit).collect()}
+        finally:
+            delete_path(spark, sliced_path)
+    finally:
+        delete_path(spark, path)
+    return {c: {p: at[c, lo] + frac * (at[c, hi] - at[c, lo]) for p, (lo, hi, frac) in ranks[c].items()} for c in complete}
 
 
 def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float],
@@ -173,32 +255,34 @@ def boxplot_stats(df: DataFrame, cols: list[str], whisker: float = 1.5,
                   exact: bool = True) -> DataFrame:
     """The numbers behind a box plot, per column, on the full data.
 
-    Quartiles are linear-interpolated (``exact=False``: approximate
-    quartiles in one pass); whiskers are the furthest data points within
-    ``whisker x IQR`` of the box; outliers are the points beyond.
+    Quartiles are linear-interpolated (``exact=False``: approximate quartiles
+    of one sketch pass, and no exact work); whiskers are the furthest data
+    points within ``whisker x IQR`` of the box; outliers are the points
+    beyond. With the quartiles known, one aggregate over all columns gives
+    the rest. Columns without values are absent.
     """
-    counts = slice_by_range(value_counts(df, cols), "value", ["column_name"])
     probs = [0.25, 0.5, 0.75]
-    q = (exact_quantiles(df, cols, probs, "linear", counts=counts) if exact
-         else approx_quantiles(df, cols, probs))
-    box = (q.groupBy("column_name")
-             .agg(F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q1"),
-                  F.max(F.when(F.col("p") == 0.5, F.col("value"))).alias("median"),
-                  F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q3"))
-             .withColumn("iqr", F.col("q3") - F.col("q1"))
-             .withColumn("lo_fence", F.col("q1") - whisker * F.col("iqr"))
-             .withColumn("hi_fence", F.col("q3") + whisker * F.col("iqr")))
-    v, w = F.col("value"), F.col("w")
-    inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))
-    # box has one row per column: a bounded broadcast.
-    agg = (counts.drop(_PID).join(F.broadcast(box), "column_name")
-                 .groupBy("column_name", "q1", "median", "q3", "iqr")
-                 .agg(F.sum(w).alias("n"),
-                      F.min(v).alias("min_value"), F.max(v).alias("max_value"),
-                      F.min(F.when(inside, v)).alias("lower_whisker"),
-                      F.max(F.when(inside, v)).alias("upper_whisker"),
-                      F.sum(F.when(~inside, w).otherwise(0)).alias("n_outliers")))
-    return agg
+    if exact:
+        box: dict[str, dict] = {}
+        for r in exact_quantiles(df, cols, probs, "linear").collect():
+            box.setdefault(r["column_name"], {})[r["p"]] = r["value"]
+        box = {c: [q[p] for p in probs] for c, q in box.items()}
+    else:
+        box = {c: q for c, (n, q) in _sketch(df, {c: probs for c in cols}, 10000).items() if n}
+    schema = ("column_name string, q1 double, median double, q3 double, iqr double, n long, min_value double, "
+              "max_value double, lower_whisker double, upper_whisker double, n_outliers long")
+    if not box:
+        return df.sparkSession.createDataFrame([], schema)
+    aggs = []
+    for i, (c, (q1, _, q3)) in enumerate(box.items()):
+        v = _value(c)
+        lo, hi = q1 - whisker * (q3 - q1), q3 + whisker * (q3 - q1)
+        inside = (v >= lo) & (v <= hi)
+        aggs.append(F.struct(F.count(v), F.min(v), F.max(v), F.min(F.when(inside, v)), F.max(F.when(inside, v)),
+                             F.count(F.when(~inside, v))).alias(f"b{i}"))
+    row = df.agg(*aggs).first()
+    rows = [(c, q1, q2, q3, q3 - q1, *row[f"b{i}"]) for i, (c, (q1, q2, q3)) in enumerate(box.items())]
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def auc_exact(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
@@ -222,5 +306,5 @@ def auc_exact(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
                        "n_pos", "n_neg"))
 
 
-__all__ = ["running_total", "value_counts", "exact_quantiles", "quantile_bounds",
-           "boxplot_stats", "auc_exact", "approx_quantiles", "slice_by_range"]
+__all__ = ["running_total", "exact_quantiles", "quantile_bounds", "boxplot_stats",
+           "auc_exact", "approx_quantiles", "slice_by_range"]

@@ -83,6 +83,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that :func:`shared_dir` has made, on any file system."""
+    if "/lateship/" not in path:
+        raise ValueError(f"not a folder of this library: {path}")
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for APIs that need a plain local path."""
     return path[5:] if path.startswith("file:") else path

@@ -88,3 +88,34 @@ def test_auc_single_class_is_null(spark):
     df = spark.createDataFrame([(1, 0.2), (1, 0.7)], "y int, s double")
     r = stats.auc_exact(df, "y", "s").first()
     assert r["auc"] is None and r["n_pos"] == 2 and r["n_neg"] == 0
+
+
+def test_quantile_brackets_are_widened_until_exact(spark, monkeypatch):
+    """A sketch of next to no accuracy and no margin: ranks miss their brackets."""
+    rng = np.random.default_rng(7)
+    xs, ys = rng.normal(size=3000), np.round(rng.random(3000), 1)
+    df = spark.createDataFrame(pd.DataFrame({"x": xs, "y": ys, "z": [float("nan")] * 3000})).repartition(5)
+    passes = []
+    lookup = stats._lookup
+    monkeypatch.setattr(stats, "_lookup", lambda *a: passes.append(1) or lookup(*a))
+    probs = [0.0, 0.013, 0.5, 0.99, 1.0]
+    q = {(r.column_name, r.p): r.value for r in stats.exact_quantiles(df, ["x", "y", "z"], probs, accuracy=3, margin=0.0).collect()}
+    assert len(passes) > 1 and {c for c, _ in q} == {"x", "y"}
+    for c, v in (("x", xs), ("y", ys)):
+        assert all(abs(q[c, p] - np.quantile(v, p)) < 1e-9 for p in probs)
+
+
+def test_quantiles_leave_no_tables_behind(spark):
+    import os
+    from lateship.session import ensure_checkpoint_dir, local_path
+    base = os.path.join(local_path(ensure_checkpoint_dir(spark)), "..")
+    seen = lambda: {d for _, ds, _ in os.walk(base) for d in ds if d.startswith("quantile-")}
+    before = seen()
+    stats.exact_quantiles(spark.range(1000).selectExpr("CAST(id AS DOUBLE) AS x"), ["x"], [0.5]).collect()
+    assert seen() == before
+
+
+def test_approximate_box_plot_does_no_exact_work(spark, monkeypatch):
+    monkeypatch.setattr(stats, "_cells", lambda *a: 1 / 0)
+    df = spark.range(2000).selectExpr("CAST(id AS DOUBLE) AS x")
+    assert stats.boxplot_stats(df, ["x"], exact=False).first()["n"] == 2000
