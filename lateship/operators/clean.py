@@ -107,6 +107,12 @@ def split_random(df: DataFrame, train: float = 0.8, seed: int = 42) -> tuple[Dat
     return a, b
 
 
+def split_part(key_cols: list[str], train_buckets: int = 8, buckets: int = 10, salt: str = "42") -> Column:
+    """``train`` or ``test``, as :func:`split_hash` deals the row: both parts
+    from one scan."""
+    return F.when(hash_bucket(key_cols, buckets, salt) < train_buckets, "train").otherwise("test")
+
+
 def split_hash(df: DataFrame, key_cols: list[str], train_buckets: int = 8, buckets: int = 10,
                salt: str = "42") -> tuple[DataFrame, DataFrame]:
     """80/20 split by key hash: disjoint, complete, stable across reruns."""

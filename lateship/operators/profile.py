@@ -82,21 +82,28 @@ def completeness(df: DataFrame, cols: list[str]) -> DataFrame:
                        (F.col("_total") - F.col("non_null")).alias("missing")))
 
 
-def schema_report(df: DataFrame) -> DataFrame:
+def schema_report(df: DataFrame, counts: bool = True) -> DataFrame:
     """Position, name, type and nullability of each column, with the count of
-    non-null values measured on the data in the same single aggregate."""
+    non-null values measured on the data in one aggregate. ``counts=False``
+    reads metadata only: no column of the data is scanned."""
     fields = df.schema.fields
-    counts = df.agg(*[F.count(F.col(f.name)).alias(f"_c{i}") for i, f in enumerate(fields)])
+    if not counts:
+        rows = [(i + 1, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(fields)]
+        return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string, nullable boolean")
+    present = df.agg(*[F.count(F.col(f.name)).alias(f"_c{i}") for i, f in enumerate(fields)])
     rows = [F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("column_name"),
                      F.lit(f.dataType.simpleString()).alias("data_type"),
                      F.lit(f.nullable).alias("nullable"),
                      F.col(f"_c{i}").alias("non_null"))
             for i, f in enumerate(fields)]
-    return counts.select(F.inline(F.array(*rows)))
+    return present.select(F.inline(F.array(*rows)))
 
 
-def preview(df: DataFrame, n: int, order_by: list[str] | None = None) -> DataFrame:
+def preview(df: DataFrame, n: int, order_by: list[str] | None = None, ordered: bool = True) -> DataFrame:
     """First ``n`` rows in a stated order (all columns by default, so ties are
-    identical rows and the result is deterministic)."""
+    identical rows and the result is deterministic). ``ordered=False`` takes
+    any ``n`` rows: it reads only as many partitions as it needs."""
+    if not ordered:
+        return df.limit(n)
     keys = order_by or df.columns
     return df.orderBy(*[F.asc_nulls_first(k) for k in keys]).limit(n)

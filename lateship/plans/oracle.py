@@ -15,6 +15,7 @@ order_items AS (
          l.l_linenumber AS line_no,
          o.o_orderdate AS order_ts,
          CASE WHEN c.c_custkey % 50 = 0 THEN NULL
+              WHEN c.c_custkey % 7 = 0 THEN 'TOWN_' || CAST(c.c_custkey // 70 AS VARCHAR)
               ELSE 'CITY_' || CAST(c.c_custkey % 40 AS VARCHAR) END AS order_city,
          n.n_name AS order_state,
          r.r_name || '_' || CASE WHEN n.n_nationkey < 13 THEN 'A' ELSE 'B' END AS order_region,
@@ -59,6 +60,7 @@ order_items_nulls AS (
 _GAZ_BODY = """
   SELECT DISTINCT
          CASE WHEN c.c_custkey % 50 = 0 THEN NULL
+              WHEN c.c_custkey % 7 = 0 THEN 'TOWN_' || CAST(c.c_custkey // 70 AS VARCHAR)
               ELSE 'CITY_' || CAST(c.c_custkey % 40 AS VARCHAR) END AS order_city,
          n.n_name AS order_state,
          CASE WHEN n.n_nationkey % 11 = 6 THEN NULL
@@ -74,6 +76,7 @@ CTES["geocode_candidates"] = """
 geocode_keys AS (
   SELECT DISTINCT
          CASE WHEN c.c_custkey % 50 = 0 THEN NULL
+              WHEN c.c_custkey % 7 = 0 THEN 'TOWN_' || CAST(c.c_custkey // 70 AS VARCHAR)
               ELSE 'CITY_' || CAST(c.c_custkey % 40 AS VARCHAR) END AS order_city,
          n.n_name AS order_state, n.n_nationkey
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -104,8 +107,8 @@ predictions AS (
 CTES["city_names"] = """
 city_names AS (
   SELECT DISTINCT
-         list_extract(['Belém', 'Açaí', 'Jürgen', 'Niño', 'Mâcol', 'Dėvė', 'Brașa', 'Doğa'],
-                      CAST(c.c_custkey % 8 + 1 AS INTEGER)) || ' ' || CAST(c.c_custkey % 40 AS VARCHAR) AS city,
+         list_extract(['Belém', 'Açaí', 'Jürgen', 'Niño', 'Mâcol', 'Dėvė', 'Brașa', 'Doğa', 'Dęvę'],
+                      CAST(c.c_custkey % 9 + 1 AS INTEGER)) || ' ' || CAST(c.c_custkey % 40 AS VARCHAR) AS city,
          n.n_name AS state
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
 )"""

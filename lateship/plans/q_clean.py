@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.expr import format_order_date, parse_order_date, slug
 from ..operators import clean, stats
@@ -124,14 +126,25 @@ def winsorize_columns(spark, sf_dir):
     return clean.winsorize_columns(df, _W_COLS, exact=True).select("order_id", "line_no", *_W_COLS)
 
 
-@query("winsorize_columns_approx")
+@query("winsorize_columns_approx", with_fixtures("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS n, true AS low_rank_ok, true AS high_rank_ok, true AS inside FROM order_items"
+    for c in _W_COLS), "order_items"))
 def winsorize_columns_approx(spark, sf_dir):
-    """The reference's own bounds: ``approxQuantile(cols, [0.01, 0.99], 0.001)``
-    in one job (rows-only: approximate bounds have no exact SQL twin; the
-    rank error is unit-tested)."""
-    df = order_items(spark, sf_dir)
-    return clean.winsorize_columns(df, _W_COLS, exact=False, rel_error=0.001).select(
-        "order_id", "line_no", *_W_COLS)
+    """The reference's own bounds, ``approxQuantile(cols, [0.01, 0.99], 0.001)``
+    in one job: per column, the true ranks of both bounds are within the
+    error (ties allowed for), and every value of the result within the bounds."""
+    df, error = order_items(spark, sf_dir), 0.001
+    out = clean.winsorize_columns(df, _W_COLS, exact=False, rel_error=error)
+    bounds = stats.quantile_bounds(df, _W_COLS, 0.01, 0.99, exact=False, rel_error=error)
+    parts = []
+    for c in _W_COLS:
+        lo, hi = bounds[c]
+        n = F.count(c)
+        rank_ok = lambda v, p: (F.count(F.when(F.col(c) < v, 1)) <= (p + error) * n + 1) & (F.count(F.when(F.col(c) <= v, 1)) >= (p - error) * n - 1)  # noqa: E731, B023
+        inside = out.agg(F.every(F.col(c).isNull() | F.col(c).between(lo, hi))).first()[0]
+        parts.append(df.agg(n.alias("n"), rank_ok(lo, 0.01).alias("low_rank_ok"), rank_ok(hi, 0.99).alias("high_rank_ok"))
+                     .select(F.lit(c).alias("column_name"), "*", F.lit(inside).alias("inside")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("sample_hash", with_fixtures("""
@@ -151,9 +164,20 @@ def sample_hash_small(spark, sf_dir):
     return clean.sample_hash(order_items(spark, sf_dir), 0.00007, ["order_id", "line_no"], salt="small")
 
 
-@query("sample_seeded")
+@query("sample_seeded", with_fixtures("""
+SELECT count(*) AS rows, true AS size_ok, true AS subset, true AS repeatable FROM order_items""", "order_items"))
 def sample_seeded(spark, sf_dir):
-    return clean.sample_seeded(order_items(spark, sf_dir), 0.1, 42)
+    """Spark's seeded sample: its size within five standard deviations, its
+    rows a part of the table (each at most as often), and the same when drawn again."""
+    df = order_items(spark, sf_dir)
+    cols = df.columns
+    a, again = clean.sample_seeded(df, 0.1, 42), clean.sample_seeded(df, 0.1, 42)
+    tag = lambda d, t: d.select(F.xxhash64(*cols).alias("h")).withColumn("t", F.lit(t))
+    per_row = (tag(df, "all").unionByName(tag(a, "a")).unionByName(tag(again, "b"))
+               .groupBy("h").agg(*[F.count(F.when(F.col("t") == t, 1)).alias(t) for t in ("all", "a", "b")]))
+    n, k = F.sum("all"), F.sum("a")
+    return per_row.agg(n.alias("rows"), (F.abs(k - 0.1 * n) <= 5 * F.sqrt(0.09 * n)).alias("size_ok"),
+                       F.every(F.col("a") <= F.col("all")).alias("subset"), F.every(F.col("a") == F.col("b")).alias("repeatable"))
 
 
 @query("order_date_parse", with_fixtures("""

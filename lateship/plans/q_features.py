@@ -189,9 +189,8 @@ def _bucket_sql(salt, buckets):
     f"SELECT order_id, line_no, CASE WHEN {_bucket_sql('42', 10)} < 8 THEN 'train' ELSE 'test' END AS split "
     "FROM model_input", "model_input"))
 def split_hash_80_20(spark, sf_dir):
-    df = model_input(spark, sf_dir).select("order_id", "line_no")
-    train, test = clean.split_hash(df, ["order_id", "line_no"])
-    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    keys = ["order_id", "line_no"]
+    return model_input(spark, sf_dir).select(*keys, clean.split_part(keys).alias("split"))
 
 
 @query("cv_fold_assignment", with_fixtures(

@@ -193,7 +193,8 @@ def sink_json_documents(spark, sf_dir):
 SELECT l.city AS lossy_city, l.state,
        CASE WHEN count(DISTINCT c.city) = 1 THEN min(c.city) ELSE l.city END AS repaired_city,
        count(DISTINCT c.city) AS candidates
-FROM (SELECT DISTINCT {_LOSSY_SQL} AS city, state FROM city_names) l
+FROM (SELECT DISTINCT {_LOSSY_SQL} AS city, state FROM city_names
+      UNION SELECT DISTINCT {_LOSSY_SQL} || ' Nova', state FROM city_names) l
 LEFT JOIN city_names c
   ON c.state = l.state AND regexp_replace(c.city, '[^\\x00-\\xFF]', '?', 'g') = l.city
 WHERE l.city LIKE '%?%'
@@ -202,4 +203,6 @@ def repair_lossy_city_names(spark, sf_dir):
     from ..operators.text import latin1_lossy_form, repair_lossy_names
     names = city_names(spark, sf_dir)
     lossy = names.select(latin1_lossy_form(F.col("city")).alias("city"), "state").distinct()
-    return repair_lossy_names(lossy, names)
+    # names that no reference name explains, beside those that one or two do
+    unknown = lossy.withColumn("city", F.concat("city", F.lit(" Nova")))
+    return repair_lossy_names(lossy.unionByName(unknown), names)

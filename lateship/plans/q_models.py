@@ -1,77 +1,147 @@
-"""Model queries (M6-M16, S6, W6): checked by rows and unit tests, as a fit
-has no SQL form. Fitted models are memoized per session and data folder so
-that the scoring and reporting queries reuse one fit."""
+"""Model queries.
+
+A fit has no SQL form, but its split, its row counts and the relations that
+must hold among its results have: each query returns what SQL can say about
+all its rows, next to flags that are worked out from the predictions. Fitted
+models are memoized per session and data folder, so that the scoring and
+reporting queries reuse one fit.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.sql import DataFrame, functions as F
 
 from ..ml import train as T
+from ..operators.evaluate import classification_metrics
+from ..schema import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES
 from ..session import shared_dir
-from .q_features import model_input
+from .oracle import with_fixtures
+from .q_features import _bucket_sql, model_input
 from .registry import query
 
 _KEYS = ["order_id", "line_no"]
 _FITS: dict = {}
+_TEST = f"{_bucket_sql('42', 10)} >= 8"
+_TRAIN = f"{_bucket_sql('42', 10)} < 8"
+LR = "Logistic Regression"
+#: The grid that shows the choice among several points.
+SEARCH = {"regParam": [0.001, 0.01, 0.3], "elasticNetParam": [0.0]}
 
 
-def fitted(spark, sf_dir, name):
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+def fitted(spark, sf_dir, name, grid=None):
+    key = (spark.sparkContext.applicationId, sf_dir, name, str(grid))
     if key not in _FITS:
-        _FITS[key] = T.train_and_select(model_input(spark, sf_dir), name, _KEYS)
+        _FITS[key] = T.train_and_select(model_input(spark, sf_dir), name, _KEYS, grid=grid)
     return _FITS[key]
 
 
-def _report(spark, sf_dir, name):
+def _report(spark, sf_dir, name) -> DataFrame:
+    """The evaluation report next to what can be recomputed from the scored rows."""
     r = fitted(spark, sf_dir, name)
-    return T.evaluation_report(T.score(r.model, r.test), name)
-
-
-@query("train_logistic_regression")
+    scored = T.score(r.model, r.test)
+    report = T.evaluation_report(scored, name)
+    recount = scored.agg(F.count(F.lit(1)).alias("test_rows"), F.sum(F.col(LABEL)).cast("long").alias("test_late"),
+                         F.avg((F.col("prediction") == F.col(LABEL)).cast("double")).alias("hits")).first()
+    return (report.select("model", F.lit(recount["test_rows"]).cast("long").alias("test_rows"),
+                    F.lit(recount["test_late"]).cast("long").alias("test_late"),
+                    (F.abs(F.col("accuracy") - F.lit(recount["hits"])) < 1e-9).alias("accuracy_agrees"),
+                    (F.abs(F.col("weighted_recall") - F.col("accuracy")) < 1e-9).alias("recall_is_accuracy"),
+                    (F.abs(F.col("auc") - F.col("auc_exact")) < 0.01).alias("auc_agrees"),
+                    (F.col("auc_exact") > 0.5).alias("better_than_chance")))
+
+
+def _report_sql(name):
+    return with_fixtures(f"""
+SELECT '{name}' AS model, count(*) AS test_rows, CAST(sum({LABEL}) AS BIGINT) AS test_late,
+       true AS accuracy_agrees, true AS recall_is_accuracy, true AS auc_agrees, true AS better_than_chance
+FROM model_input WHERE {_TEST}""", "model_input")
+
+
+@query("train_logistic_regression", _report_sql(LR))
 def train_logistic_regression(spark, sf_dir):
-    return _report(spark, sf_dir, "Logistic Regression")
+    return _report(spark, sf_dir, LR)
 
 
-@query("train_random_forest")
+@query("train_random_forest", _report_sql("Random Forest"))
 def train_random_forest(spark, sf_dir):
     return _report(spark, sf_dir, "Random Forest")
 
 
-@query("train_gbt")
+@query("train_gbt", _report_sql("Gradient-Boosted Trees (GBT)"))
 def train_gbt(spark, sf_dir):
     return _report(spark, sf_dir, "Gradient-Boosted Trees (GBT)")
 
 
-@query("cross_validate_grid")
+@query("cross_validate_grid", with_fixtures(f"""
+SELECT '{LR}' AS model, params, train_rows, true AS auc_in_range, true AS best_is_chosen
+FROM (SELECT count(*) AS train_rows FROM model_input WHERE {_TRAIN}),
+     (VALUES {", ".join(f"('elasticNetParam=0.0, regParam={r}')" for r in SEARCH["regParam"])}) g(params)""", "model_input"))
 def cross_validate_grid(spark, sf_dir):
-    return fitted(spark, sf_dir, "Logistic Regression").grid_metrics
-
-
-@query("score_batch")
+    """Every grid point once; the fitted model is that of the highest mean AUC."""
+    r = fitted(spark, sf_dir, LR, SEARCH)
+    rows = r.train.count()
+    chosen = r.model.stages[-1].getOrDefault("regParam")
+    points = r.grid_metrics
+    top = points.agg(F.max("avg_auc")).first()[0]  # one number
+    is_chosen = F.col("params").endswith(f"regParam={chosen}")
+    return points.select("model", "params", F.lit(rows).cast("long").alias("train_rows"),
+                         ((F.col("avg_auc") > 0.5) & (F.col("avg_auc") <= 1.0)).alias("auc_in_range"),
+                         (~is_chosen | (F.col("avg_auc") == F.lit(top))).alias("best_is_chosen"))
+
+
+@query("score_batch", with_fixtures(f"""
+SELECT order_id, line_no, late_delivery_risk, true AS follows_probability FROM model_input WHERE {_TEST}""", "model_input"))
 def score_batch(spark, sf_dir):
-    r = fitted(spark, sf_dir, "Logistic Regression")
-    return T.score(r.model, r.test).select(*_KEYS, "late_delivery_risk", "prediction")
+    from pyspark.ml.functions import vector_to_array
+    r = fitted(spark, sf_dir, LR)
+    p = vector_to_array("probability")
+    return T.score(r.model, r.test).select(
+        *_KEYS, LABEL, ((F.col("prediction") == (p[1] > 0.5).cast("double")) & (F.abs(p[0] + p[1] - 1) < 1e-9)).alias("follows_probability"))
 
 
-@query("prediction_view")
-def prediction_view(spark, sf_dir):
-    r = fitted(spark, sf_dir, "Logistic Regression")
-    return T.prediction_view(T.score(r.model, r.test))
+_WIDTH = " + ".join([str(len(NUMERIC_FEATURES)), *[f"(SELECT count(DISTINCT {c}) FROM model_input WHERE {_TRAIN})" for c in CATEGORICAL_FEATURES]])
 
 
-@query("evaluate_model")
+@query("prediction_view", with_fixtures(f"""
+SELECT late_delivery_risk, count(*) AS n, CAST({_WIDTH} AS BIGINT) AS features, true AS consistent
+FROM model_input WHERE {_TEST} GROUP BY late_delivery_risk""", "model_input"))
+def prediction_view(spark, sf_dir):
+    """Per label: rows of the view, length of its feature text, and whether
+    each probability and prediction fit together."""
+    r = fitted(spark, sf_dir, LR)
+    v = T.prediction_view(T.score(r.model, r.test))
+    prob, late = F.col("prob_late"), F.col("prediction") == 1.0
+    ok = prob.between(0.0, 1.0) & F.when(late, prob >= 0.5).otherwise(prob <= 0.5)
+    width = F.size(F.split(F.col("features_str"), ","))
+    return v.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n"), F.max(width).cast("long").alias("features"),
+                                (F.every(ok) & (F.min(width) == F.max(width))).alias("consistent"))
+
+
+@query("evaluate_model", with_fixtures("""
+SELECT count(*) AS rows, CAST(sum(late_delivery_risk) AS BIGINT) AS late, true AS accuracy, true AS weighted_precision,
+       true AS weighted_recall, true AS weighted_f1 FROM model_input""", "model_input"))
 def evaluate_model(spark, sf_dir):
-    return _report(spark, sf_dir, "Logistic Regression")
-
-
-@query("model_save_load_score")
+    """The reloaded model over all rows: our metrics against MLlib's evaluator."""
+    r = fitted(spark, sf_dir, LR)
+    model = T.load_model(T.save_model(r.model, shared_dir(spark, "evaluate-model"), r.name))
+    with T.persisted(T.score(model, model_input(spark, sf_dir)).select(LABEL, "prediction")) as scored:
+        ours = classification_metrics(scored, LABEL, "prediction").first().asDict()
+        counts = scored.agg(F.count(F.lit(1)).alias("rows"), F.sum(LABEL).cast("long").alias("late")).first()
+        mllib = {ours_name: MulticlassClassificationEvaluator(labelCol=LABEL, metricName=name).evaluate(scored)
+                 for ours_name, name in (("accuracy", "accuracy"), ("weighted_precision", "weightedPrecision"),
+                                         ("weighted_recall", "weightedRecall"), ("weighted_f1", "f1"))}
+    row = (counts["rows"], counts["late"], *[abs(ours[k] - v) < 1e-9 for k, v in mllib.items()])
+    return spark.createDataFrame([row], "rows long, late long, " + ", ".join(f"{k} boolean" for k in mllib))
+
+
+@query("model_save_load_score", with_fixtures(f"""
+SELECT order_id, line_no, true AS same FROM model_input WHERE {_TEST}""", "model_input"))
 def model_save_load_score(spark, sf_dir):
     """Save the best pipeline, load it back, score the test part with both
     and report agreement per row (``same`` must be true everywhere)."""
-    r = fitted(spark, sf_dir, "Logistic Regression")
+    r = fitted(spark, sf_dir, LR)
     path = T.save_model(r.model, shared_dir(spark, "models"), r.name)
     loaded = T.load_model(path)
-    saved = T.score(r.model, r.test).select(*r.test.columns, F.col("prediction").alias("p_saved"))
-    return (T.score(loaded, saved)
-             .select(*_KEYS, "p_saved", F.col("prediction").alias("p_loaded"),
-                     (F.col("p_saved") == F.col("prediction")).alias("same")))
+    saved = T.score(r.model, r.test).select(*r.test.columns, F.col("probability").alias("p_saved"))
+    return T.score(loaded, saved).select(*_KEYS, (F.col("p_saved") == F.col("probability")).alias("same"))

@@ -99,17 +99,28 @@ def stream_score_fixed(spark, sf_dir):
                                      "score", "prediction"), "fixed")
 
 
-@query("stream_score_model")
+@query("stream_score_model", with_fixtures("""
+SELECT order_region, count(*) AS n, true AS same FROM events_parsed GROUP BY order_region""", "events_parsed"))
 def stream_score_model(spark, sf_dir):
     """Score the stream with the saved and reloaded best pipeline; the
-    distance feature is computed in the stream before ``transform``."""
+    distance feature is computed in the stream before ``transform``. Per
+    region: the number of events, and whether the batch scores of the same
+    events add up to the same."""
     from ..ml import train as T
     from .q_models import fitted
     r = fitted(spark, sf_dir, "Logistic Regression")
     model = T.load_model(T.save_model(r.model, shared_dir(spark, "stream-model"), r.name))
-    stream = job.scoring_stream(_lines(spark, sf_dir), gazetteer(spark, sf_dir),
-                                job.Scoring("model", model=model))
-    return _run(spark, stream, "model")
+    scoring, gaz = job.Scoring("model", model=model), gazetteer(spark, sf_dir)
+    streamed = _run(spark, job.scoring_stream(_lines(spark, sf_dir), gaz, scoring), "model")
+    orders = job.parse_orders(spark.read.text(events_dir(spark, sf_dir)))
+    batch = job.final_columns(job.score_orders(job.join_gazetteer(orders, gaz), scoring))
+
+    def sums(df):
+        return df.groupBy("order_region").agg(F.count(F.lit(1)).alias("n"), F.sum("prediction").alias("late"))
+
+    b = sums(batch).withColumnsRenamed({"order_region": "r", "n": "bn", "late": "bl"})
+    return sums(streamed).join(b, F.col("order_region").eqNullSafe(F.col("r")), "left").select(
+        "order_region", "n", F.coalesce((F.col("n") == F.col("bn")) & F.col("late").eqNullSafe(F.col("bl")), F.lit(False)).alias("same"))
 
 
 _DUAL_DOCUMENT = ("timestamp timestamp, `Order City` string, `Order Region` string, "

@@ -43,3 +43,19 @@ def test_zero_score(spark):
     out = df.select(zero_score("q").alias("p"))
     assert out.schema["p"].dataType.simpleString() == "double"
     assert [r.p for r in out.collect()] == [0.0, None]
+
+
+def test_schema_report_and_preview_without_a_scan(spark):
+    from lateship.operators import profile
+    df = spark.range(100).selectExpr("id", "CAST(NULL AS STRING) AS s")
+    assert [(r.position, r.column_name, r.data_type) for r in profile.schema_report(df, counts=False).collect()] == [(1, "id", "bigint"), (2, "s", "string")]
+    some = profile.preview(df, 5, ordered=False)
+    assert some.count() == 5 and "Sort" not in some._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ambiguous_and_unknown_names_are_left_alone(spark):
+    from lateship.operators.text import repair_lossy_names
+    ref = spark.createDataFrame([("D\u0117v\u0117", "N"), ("D\u0119v\u0119", "N"), ("Do\u011fa", "N"), ("Do\u011fa", "M")], "city string, state string")
+    lossy = spark.createDataFrame([("D?v?", "N"), ("Do?a", "N"), ("X?", "N"), ("D?v?", "M")], "city string, state string")
+    got = {(r.lossy_city, r.state): (r.repaired_city, r.candidates) for r in repair_lossy_names(lossy, ref).collect()}
+    assert got == {("D?v?", "N"): ("D?v?", 2), ("Do?a", "N"): ("Do\u011fa", 1), ("X?", "N"): ("X?", 0), ("D?v?", "M"): ("D?v?", 0)}
