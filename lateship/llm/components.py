@@ -11,14 +11,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import delete_path, shared_dir
 
 
 def saved(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back."""
     path = f"{shared_dir(spark, name)}/table"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.saved_path = path
+    return out
+
+
+def dropped(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete tables made by :func:`saved` that nothing reads any more."""
+    for t in tables:
+        delete_path(spark, t.saved_path)
 
 
 def _both(e: DataFrame) -> DataFrame:
@@ -55,7 +63,8 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
     before = mark(e)
     while before[0]:
-        e = saved(spark, _small_star(_large_star(e)), "edges")
+        old, e = e, saved(spark, _small_star(_large_star(e)), "edges")
+        dropped(spark, old)
         after = mark(e)
         if after == before:
             break

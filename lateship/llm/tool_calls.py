@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from .components import saved
+from .components import dropped, saved
 
 CHECKED = StructType([
     StructField("errors", ArrayType(StringType())), StructField("refs", ArrayType(StringType())),
@@ -154,7 +154,9 @@ def topological_levels(spark: SparkSession, nodes: DataFrame, edges: DataFrame)
         freed = waiting.select("conv", "call").distinct().join(left.select("conv", "call").distinct(), ["conv", "call"], "left_anti")
         new = saved(spark, freed.withColumn("level", F.lit(level).cast("long")), "level")
         parts.append(new)
+        dropped(spark, waiting)
         waiting = left
+    dropped(spark, waiting)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .components import saved
+from .components import dropped, saved
 
 ORDER = 4
 #: n-grams with their scores are broadcast up to this many rows (about 60 bytes each), else joined.
@@ -98,7 +98,9 @@ def gram_scores(spark: SparkSession, urls: DataFrame, order: int = ORDER) -> Dat
             seen, kinds = F.col(f"n{c}{k}"), F.col(f"t{c}{k}")
             p[c] = F.when(seen > 0, (F.col(f"{c}{k}") + kinds * p[c]) / F.greatest(seen + kinds, F.lit(1))).otherwise(p[c])
     score = F.round(F.log(p["a"] / p["r"]) * MICRO).cast("long")
-    return saved(spark, out.select("gram", score.alias("score")), "scores")
+    scores = saved(spark, out.select("gram", score.alias("score")), "scores")
+    dropped(spark, grams)
+    return scores
 
 
 def score_urls(urls: DataFrame, scores: DataFrame, order: int = ORDER, broadcast_grams: int = BROADCAST_GRAMS) -> DataFrame:
@@ -107,7 +109,7 @@ def score_urls(urls: DataFrame, scores: DataFrame, order: int = ORDER, broadcast
     The model is broadcast only if it has at most ``broadcast_grams`` rows;
     beyond that both sides are shuffled by n-gram.
     """
-    small = scores.limit(broadcast_grams + 1).count() <= broadcast_grams
+    small = scores.count() <= broadcast_grams
     at = urls.select("url", F.explode(_grams(F.col("url"), order)).alias("gram"))
     joined = at.join(F.broadcast(scores) if small else scores, "gram")
     return joined.groupBy("url").agg(F.expr("sum(score) div count(*)").alias("score"))
@@ -115,7 +117,8 @@ def score_urls(urls: DataFrame, scores: DataFrame, order: int = ORDER, broadcast
 
 def calibrate(scored: DataFrame) -> float:
     """The threshold, in millionths, that separates accepted from rejected
-    rows of ``scored(score, a, r)`` best by the mean of both rates.
+    rows of ``scored(score, a, r)`` best by the mean of both rates; of equally
+    good ones that closest to zero, where the two models are even.
 
     Only a histogram of ``BINS`` bins reaches the driver. Zero if either
     class has no row.
@@ -134,8 +137,7 @@ def calibrate(scored: DataFrame) -> float:
         a, r = bins.get(x, (0, 0))
         below_a, below_r = below_a + a, below_r + r
     top = max(v for v, _ in best)
-    edges = [x for v, x in best if v == top]
-    return float(edges[len(edges) // 2] * width)
+    return float(min((x for v, x in best if v == top), key=lambda x: (abs(x), x)) * width)
 
 
 def filter_urls(spark: SparkSession, df: DataFrame, rules, url_col: str = "url", order: int = ORDER,
@@ -169,6 +171,7 @@ def filter_urls(spark: SparkSession, df: DataFrame, rules, url_col: str = "url",
                       F.when(~F.col("held"), F.col("r")).otherwise(0).alias("r"))
     scores = gram_scores(spark, fit, order)
     scored = saved(spark, urls.join(score_urls(urls, scores, order, broadcast_grams), "url"), "scored")
+    dropped(spark, urls, scores)
     threshold = calibrate(scored.where("held"))
     judged = scored.select(F.col("url").alias("__url"), "host", "path", "rule", (F.col("score") / MICRO).alias("score"),
                            F.lit(threshold / MICRO).alias("threshold"),
