@@ -46,7 +46,7 @@ def string_index_mapping(df: DataFrame, cols: list[str]) -> DataFrame:
     counts = (long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
                   .withColumn("_one", F.lit(1)))
     ranked = stats.running_total(counts, [F.desc("count"), F.asc("value")], "_one", "_rank",
-                                 ["column_name"])
+                                 ["column_name"], few_groups=True)
     return ranked.select("column_name", "value", "count",
                          (F.col("_rank") - 1).cast("double").alias("index"))
 

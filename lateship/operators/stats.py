@@ -58,27 +58,29 @@ def _offsets(sliced: DataFrame, weight_col: str, groups: list[str]) -> DataFrame
 
 
 def _local_cum(sliced: DataFrame, offsets: DataFrame, order, weight_col: str,
-               out_col: str, groups: list[str]) -> DataFrame:
+               out_col: str, groups: list[str], few_groups: bool) -> DataFrame:
     w_local = (Window.partitionBy(*groups, _PID).orderBy(*_order(order))
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = sliced.withColumn("__local", F.sum(weight_col).over(w_local))
-    # offsets has at most slices x groups rows; groups may be many, so whether
-    # they are broadcast is left to the measured size.
-    return (local.join(offsets.select(*groups, _PID, "__off"), [*groups, _PID])
+    # offsets has at most slices x groups rows: with few groups it is broadcast,
+    # else that is left to its measured size.
+    own = offsets.select(*groups, _PID, "__off")
+    return (local.join(F.broadcast(own) if few_groups else own, [*groups, _PID])
                  .withColumn(out_col, F.col("__local") + F.col("__off"))
                  .drop(_PID, "__local", "__off"))
 
 
 def running_total(df: DataFrame, order_col, weight_col: str, out_col: str,
                   group_cols: list[str] | None = None,
-                  num_slices: int | None = None) -> DataFrame:
+                  num_slices: int | None = None, few_groups: bool = False) -> DataFrame:
     """Add ``out_col`` = sum of ``weight_col`` over rows of the same group
     that sort at or before this row. ``order_col`` is a column, or a list of
-    columns / sort orders, that orders the rows of a group totally."""
+    columns / sort orders, that orders the rows of a group totally.
+    ``few_groups`` states that the groups are a bounded few (column names)."""
     groups = list(group_cols or [])
     sliced = slice_by_range(df, order_col, groups, num_slices)
     return _local_cum(sliced, _offsets(sliced, weight_col, groups), order_col, weight_col,
-                      out_col, groups)
+                      out_col, groups, few_groups or not groups)
 
 
 def _value(c: str):
@@ -210,7 +212,7 @@ def _lookup(df: DataFrame, brackets: dict, ranks: dict) -> dict[str, dict[float,
             ranged.withColumn(_PID, F.spark_partition_id()).write.mode("overwrite").parquet(sliced_path)
             sliced = spark.read.parquet(sliced_path)
             g = ["column_name", "cell"]
-            cum = _local_cum(sliced, _offsets(sliced, "w", g), "value", "w", "cum", g)
+            cum = _local_cum(sliced, _offsets(sliced, "w", g), "value", "w", "cum", g, True)
             hit = (F.col("cum") - F.col("w") < F.col("r")) & (F.col("r") <= F.col("cum"))
             at = {(r["column_name"], r["k"]): r["value"] for r in cum.join(targets, g).filter(hit).collect()}
         finally:

@@ -1,8 +1,7 @@
 """Summarize the physical plans of every batch query into PLANS.md.
 
-For each query: shuffles (Exchange), broadcasts, sort-merge joins, windows and
-whole-stage codegen spans, over everything that ran for it: the jobs inside
-the call (tables written on the way, quantile passes) and the run of the
+For each query: shuffles (Exchange), broadcasts, sort-merge joins and windows,
+over everything that ran for it: the jobs inside the call (tables written on the way, quantile passes) and the run of the
 returned plan. Plans are taken from Spark's event log after execution, so they
 are what AQE ended with. A second table runs the gazetteer joins with every
 broadcast switched off. Run at sf0.01 so AQE has real statistics.
@@ -38,8 +37,6 @@ def summarize(plan: str) -> dict:
         "smj": tree.count("SortMergeJoin"),
         "bhj": tree.count("BroadcastHashJoin"),
         "windows": len(re.findall(r"\bWindow\b", tree)),
-        "codegen": len(set(re.findall(r"\* .*?\((\d+)\)$", tree, re.M))),
-        "single_partition": len(re.findall(r"Arguments: SinglePartition", plan)),
     }
 
 
@@ -70,11 +67,11 @@ def executions(log_dir: str) -> list[tuple[float, str]]:
 
 
 def table(ran, found) -> list[str]:
-    lines = ["| Query | executions | shuffles | broadcasts | SMJ | BHJ | windows | single_partition |",
-             "| --- | --- | --- | --- | --- | --- | --- | --- |"]
+    lines = ["| Query | executions | shuffles | broadcasts | SMJ | BHJ | windows |",
+             "| --- | --- | --- | --- | --- | --- | --- |"]
     for k, a, b in ran:
         own = [summarize(p) for t, p in found if a <= t <= b]
-        total = {n: sum(s[n] for s in own) for n in ("shuffles", "broadcasts", "smj", "bhj", "windows", "single_partition")}
+        total = {n: sum(s[n] for s in own) for n in ("shuffles", "broadcasts", "smj", "bhj", "windows")}
         lines.append(f"| `{k}` | {len(own)} | " + " | ".join(str(v) for v in total.values()) + " |")
     return lines
 
@@ -100,9 +97,7 @@ def main() -> None:
              f"Final (post-AQE) physical plans at `{sf_dir}`, `local[8]`, 8 shuffle",
              "partitions, from the event log: sums over every execution of the query, those",
              "inside the call and the run of the returned plan. Generated by",
-             "`tools/plan_report.py`. `single_partition` counts `SinglePartition` exchanges;",
-             "each feeds a global aggregate's final step or a tiny table (slice offsets, class",
-             "counts, one row per column), never a window over the data.", "", *table(usual, found), "",
+             "`tools/plan_report.py`.", "", *table(usual, found), "",
              "## Gazetteer joins with broadcast switched off", "",
              "What the joins become past the size bound: shuffle joins on the keys (and, for",
              "the plain joins, the salt that spreads rows with null keys).", "", *table(shuffled, found)]
