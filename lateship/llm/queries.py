@@ -14,6 +14,7 @@ from ..session import shared_dir
 from ..sources.tables import table
 from . import html_template, licenses, packing, tool_calls, url_filter, warc
 from .decontaminate import find_benchmark_passages
+from .minhash import minhash_near_duplicates
 from .quality_rules import quality_rules
 from .simhash import simhash_near_duplicates
 from .token_counts import token_counts
@@ -252,3 +253,25 @@ def op1_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = tool_calls.link_tool_calls(spark, calls, results, TOOL_SCHEMAS)
     return linked.select(F.col("conv").cast("long").alias("conv_id"), F.col("position").alias("turn"), F.col("call").alias("call_id"),
                          "name", "level", "status", F.size("errors").cast("long").alias("n_errors"), "message")
+
+
+OP11_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 1 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS g
+      FROM d WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT u, v FROM pairs JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * c >= 80 * (x.n + y.n - c)),
+both AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.v, reach.r FROM reach JOIN both e ON e.u = reach.doc_id),
+low AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN low ON low.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
+@query("op11_minhash_near_dedup", OP11_SQL)
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return minhash_near_duplicates(spark, docs, shingle=2, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
