@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from ..sources.tables import table
-from . import html_template, licenses, packing, tool_calls, url_filter, warc
+from . import html_template, licenses, packing, token_alignment, tool_calls, url_filter, warc
+from .components import saved
+from .bag_search import bag_search
 from .decontaminate import find_benchmark_passages
 from .minhash import minhash_near_duplicates
 from .quality_rules import quality_rules
@@ -263,8 +265,8 @@ s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 1 THEN w ELSE list_trans
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 pairs AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
 links AS (SELECT u, v FROM pairs JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * c >= 80 * (x.n + y.n - c)),
-both AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
-reach(doc_id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.v, reach.r FROM reach JOIN both e ON e.u = reach.doc_id),
+arcs AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.v, reach.r FROM reach JOIN arcs e ON e.u = reach.doc_id),
 low AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN low ON low.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
@@ -275,3 +277,37 @@ FROM documents d JOIN low ON low.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.d
 def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return minhash_near_duplicates(spark, docs, shingle=2, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+OP12_SQL = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+v AS (SELECT DISTINCT item_id, unnest(w) AS g FROM b),
+c AS (SELECT count(*) AS nd, CAST(sum(len(w)) AS BIGINT) AS nl FROM t WHERE len(w) > 0),
+tf AS (SELECT doc_id, g, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS g FROM t) WHERE g IN (SELECT g FROM v) GROUP BY doc_id, g),
+df AS (SELECT g, count(*) AS df FROM tf GROUP BY g),
+m AS (SELECT doc_id, 100 - 90 + (90 * len(w) * nd) // nl AS m FROM t, c WHERE len(w) > 0),
+s AS (SELECT item_id, doc_id, CAST(sum(CAST(floor(1000 * ln((2 * nd + 2) / (2 * df + 1))) AS BIGINT)
+                                       * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM v JOIN tf ON tf.g = v.g JOIN df ON df.g = v.g JOIN m USING (doc_id), c GROUP BY item_id, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query("op12_ranked_search", OP12_SQL)
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_search(spark, table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as p
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    aligned = token_alignment.alignments(docs, p.path("byte_bpe_50k.json"), p.path("piece_bpe_32k.model"), p.path("byte_bpe_50k.tiktoken"))
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
+    aligned = saved(spark, aligned.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    return token_alignment.link_statistics(spark, aligned).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

@@ -24,4 +24,4 @@ def test_query_matches_oracle(spark, key):
 
 def test_one_query_for_each_operator():
     names = set(E.queries())
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
