@@ -5,9 +5,10 @@
 2. Anchors: byte offsets where a token of both ends and the next token of both
    begins with a space. The offsets are compared, so an anchor is verified,
    not guessed. Anchors cut a document into windows, about one for each word.
-3. A window is known by its two id tuples. Its groups (the finest pieces at
-   whose ends both tokenizations end) and its links are worked out once and
-   memoised by these tuples; most windows are words seen before.
+3. A window is known by its two id tuples. The windows of a batch of texts
+   are brought together by these tuples, and each different one is aligned
+   once: its groups (the finest pieces at whose ends both tokenizations end)
+   and its links are shared by all windows with the same tuples.
 4. Corpus counts: a pair's count is the number of documents that hold it
    linked. Documents carry distinct pairs, so this is one pre-aggregated count.
 5. The counts go back to the documents: the frequent head of the pair table,
@@ -21,9 +22,9 @@ long group without common ends costs its distinct pairs, not all occurrences.
 from __future__ import annotations
 
 import os
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +36,12 @@ from .components import dropped, saved
 from .packing import _PLAIN
 from .token_counts import ResyncEncoder
 
-#: Windows remembered by a task, and the most tokens of one that is.
-MEMO = 100_000
-MEMO_TOKENS = 64
+#: Windows of up to so many tokens on each side are shared.
+SHORT = 8
+#: Links of a group that are listed one by one; larger groups by distinct ids.
+GROUP_LINKS = 4096
 #: Characters encoded, and then returned, at a time, which bounds a task's memory.
-BATCH_CHARS = 1 << 19
+BATCH_CHARS = 1 << 20
 #: Texts beyond this are encoded by ``ResyncEncoder``, which gives the same ids.
 WHOLE_CHARS = 1 << 18
 #: Rows of the broadcast head of the pair table.
@@ -60,9 +62,12 @@ def byte_symbols() -> dict[str, int]:
 class _Side:
     """Bytes of a vocabulary's tokens."""
 
-    def __init__(self, pieces: list[bytes]):
+    def __init__(self, pieces: list[bytes], end: str):
         self.pieces = pieces
         self.sizes = np.array([len(p) for p in pieces], dtype=np.int64)
+        #: An id as text, within a group and at the end of its side of one.
+        self.names = np.array([f"{i}," for i in range(len(pieces))], dtype=object)
+        self.closing = np.array([f"{i}{end}" for i in range(len(pieces))], dtype=object)
         self.spaced = np.array([p[:1] == b" " for p in pieces])
 
     def joined(self, ids) -> bytes:
@@ -72,7 +77,7 @@ class _Side:
 class Aligner:
     """Aligns a byte-level vocabulary (A) with a sentencepiece model (B)."""
 
-    def __init__(self, json_path: str, model_path: str, ranks_path: str | None = None, memo: int = MEMO):
+    def __init__(self, json_path: str, model_path: str, ranks_path: str | None = None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(json_path)
@@ -82,7 +87,7 @@ class Aligner:
         pieces = [b""] * (max(entries.values()) + 1)
         for token, i in entries.items():
             pieces[i] = bytes(symbols[c] for c in token) if all(c in symbols for c in token) else token.encode()
-        self.a = _Side(pieces)
+        self.a = _Side(pieces, "|")
         self.fast = None
         if ranks_path is not None:
             import base64
@@ -95,9 +100,7 @@ class Aligner:
         self.long = ResyncEncoder(model_path, chunk=WHOLE_CHARS)
         self.model = m = self.long.model
         self.b = _Side([bytes([int(m.id_to_piece(i)[3:5], 16)]) if m.is_byte(i) else m.id_to_piece(i).replace("▁", " ").encode()
-                        for i in range(m.get_piece_size())])
-        self.limit = memo
-        self.memo: dict[tuple[bytes, bytes], tuple] = {}
+                        for i in range(m.get_piece_size())], ";")
 
     def encode_a(self, text: str) -> list[int]:
         if self.fast is not None and _PLAIN.fullmatch(text):
@@ -109,66 +112,141 @@ class Aligner:
         got = iter(self.model.encode(short, return_type="numpy", num_threads=1) if short else [])
         return [np.asarray(next(got) if len(t) <= WHOLE_CHARS else self.long.ids(t), dtype=np.int32) for t in texts]
 
-    def _window(self, a: np.ndarray, b: np.ndarray) -> tuple:
-        """``(groups as text, n_groups, n_links, pairs, counts)`` of one window."""
-        ends_a, ends_b = np.cumsum(self.a.sizes[a]), np.cumsum(self.b.sizes[b])
-        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        cut_a, cut_b = np.searchsorted(ends_a, shared) + 1, np.searchsorted(ends_b, shared) + 1
-        a, b = a.tolist(), b.tolist()
-        texts, pairs, links = [], Counter(), 0
-        i = j = 0
-        for p, q in zip(cut_a.tolist(), cut_b.tolist()):
-            x, y = a[i:p], b[j:q]
-            texts.append(",".join(map(str, x)) + "|" + ",".join(map(str, y)))
-            links += len(x) * len(y)
-            many = Counter(y)
-            for s, k in Counter(x).items():
-                for t, n in many.items():
-                    pairs[s << 32 | t] += k * n
-            i, j = p, q
-        return (";".join(texts), len(texts), links, np.fromiter(pairs.keys(), dtype="<i8", count=len(pairs)).tobytes(),
-                np.fromiter(pairs.values(), dtype="<i8", count=len(pairs)).tobytes())
-
-    def align(self, text: str, ids_b: np.ndarray) -> tuple | None:
-        """``(n_a, n_b, n_groups, n_links, groups, a ids, b ids, counts)`` of a
-        text, or None if the tokens' bytes are not those of the text."""
-        want = b" " + text.encode("utf-8", "surrogatepass")
-        list_a = self.encode_a(" " + text)
-        if self.a.joined(list_a) != want or self.b.joined(ids_b.tolist()) != want:
-            return None
-        ids_a = np.array(list_a, dtype="<i4")
+    def _encoded(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
+        """Ids of both sides, or None where a text is empty or the tokens'
+        bytes are not those of the text."""
+        out = []
+        for text, ids in zip(texts, self.encode_b(texts)):
+            want = b" " + text.encode("utf-8", "surrogatepass")
+            a, b = self.encode_a(" " + text) if text else [], ids.tolist()
+            out.append((a, b) if text and self.a.joined(a) == want and self.b.joined(b) == want else None)
+        return out
+
+    def align(self, texts: list[str]) -> list[tuple]:
+        """``(n_a, n_b, n_groups, n_links, groups, a ids, b ids, counts)`` of
+        each text; zeros and nothing where it has no tokens.
+
+        The texts are laid end to end: both tokenizations end at the end of
+        each, and the first token of each begins with a space, so no window
+        reaches over a text's end.
+        """
+        out = [(0, 0, 0, 0, "", _NONE, _NONE, _NONE)] * len(texts)
+        encoded = self._encoded(texts)
+        docs = [d for d, e in enumerate(encoded) if e]
+        if not docs:
+            return out
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(encoded[d][k] for d in docs), dtype="<i4") for k in (0, 1))
         ends_a, ends_b = np.cumsum(self.a.sizes[ids_a]), np.cumsum(self.b.sizes[ids_b])
-        ended = np.zeros(len(want) + 1, dtype=bool)
-        ended[ends_a] = True
-        at_b = np.nonzero(ended[ends_b])[0]                       # ends that both have
-        at_a = np.searchsorted(ends_a, ends_b[at_b])
-        next_a = np.append(self.a.spaced[ids_a[1:]], True)        # the end of the text closes a window
-        next_b = np.append(self.b.spaced[ids_b[1:]], True)
+        place = np.full(int(ends_a[-1]) + 1, -1, dtype=np.int64)
+        place[ends_a] = np.arange(len(ids_a))
+        at_a = place[ends_b]
+        at_b = np.nonzero(at_a >= 0)[0]                            # ends that both have
+        at_a = at_a[at_b]
+        next_a, next_b = np.append(self.a.spaced[ids_a[1:]], True), np.append(self.b.spaced[ids_b[1:]], True)
         anchor = next_a[at_a] & next_b[at_b]
-        stops_a, stops_b = (at_a[anchor] + 1).tolist(), (at_b[anchor] + 1).tolist()
-        key_a, key_b = ids_a.tobytes(), ids_b.tobytes()
-        memo, windows = self.memo, []
-        i = j = 0
-        for p, q in zip(stops_a, stops_b):
-            key = (key_a[4 * i:4 * p], key_b[4 * j:4 * q])
-            w = memo.get(key)
-            if w is None:
-                w = self._window(ids_a[i:p], ids_b[j:q])
-                if p - i + q - j <= MEMO_TOKENS:
-                    if len(memo) >= self.limit:
-                        memo.clear()
-                    memo[key] = w
-            windows.append(w)
-            i, j = p, q
-        texts, groups, links, pairs, counts = zip(*windows)
-        pair, back = np.unique(np.frombuffer(b"".join(pairs), dtype="<i8"), return_inverse=True)
-        n = np.zeros(len(pair), dtype=np.int64)
-        np.add.at(n, back, np.frombuffer(b"".join(counts), dtype="<i8"))
-        return (len(ids_a), len(ids_b), sum(groups), sum(links), ";".join(texts), (pair >> 32).astype(np.int32),
-                (pair & 0xFFFFFFFF).astype(np.int32), np.minimum(n, 2 ** 31 - 1).astype(np.int32))
+        stops = np.stack([at_a[anchor] + 1, at_b[anchor] + 1])     # windows end at anchors
+        starts = np.concatenate([np.zeros((2, 1), dtype=np.int64), stops[:, :-1]], axis=1)
+        which, first_seen = distinct_windows(ids_a, ids_b, starts, stops)
+        size = stops[:, first_seen] - starts[:, first_seen]
+        texts_of, groups, links, begin, pair, count = self._aligned(
+            ids_a[_ranges(starts[0, first_seen], size[0])], ids_b[_ranges(starts[1, first_seen], size[1])], *np.cumsum(size, axis=1))
+
+        last = np.cumsum([len(encoded[d][0]) for d in docs])
+        doc = np.searchsorted(last, stops[0])                      # of each window
+        first = np.searchsorted(doc, np.arange(len(docs) + 1))
+        n_groups, n_links = np.add.reduceat(groups[which], first[:-1]), np.add.reduceat(links[which], first[:-1])
+        many = np.diff(begin)[which]
+        take = _ranges(begin[which], many)
+        values, back = np.unique(pair, return_inverse=True)
+        held, inverse = np.unique(np.repeat(doc, many) * len(values) + back[take], return_inverse=True)
+        total = np.zeros(len(held), dtype=np.int64)
+        np.add.at(total, inverse, count[take])
+        total = np.minimum(total, 2 ** 31 - 1).astype(np.int32)
+        linked = values[held % len(values)]
+        link_a, link_b = (linked >> 32).astype(np.int32), (linked & 0xFFFFFFFF).astype(np.int32)
+        border = np.searchsorted(held, np.arange(len(docs) + 1) * len(values))
+        sequence = list(map(texts_of.__getitem__, which.tolist()))
+        for k, d in enumerate(docs):
+            part = slice(border[k], border[k + 1])
+            out[d] = (len(encoded[d][0]), len(encoded[d][1]), int(n_groups[k]), int(n_links[k]), "".join(sequence[first[k]:first[k + 1]])[:-1],
+                      link_a[part], link_b[part], total[part])
+        return out
+
+    def _aligned(self, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> tuple:
+        """The alignments of distinct windows, laid end to end: their groups as
+        text (each ended by ``;``), numbers of groups and of links, and linked
+        pairs with counts (those of window k from ``begin[k]`` on)."""
+        ends_a, ends_b = np.cumsum(self.a.sizes[a]), np.cumsum(self.b.sizes[b])
+        place = np.full(int(ends_a[-1]) + 1, -1, dtype=np.int64)
+        place[ends_a] = np.arange(len(a))
+        stop_b = np.nonzero(place[ends_b] >= 0)[0] + 1
+        stop_a = place[ends_b[stop_b - 1]] + 1
+        n_a, n_b = np.diff(stop_a, prepend=0), np.diff(stop_b, prepend=0)
+        window = np.searchsorted(cut_a, stop_a)
+        groups = np.bincount(window, minlength=len(cut_a))
+        links = np.zeros(len(cut_a), dtype=np.int64)
+        np.add.at(links, window, n_a * n_b)
+
+        text_a, text_b = self.a.names[a], self.b.names[b]
+        text_a[stop_a - 1] = self.a.closing[a[stop_a - 1]]
+        text_b[stop_b - 1] = self.b.closing[b[stop_b - 1]]
+        group = np.arange(len(n_a))
+        mixed = np.empty(len(a) + len(b), dtype=object)
+        mixed[np.arange(len(a)) + (stop_b - n_b)[np.repeat(group, n_a)]] = text_a   # after the B tokens of the groups before
+        mixed[np.arange(len(b)) + stop_a[np.repeat(group, n_b)]] = text_b
+        mixed, cut = mixed.tolist(), [0, *(cut_a + cut_b).tolist()]
+        texts = ["".join(mixed[i:j]) for i, j in zip(cut, cut[1:])]
+
+        small = np.nonzero(n_a * n_b <= GROUP_LINKS)[0]
+        many = (n_a * n_b)[small]
+        of, k = np.repeat(small, many), _ranges(np.zeros(len(small), dtype=np.int64), many)
+        pair = a[(stop_a - n_a)[of] + k // n_b[of]].astype(np.int64) << 32 | b[(stop_b - n_b)[of] + k % n_b[of]]
+        pairs, counts, owner = [pair], [np.ones(len(pair), dtype=np.int64)], [window[of]]
+        for g in np.nonzero(n_a * n_b > GROUP_LINKS)[0]:   # distinct ids of both sides, not all occurrences
+            x, s = np.unique(a[stop_a[g] - n_a[g]:stop_a[g]].astype(np.int64), return_counts=True)
+            y, t = np.unique(b[stop_b[g] - n_b[g]:stop_b[g]], return_counts=True)
+            pairs.append((x[:, None] << 32 | y).ravel())
+            counts.append((s[:, None] * t).ravel())
+            owner.append(np.full(len(x) * len(y), window[g]))
+        values, back = np.unique(np.concatenate(pairs), return_inverse=True)
+        held, inverse = np.unique(np.concatenate(owner) * len(values) + back, return_inverse=True)
+        count = np.zeros(len(held), dtype=np.int64)
+        np.add.at(count, inverse, np.concatenate(counts))
+        begin = np.searchsorted(held, np.arange(len(cut_a) + 1) * len(values))
+        return texts, groups, links, begin, values[held % len(values)], count
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``starts[k], starts[k] + 1, ...``, ``sizes[k]`` of them, for each k."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def distinct_windows(ids_a: np.ndarray, ids_b: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(which, first)``: for each window the number of its id tuples, and
+    for each number the first window that has them.
+
+    Windows of few tokens are brought together by a hash of their padded id
+    tuples, and then the tuples themselves are compared; longer windows (and
+    any whose hash another tuple has) stand alone.
+    """
+    size = stops - starts
+    short = np.nonzero((size <= SHORT).all(axis=0))[0]
+    step = np.arange(SHORT)
+    padded = np.concatenate([
+        np.where(step < size[k, short][:, None], ids[np.minimum(starts[k, short][:, None] + step, len(ids) - 1)] + 1, 0)
+        for k, ids in ((0, ids_a), (1, ids_b))], axis=1)
+    mixed = padded.astype(np.uint64) @ _MIX
+    _, first, back = np.unique(mixed ^ (mixed >> np.uint64(29)), return_index=True, return_inverse=True)
+    same = (padded == padded[first][back]).all(axis=1)
+    which = np.empty(starts.shape[1], dtype=np.int64)
+    which[short] = back
+    alone = np.concatenate([np.nonzero((size > SHORT).any(axis=0))[0], short[~same]])
+    which[alone] = np.arange(len(first), len(first) + len(alone))
+    return which, np.concatenate([short[first], alone])
 
 
 _NONE = np.empty(0, dtype=np.int32)
+_MIX = np.random.Generator(np.random.PCG64(1)).integers(1, 1 << 63, 2 * SHORT, dtype=np.uint64) | np.uint64(1)
 
 
 @lru_cache(maxsize=1)
@@ -207,9 +285,8 @@ def alignments(docs: DataFrame, json_path: str, model_path: str, ranks_path: str
                 while stop < len(texts) and (stop == k or size + len(texts[stop] or "") <= BATCH_CHARS):
                     size += len(texts[stop] or "")
                     stop += 1
-                part = [t or "" for t in texts[k:stop]]
-                rows = [al.align(t, ids) if t else None for t, ids in zip(part, al.encode_b(part))]
-                cols = list(zip(*[r or (0, 0, 0, 0, "", _NONE, _NONE, _NONE) for r in rows]))
+                rows = al.align([t or "" for t in texts[k:stop]])
+                cols = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(k, stop - k), *[pa.array(c, type=pa.int64()) for c in cols[:4]], pa.array(cols[4], type=pa.string()),
                      *[_lists(list(c)) for c in cols[5:]]], names=schema.names)
