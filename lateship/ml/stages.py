@@ -55,18 +55,18 @@ DEFAULT_GRIDS = {
 
 
 def classifier_and_grid(name: str, label: str = LABEL, seed: int = 42,
-                        grid: dict | None = None):
+                        grid: dict | None = None, features: str = "features"):
     """The estimator and its parameter grid for a model name.
 
     Grids are :data:`DEFAULT_GRIDS`; ``grid`` overrides values by parameter
     name (e.g. smaller grids in tests). Unknown names raise.
     """
     if name == "Logistic Regression":
-        est = LogisticRegression(featuresCol="features", labelCol=label)
+        est = LogisticRegression(featuresCol=features, labelCol=label)
     elif name == "Random Forest":
-        est = RandomForestClassifier(featuresCol="features", labelCol=label, seed=seed)
+        est = RandomForestClassifier(featuresCol=features, labelCol=label, seed=seed)
     elif name == "Gradient-Boosted Trees (GBT)":
-        est = GBTClassifier(featuresCol="features", labelCol=label, seed=seed)
+        est = GBTClassifier(featuresCol=features, labelCol=label, seed=seed)
     else:
         raise ValueError(f"unknown model name {name!r}; expected one of {MODEL_NAMES}")
     values = dict(DEFAULT_GRIDS[name])

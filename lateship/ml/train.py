@@ -1,30 +1,38 @@
 """Training with cross-validation, model persistence, scoring and reports.
 
-Data movement: the feature stages are fitted once per fold and the prepared
-rows (vector, label and fold part) are the only copy that is persisted; the
-whole grid is searched on them. Partitioning is left to the scan and AQE
-unless ``num_partitions`` asks for a hash partitioning on the row key. The
-split and the folds are key hashes by default, so they are reproducible,
+Data movement: the narrow training rows are written once to the shared folder,
+with their split part and fold. Two aggregates over them give the feature
+statistics of every fold, from which the stages of each fit follow
+(:mod:`.moments`). Each fold's prepared rows (vector, label and fold) are the
+only copy that is persisted; the whole grid is searched on them. The
+classifiers are fitted on sparse scaled vectors: centring moves the intercept
+of a linear model only, and no split of a tree.
+
+The split and the folds are key hashes by default, so they are reproducible,
 disjoint, and survive recomputation after an executor loss.
 """
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import SparkContext, StorageLevel, inheritable_thread_target
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.expr import slug_text
-from ..operators.clean import hash_bucket, split_hash, split_random
+from ..operators.clean import hash_bucket, split_part
 from ..operators.evaluate import classification_metrics
 from ..operators.stats import auc_exact
 from ..schema import LABEL
-from .stages import classifier_and_grid, feature_columns, feature_stages
+from ..session import delete_path, shared_dir
+from .moments import FeatureStatistics, Moments, fitted_stages, fold_statistics, merged
+from .stages import classifier_and_grid, feature_columns
 
 
 @contextmanager
@@ -43,72 +51,141 @@ class TrainResult:
     grid_metrics: DataFrame
     train: DataFrame
     test: DataFrame
+    statistics: FeatureStatistics
+    rows_path: str
+
+    def release(self) -> None:
+        """Delete the written rows that ``train`` and ``test`` read."""
+        delete_path(self.train.sparkSession, self.rows_path)
 
 
 def _describe(params: dict) -> str:
     return ", ".join(f"{p.name}={v}" for p, v in sorted(params.items(), key=lambda kv: kv[0].name))
 
 
-def cross_validate(train: DataFrame, features: Pipeline, classifier, grid: list[dict], num_folds: int,
-                   label: str) -> list[float]:
+def boosting_prefix(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The first ``n`` trees of a boosted model: what fitting with
+    ``maxIter=n`` and the same other parameters gives."""
+    gateway = SparkContext._active_spark_context._gateway
+    java = model._java_obj
+    kind = gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    trees, weights = gateway.new_array(kind, n), gateway.new_array(gateway.jvm.double, n)
+    for i in range(n):
+        trees[i], weights[i] = java.trees()[i], java.treeWeights()[i]
+    first = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), trees, weights)
+    for name in ("featuresCol", "predictionCol", "rawPredictionCol", "probabilityCol"):
+        first.set(first.getParam(name), model.getOrDefault(name))
+    return GBTClassificationModel(first)
+
+
+def _fits(classifier, grid: list[dict]) -> list[tuple[dict, list[tuple[int, int | None]]]]:
+    """What to fit: ``(params, [(grid point, trees)])``. Boosting adds tree
+    after tree, so of points that differ in ``maxIter`` alone only the
+    longest is fitted, and the others are its first trees."""
+    it = classifier.getParam("maxIter") if classifier.hasParam("maxIter") and classifier.hasParam("stepSize") else None
+    if it is None:
+        return [(p, [(i, None)]) for i, p in enumerate(grid)]
+    groups: dict[tuple, list[int]] = {}
+    for i, p in enumerate(grid):
+        groups.setdefault(tuple(sorted((q.name, repr(v)) for q, v in p.items() if q != it)), []).append(i)
+    of = lambda i: grid[i].get(it, classifier.getOrDefault(it))
+    return [(grid[max(points, key=of)], [(i, of(i)) for i in points]) for points in groups.values()]
+
+
+def cross_validate(train: DataFrame, statistics: dict[int, FeatureStatistics], numeric: list[str], categorical: list[str],
+                   classifier, grid: list[dict], num_folds: int, label: str, with_mean: bool = True, parallelism: int = 1) -> list[float]:
     """Mean area under ROC of each grid point over the folds in ``fold``.
 
-    Per fold the feature stages are fitted once, on the other folds; the
-    prepared rows of the fold are persisted, and every grid point is fitted
-    and measured on them.
+    A fold's feature stages come from the statistics of the other folds; its
+    prepared rows are persisted, and every grid point is fitted and measured
+    on them. ``parallelism`` fits run at a time.
     """
     evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-    total = [0.0] * len(grid)
-    for k in range(num_folds):
-        prepared = features.fit(train.filter(F.col("fold") != k)).transform(train).select("features", label, "fold")
-        with persisted(prepared):
-            fit_part, held = prepared.filter(F.col("fold") != k), prepared.filter(F.col("fold") == k)
-            for i, params in enumerate(grid):
-                total[i] += evaluator.evaluate(classifier.fit(fit_part, params).transform(held))
-    return [t / num_folds for t in total]
+    spark, vector = train.sparkSession, classifier.getOrDefault("featuresCol")
+    total = [[0.0] * num_folds for _ in grid]
+
+    def one(job) -> None:
+        k, prepared, params, points = job
+        model = classifier.fit(prepared.filter(F.col("fold") != k), params)
+        held = prepared.filter(F.col("fold") == k)
+        for i, trees in points:
+            part = model if trees is None or trees >= model.getNumTrees else boosting_prefix(model, trees)
+            total[i][k] = evaluator.evaluate(part.transform(held))
+
+    with ExitStack() as stack:
+        jobs = []
+        for k in range(num_folds):
+            stages = fitted_stages(spark, merged(statistics, without=k), numeric, categorical, with_mean)
+            prepared = PipelineModel(stages=stages).transform(train).select(vector, label, "fold")
+            stack.enter_context(persisted(prepared))
+            jobs += [(k, prepared, params, points) for params, points in _fits(classifier, grid)]
+        if parallelism > 1:
+            pool = stack.enter_context(ThreadPool(min(parallelism, len(jobs))))
+            pool.map(inheritable_thread_target(spark)(one), jobs, chunksize=1)
+        else:
+            for job in jobs:
+                one(job)
+    return [sum(t) / num_folds for t in total]
 
 
 def train_and_select(df: DataFrame, name: str, key_cols: list[str], numeric=None,
                      categorical=None, label: str = LABEL, num_folds: int = 2,
                      seed: int = 42, grid: dict | None = None, with_mean: bool = True,
-                     split: str = "hash", num_partitions: int | None = None) -> TrainResult:
+                     split: str = "hash", num_partitions: int | None = None, parallelism: int = 4) -> TrainResult:
     """80/20 split, k-fold cross-validation over the grid by area under ROC,
     best grid point refit on the whole training part.
 
-    ``split``: ``"hash"`` of ``key_cols`` or ``"random"`` (Spark's seeded
-    ``randomSplit``, then cut off by a checkpoint so that both parts agree
-    for good). ``with_mean=False`` keeps the one-hot vectors sparse: memory
-    and each optimizer pass then do not grow with the number of categories.
+    ``split``: ``"hash"`` of ``key_cols`` or ``"random"`` (a seeded draw for
+    each row; it depends on the partitioning, but is written with the rows,
+    so that both parts agree for good). ``with_mean`` centres the ``features``
+    column of scored rows; the fit itself is on sparse vectors either way.
     ``num_partitions`` hash-partitions the rows on their key; a random
     forest's bagging is seeded per partition, so the fitted trees depend on
-    the partitioning, whatever the machine.
+    the partitioning. ``parallelism`` fits of the search run at a time.
     """
     numeric, categorical = feature_columns(df, numeric, categorical)
     if split not in ("hash", "random"):
         raise ValueError(f"unknown split {split!r}")
+    spark = df.sparkSession
     cols = list(dict.fromkeys([*key_cols, *numeric, *categorical, label]))
+    by_key = key_cols or numeric + categorical
+    part = split_part(key_cols, salt=str(seed)) if split == "hash" else F.when(F.rand(seed) < 0.8, "train").otherwise("test")
     data = df.select(*cols).na.drop(subset=[label])
     if num_partitions:
-        data = data.repartition(num_partitions, *(key_cols or numeric + categorical))
-    if split == "hash":
-        train, test = split_hash(data, key_cols, salt=str(seed))
-    else:
-        data = data.checkpoint()
-        train, test = split_random(data, 0.8, seed)
-    train = train.withColumn("fold", hash_bucket(key_cols, num_folds, "fold"))
-    classifier, params = classifier_and_grid(name, label, seed, grid)
-    features = Pipeline(stages=feature_stages(numeric, categorical, with_mean))
+        data = data.repartition(num_partitions, *by_key)
+    path = f"{shared_dir(spark, 'training')}/rows"
+    data.withColumn("__part", part).withColumn("fold", hash_bucket(key_cols, num_folds, "fold")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    train, test = rows.filter("__part = 'train'").drop("__part"), rows.filter("__part = 'test'").drop("__part", "fold")
+    if num_partitions:
+        train = train.repartition(num_partitions, *by_key)
+    statistics = fold_statistics(train, numeric, categorical)
+    for k in range(num_folds):
+        statistics.setdefault(k, FeatureStatistics(0, {c: Moments() for c in numeric}, {c: {} for c in categorical}))
+    vector = "features_scaled" if with_mean else "features"
+    classifier, params = classifier_and_grid(name, label, seed, grid, vector)
     # One grid point wins without a search, but its metric is reported too.
-    metrics = cross_validate(train, features, classifier, params, num_folds, label)
+    metrics = cross_validate(train, statistics, numeric, categorical, classifier, params, num_folds, label, with_mean, parallelism)
     best = max(range(len(params)), key=lambda i: metrics[i])
-    fitted = features.fit(train)
-    prepared = fitted.transform(train).select("features", label)
+    whole = merged(statistics)
+    stages = fitted_stages(spark, whole, numeric, categorical, with_mean)
+    prepared = PipelineModel(stages=stages).transform(train).select(vector, label)
     with persisted(prepared):
         last = classifier.fit(prepared, params[best])
-    model = PipelineModel(stages=[*fitted.stages, last])
-    rows = [(name, _describe(p), float(m)) for p, m in zip(params, metrics)]
-    grid_df = df.sparkSession.createDataFrame(rows, "model string, params string, avg_auc double")
-    return TrainResult(name, model, grid_df, train.drop("fold"), test)
+    model = PipelineModel(stages=[*stages, last])
+    points = [(name, _describe(p), float(m)) for p, m in zip(params, metrics)]
+    grid_df = spark.createDataFrame(points, "model string, params string, avg_auc double")
+    return TrainResult(name, model, grid_df, train.drop("fold"), test, whole, path)
+
+
+def centred_coefficients(result: TrainResult) -> tuple[list[float], float]:
+    """Coefficients and intercept of a linear model on the centred
+    ``features``: the coefficients are those of the sparse fit, the means go
+    into the intercept."""
+    last, scaler = result.model.stages[-1], result.model.stages[-2]
+    w = last.coefficients.toArray()
+    shift = [m / d if d else 0.0 for m, d in zip(scaler.mean.toArray(), scaler.std.toArray())]
+    return w.tolist(), float(last.intercept + sum(a * b for a, b in zip(w, shift)))
 
 
 def model_dir(base: str, name: str) -> str:

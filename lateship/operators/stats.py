@@ -19,12 +19,18 @@ value repeated a billion times is one row, and ties never need breaking.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import delete_path, ensure_checkpoint_dir, shared_dir
+from . import sketch
+from .sketch import value_column as _value
 
 _PID = "__slice"
+#: Gathered rows that the driver may order; more are ordered by Spark.
+COLLECT_ROWS = 500_000
 
 
 def _reliable(df: DataFrame) -> DataFrame:
@@ -83,23 +89,6 @@ def running_total(df: DataFrame, order_col, weight_col: str, out_col: str,
                       out_col, groups, few_groups or not groups)
 
 
-def _value(c: str):
-    """A column as double; null and NaN are no value."""
-    v = F.col(c).cast("double")
-    return F.when(v.isNotNull() & ~F.isnan(v), v)
-
-
-def _sketch(df: DataFrame, wanted: dict[str, list[float]], accuracy: int) -> dict[str, tuple[int, list[float]]]:
-    """(number of values, approximate quantiles) per column, in one pass;
-    a few numbers per column reach the driver."""
-    aggs = []
-    for i, (c, ps) in enumerate(wanted.items()):
-        aggs += [F.count(_value(c)).alias(f"n{i}"),
-                 F.percentile_approx(_value(c), F.array(*[F.lit(float(p)) for p in ps]), accuracy).alias(f"q{i}")]
-    row = df.agg(*aggs).first()
-    return {c: (row[f"n{i}"], list(row[f"q{i}"] or [])) for i, c in enumerate(wanted)}
-
-
 def _ranks(n: int, p: float, method: str) -> tuple[int, int, float]:
     """1-based ranks to look up and the share of the second."""
     if method == "disc":
@@ -119,107 +108,136 @@ def _merged(brackets: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return out
 
 
-def _cells(df: DataFrame, brackets: dict[str, list[tuple[float, float]]]) -> DataFrame:
-    """(column_name, cell, value, w) from one scan.
+def _brackets(df: DataFrame, cols: list[str], probs: list[float], width: float, k: int) -> dict[str, tuple[int, list]]:
+    """(number of values, disjoint brackets around the wanted ranks) per column:
+    one sketch pass; a few numbers per column reach the driver."""
+    ends = sorted({e for p in probs for e in (p - width, p + width) if 0.0 < e < 1.0})
+    states = sketch.quantile_state(df, cols, k=k)
+    at = {r["column_name"]: (r["n"], dict(zip(ends, r["q"]))) for r in sketch.with_quantiles(states, ends).collect()}
+    out = {}
+    for c, (n, q) in at.items():
+        out[c] = n, _merged([(q.get(p - width, -math.inf), q.get(p + width, math.inf)) for p in probs])
+    return out
 
-    The disjoint brackets of a column cut its values into cells: cell 2i is
-    the gap before bracket i, cell 2i + 1 the bracket. Values inside a bracket
-    are counted one by one, all others by cell only (value null), so tasks
-    combine almost every row before the shuffle.
-    """
-    parts = []
-    for c, bs in brackets.items():
+
+def _bracket_counts(df: DataFrame, brackets: dict[str, list]) -> dict[str, list[tuple[int, int, int, int]]]:
+    """Per bracket the number of values below it, at its low end, strictly
+    inside, and at its high end: conditional counts in one flat aggregate."""
+    aggs = []
+    for i, (c, bs) in enumerate(brackets.items()):
         v = _value(c)
-        cell, kept = F.lit(2 * len(bs)), F.lit(None).cast("double")
-        for i, (lo, hi) in reversed(list(enumerate(bs))):
-            inside = (v >= lo) & (v <= hi)
-            cell = F.when(v < lo, 2 * i).when(inside, 2 * i + 1).otherwise(cell)
-            kept = F.when(inside, v).otherwise(kept)
-        parts.append(F.when(v.isNotNull(), F.struct(F.lit(c).alias("column_name"), cell.alias("cell"), kept.alias("value"))))
-    return (df.select(F.explode(F.array_compact(F.array(*parts))).alias("x")).select("x.*")
-              .groupBy("column_name", "cell", "value").agg(F.count(F.lit(1)).alias("w")))
+        for j, (lo, hi) in enumerate(bs):
+            at_hi = v == hi if lo < hi else F.lit(False)
+            for name, cond in (("b", v < lo), ("l", v == lo), ("i", (v > lo) & (v < hi)), ("h", at_hi)):
+                aggs.append(F.count(F.when(cond, True)).alias(f"{name}{i}_{j}"))
+    row = df.agg(*aggs).first()
+    return {c: [tuple(row[f"{x}{i}_{j}"] for x in "blih") for j in range(len(bs))] for i, (c, bs) in enumerate(brackets.items())}
+
+
+def _place(k: int, brackets: list, counts: list) -> tuple | None:
+    """Where rank ``k`` lies: ``(bracket, value, None)`` if at an end,
+    ``(bracket, None, rank inside)``, or None if in no bracket."""
+    for j, ((lo, hi), (below, at_lo, inside, at_hi)) in enumerate(zip(brackets, counts)):
+        r = k - below
+        if 0 < r <= at_lo:
+            return j, lo, None
+        if 0 < r <= at_lo + inside:
+            return j, None, r - at_lo
+        if 0 < r <= at_lo + inside + at_hi:
+            return j, hi, None
+    return None
+
+
+def _gathered(df: DataFrame, wanted: list[tuple[str, float, float]]) -> DataFrame:
+    """(cell, value, w): the distinct values strictly inside each bracket
+    ``(column, low, high)`` and how often they occur. Rows outside all of
+    them are filtered away before anything is built from them."""
+    inside = [(F.col(c).cast("double") > lo) & (F.col(c).cast("double") < hi) for c, lo, hi in wanted]
+    some = reduce(lambda a, b: a | b, inside)
+    parts = [F.when(x, F.struct(F.lit(i).alias("cell"), F.col(c).cast("double").alias("value")))
+             for i, (x, (c, _, _)) in enumerate(zip(inside, wanted))]
+    return (df.where(some).select(F.explode(F.array_compact(F.array(*parts))).alias("x")).select("x.*")
+              .groupBy("cell", "value").agg(F.count(F.lit(1)).alias("w")))
+
+
+def _values_at(df: DataFrame, wanted: list[tuple[str, float, float]], ranks: list[set[int]], rows: int, collect_rows: int) -> dict:
+    """``{(cell, rank): value}``. Up to ``collect_rows`` gathered rows are
+    ordered by the driver, more of them by a distributed running total."""
+    cells = _gathered(df, wanted)
+    if rows <= collect_rows:
+        got = cells.toArrow()
+        cell, value, w = (got[c].to_numpy() for c in ("cell", "value", "w"))
+        out = {}
+        for i, ks in enumerate(ranks):
+            mine = cell == i
+            order = np.argsort(value[mine])
+            v, cum = value[mine][order], np.cumsum(w[mine][order])
+            out.update({(i, k): float(v[np.searchsorted(cum, k)]) for k in ks})
+        return out
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, "quantile-slices")
+    try:
+        ranged = cells.repartitionByRange(F.col("cell"), F.col("value"))
+        ranged.withColumn(_PID, F.spark_partition_id()).write.mode("overwrite").parquet(path)
+        sliced = spark.read.parquet(path)
+        cum = _local_cum(sliced, _offsets(sliced, "w", ["cell"]), "value", "w", "cum", ["cell"], True)
+        targets = F.broadcast(spark.createDataFrame([(i, k) for i, ks in enumerate(ranks) for k in ks], "cell int, k long"))
+        hit = (F.col("cum") - F.col("w") < F.col("k")) & (F.col("k") <= F.col("cum"))
+        return {(r["cell"], r["k"]): r["value"] for r in cum.join(targets, "cell").filter(hit).collect()}
+    finally:
+        delete_path(spark, path)
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], method: str = "linear",
-                    accuracy: int = 10000, margin: float | None = None) -> DataFrame:
+                    k: int = sketch.K, margin: float | None = None, collect_rows: int = COLLECT_ROWS) -> DataFrame:
     """(column_name, p, value) for every column with values and probability.
 
     ``method="linear"``: interpolated between closest ranks (numpy default,
     Spark ``percentile``, SQL ``percentile_cont``). ``method="disc"``: the
     smallest value whose cumulative share reaches p (``percentile_disc``).
 
-    One sketch pass gives a bracket around each wanted rank (``margin`` to
-    either side, twice the sketch's error by default); a second pass counts
-    what lies outside and keeps the distinct values inside, about
-    ``2 * margin`` of the rows, and only those are ordered. If a rank falls
-    outside its bracket, the bracket is widened and the passes repeated for
-    that column: the result is exact at any accuracy. The result is a local
-    table of columns x probabilities; intermediate tables are deleted.
+    Three passes, all flat: a KLL sketch gives a bracket around each wanted
+    rank (``margin`` to either side, twice the sketch's error by default);
+    conditional counts tell how many values lie below, at the ends of and
+    inside each bracket; and only where a rank falls inside one, the values
+    inside (about ``2 * margin`` of the rows) are gathered and ordered. If a
+    rank lies in no bracket, the bracket is widened and the passes are
+    repeated for that column: the result is exact at any accuracy. The result
+    is a local table of columns x probabilities.
     """
+    spark = df.sparkSession
     if not cols:
-        return df.sparkSession.createDataFrame([], "column_name string, p double, value double")
+        return spark.createDataFrame([], "column_name string, p double, value double")
     found: dict[str, dict[float, float]] = {}
-    todo, width = list(dict.fromkeys(cols)), margin if margin is not None else 2.0 / accuracy
-    sizes: dict[str, int] = {}
+    todo, width = list(dict.fromkeys(cols)), margin if margin is not None else 2 * sketch.rank_error(k)
     while todo:
-        ends = [e for p in probs for e in (max(0.0, p - width), min(1.0, p + width))]
-        sketch = _sketch(df, {c: ends for c in todo}, accuracy)
-        sizes.update({c: n for c, (n, _) in sketch.items()})
-        todo = [c for c in todo if sizes[c]]
+        sketched = _brackets(df, todo, probs, width, k)
+        todo = [c for c in todo if c in sketched]   # columns without values give no row
         if not todo:
             break
-        whole = width >= 1.0
-        brackets = {c: [(-math.inf, math.inf)] if whole else
-                    _merged(list(zip(sketch[c][1][::2], sketch[c][1][1::2]))) for c in todo}
-        found.update(_lookup(df, brackets, {c: {p: _ranks(sizes[c], p, method) for p in probs} for c in todo}))
+        ranks = {c: {p: _ranks(sketched[c][0], p, method) for p in probs} for c in todo}
+        brackets = {c: sketched[c][1] for c in todo}
+        counts = _bracket_counts(df, brackets)
+        at: dict[tuple[str, int], float] = {}
+        inside: dict[tuple[str, int], set[int]] = {}
+        for c in todo:
+            places = {r: _place(r, brackets[c], counts[c]) for lo, hi, _ in ranks[c].values() for r in (lo, hi)}
+            if None not in places.values():
+                found[c] = {}
+                at.update({(c, r): v for r, (_, v, x) in places.items() if x is None})
+                for r, (j, _, x) in places.items():
+                    if x is not None:
+                        inside.setdefault((c, j), set()).add((r, x))
+        if inside:
+            wanted = [(c, *brackets[c][j]) for c, j in inside]
+            got = _values_at(df, wanted, [{x for _, x in rs} for rs in inside.values()],
+                             sum(counts[c][j][2] for c, j in inside), collect_rows)
+            at.update({(c, r): got[i, x] for i, ((c, _), rs) in enumerate(inside.items()) for r, x in rs})
+        for c in [c for c in todo if c in found]:
+            found[c] = {p: at[c, lo] + frac * (at[c, hi] - at[c, lo]) if frac else at[c, lo] for p, (lo, hi, frac) in ranks[c].items()}
         todo = [c for c in todo if c not in found]
         width = max(width * 8, 1e-4)
     rows = [(c, float(p), float(v)) for c in cols if c in found for p, v in found[c].items()]
-    return df.sparkSession.createDataFrame(rows, "column_name string, p double, value double")
-
-
-def _lookup(df: DataFrame, brackets: dict, ranks: dict) -> dict[str, dict[float, float]]:
-    """The values at the ranks of each column whose ranks all lie in brackets."""
-    spark = df.sparkSession
-    path = shared_dir(spark, "quantile-cells")
-    try:
-        _cells(df, brackets).write.mode("overwrite").parquet(path)
-        cells = spark.read.parquet(path)
-        totals: dict[str, dict[int, int]] = {}
-        # cells: two per bracket and column at most
-        for r in cells.groupBy("column_name", "cell").agg(F.sum("w").alias("w")).collect():
-            totals.setdefault(r["column_name"], {})[r["cell"]] = r["w"]
-        wanted, complete = [], []
-        for c, by_p in ranks.items():
-            places = {}
-            for k in {k for lo, hi, _ in by_p.values() for k in (lo, hi)}:
-                before = 0
-                for cell in sorted(totals[c]):
-                    if before < k <= before + totals[c][cell]:
-                        places[k] = (cell, k - before)
-                        break
-                    before += totals[c][cell]
-            if all(cell % 2 for cell, _ in places.values()):
-                complete.append(c)
-                wanted += [(c, cell, r, k) for k, (cell, r) in places.items()]
-        if not wanted:
-            return {}
-        targets = F.broadcast(spark.createDataFrame(wanted, "column_name string, cell int, r long, k long"))
-        inside = cells.join(F.broadcast(targets.select("column_name", "cell").distinct()), ["column_name", "cell"], "left_semi")
-        sliced_path = shared_dir(spark, "quantile-slices")
-        try:
-            ranged = inside.repartitionByRange(F.col("column_name"), F.col("cell"), F.col("value"))
-            ranged.withColumn(_PID, F.spark_partition_id()).write.mode("overwrite").parquet(sliced_path)
-            sliced = spark.read.parquet(sliced_path)
-            g = ["column_name", "cell"]
-            cum = _local_cum(sliced, _offsets(sliced, "w", g), "value", "w", "cum", g, True)
-            hit = (F.col("cum") - F.col("w") < F.col("r")) & (F.col("r") <= F.col("cum"))
-            at = {(r["column_name"], r["k"]): r["value"] for r in cum.join(targets, g).filter(hit).collect()}
-        finally:
-            delete_path(spark, sliced_path)
-    finally:
-        delete_path(spark, path)
-    return {c: {p: at[c, lo] + frac * (at[c, hi] - at[c, lo]) for p, (lo, hi, frac) in ranks[c].items()} for c in complete}
+    return spark.createDataFrame(rows, "column_name string, p double, value double")
 
 
 def approx_quantiles(df: DataFrame, cols: list[str], probs: list[float],
@@ -270,7 +288,7 @@ def boxplot_stats(df: DataFrame, cols: list[str], whisker: float = 1.5,
             box.setdefault(r["column_name"], {})[r["p"]] = r["value"]
         box = {c: [q[p] for p in probs] for c, q in box.items()}
     else:
-        box = {c: q for c, (n, q) in _sketch(df, {c: probs for c in cols}, 10000).items() if n}
+        box = {r["column_name"]: r["q"] for r in sketch.with_quantiles(sketch.quantile_state(df, cols), probs).collect()}
     schema = ("column_name string, q1 double, median double, q3 double, iqr double, n long, min_value double, "
               "max_value double, lower_whisker double, upper_whisker double, n_outliers long")
     if not box:
@@ -308,5 +326,32 @@ def auc_exact(df: DataFrame, label_col: str, score_col: str) -> DataFrame:
                        "n_pos", "n_neg"))
 
 
-__all__ = ["running_total", "exact_quantiles", "quantile_bounds", "boxplot_stats",
+def score_histogram(df: DataFrame, label_col: str, score_col: str, bins: int = 10_000, by: list[str] | None = None) -> DataFrame:
+    """(*by, bin, pos, neg): a mergeable state for :func:`auc_bounds`, one
+    aggregate of ``bins + 1`` rows at most for each value of ``by``. Scores
+    are probabilities; those outside 0 to 1 count as 0 or 1. Rows without a
+    score or a label are not counted."""
+    s, lab = F.col(score_col).cast("double"), F.col(label_col).cast("double")
+    b = F.floor(F.least(F.greatest(s, F.lit(0.0)), F.lit(1.0)) * bins).cast("int")
+    return (df.filter(s.isNotNull() & ~F.isnan(s) & lab.isNotNull()).groupBy(*(by or []), b.alias("bin"))
+              .agg(F.count(F.when(lab == 1.0, 1)).alias("pos"), F.count(F.when(lab != 1.0, 1)).alias("neg")))
+
+
+def auc_bounds(histogram: DataFrame) -> DataFrame:
+    """One row: auc, error, n_pos, n_neg. The area under ROC lies within
+    ``auc - error`` and ``auc + error``, for certain: only pairs that share a
+    bin are unordered, and they count one half. Several states (of days, of
+    parts) may be given together; no score is ordered, only the bins are."""
+    h = histogram.groupBy("bin").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    # one small row set (the bins) in one task
+    below = F.coalesce(F.sum("neg").over(Window.partitionBy(F.lit(0)).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    sums = h.withColumn("below", below.cast("double")).agg(
+        F.sum(pos * F.col("below")).alias("won"), F.sum(pos * neg).alias("open"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+    pairs = F.col("n_pos").cast("double") * F.col("n_neg")
+    return sums.select(F.when(pairs > 0, (F.col("won") + F.col("open") / 2) / pairs).alias("auc"),
+                       F.when(pairs > 0, F.col("open") / 2 / pairs).alias("error"), "n_pos", "n_neg")
+
+
+__all__ = ["score_histogram", "auc_bounds", "running_total", "exact_quantiles", "quantile_bounds", "boxplot_stats",
            "auc_exact", "approx_quantiles", "slice_by_range"]

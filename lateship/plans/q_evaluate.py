@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import evaluate
+from ..operators import evaluate, stats
 from ..sources.fixtures import predictions
 from .oracle import with_fixtures
 from .registry import query
@@ -71,3 +71,29 @@ SELECT round(sum(pos * (neg_le - neg + neg / 2.0)) / (sum(pos) * sum(neg)), 9) A
 def auc_roc_exact(spark, sf_dir):
     a = evaluate.auc_roc_exact(predictions(spark, sf_dir))
     return a.select(F.round("auc", 9).alias("auc"), "n_pos", "n_neg")
+
+
+_HIST = """
+h AS (SELECT days_scheduled % 3 AS part, CAST(floor(least(greatest(score, 0.0), 1.0) * 40) AS INTEGER) AS bin,
+             CAST(sum(CASE WHEN p.late_delivery_risk = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos,
+             CAST(sum(CASE WHEN p.late_delivery_risk = 1 THEN 0 ELSE 1 END) AS BIGINT) AS neg
+      FROM predictions p JOIN order_items USING (order_id, line_no) GROUP BY 1, 2),
+b AS (SELECT bin, sum(pos) AS pos, sum(neg) AS neg FROM h GROUP BY bin),
+c AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM b)"""
+
+
+@query("auc_histogram", with_fixtures("""
+SELECT round((sum(pos * below) + sum(pos * neg) / 2.0) / (CAST(sum(pos) AS DOUBLE) * sum(neg)), 9) AS auc,
+       round(sum(pos * neg) / 2.0 / (CAST(sum(pos) AS DOUBLE) * sum(neg)), 9) AS error,
+       CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg, true AS within FROM c""",
+    "predictions", "order_items", extra=_HIST))
+def auc_histogram(spark, sf_dir):
+    """Score histograms of three parts of the table, merged: the area under
+    ROC with its error bound, and whether the exact area lies within."""
+    from ..sources.fixtures import order_items
+    days = order_items(spark, sf_dir).select("order_id", "line_no", (F.col("days_scheduled") % 3).alias("part"))
+    p = predictions(spark, sf_dir).join(days, ["order_id", "line_no"])
+    merged = stats.auc_bounds(stats.score_histogram(p, "late_delivery_risk", "score", bins=40, by=["part"]))
+    exact = stats.auc_exact(p, "late_delivery_risk", "score").first()["auc"]  # one number
+    within = F.abs(F.col("auc") - F.lit(exact)) <= F.col("error") + 1e-12
+    return merged.select(F.round("auc", 9).alias("auc"), F.round("error", 9).alias("error"), "n_pos", "n_neg", within.alias("within"))

@@ -10,10 +10,12 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
+from ..ml.label_index import LabelIndex
 from ..ml.stages import feature_stages
 from ..operators import clean, features
 from ..operators.geo import enrich_with_distance
 from ..schema import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES
+from ..session import shared_dir
 from ..sources.fixtures import gazetteer, order_items_nulls
 from .oracle import with_fixtures
 from .registry import query
@@ -146,6 +148,25 @@ def string_index_apply(spark, sf_dir):
     return out.select("order_id", "line_no", *[f"{c}_index" for c in CATEGORICAL_FEATURES])
 
 
+@query("string_index_table", with_fixtures(f"""
+SELECT m.order_id, m.line_no, coalesce(i.idx, k) AS item_ref_index, coalesce(s.idx, ks) AS order_state_index
+FROM refs m LEFT JOIN ranked i ON m.item_ref = i.value LEFT JOIN states s ON m.order_state = s.value,
+     (SELECT CAST(count(*) AS DOUBLE) AS k FROM ranked), (SELECT CAST(count(*) AS DOUBLE) AS ks FROM states)""", "model_input", extra="""
+refs AS (SELECT *, CASE WHEN line_no <> 3 THEN CAST(order_id AS VARCHAR) || '-' || CAST(line_no % 2 AS VARCHAR) END AS item_ref FROM model_input),
+ranked AS (SELECT value, CAST(row_number() OVER (ORDER BY cnt DESC, value) - 1 AS DOUBLE) AS idx
+           FROM (SELECT item_ref AS value, count(*) AS cnt FROM refs WHERE item_ref IS NOT NULL AND order_id % 10 <> 7 GROUP BY 1)),
+states AS (SELECT value, CAST(row_number() OVER (ORDER BY cnt DESC, value) - 1 AS DOUBLE) AS idx
+           FROM (SELECT order_state AS value, count(*) AS cnt FROM refs WHERE order_state IS NOT NULL AND order_id % 10 <> 7 GROUP BY 1))"""))
+def string_index_table(spark, sf_dir):
+    """An index kept as a table: fitted without a tenth of the orders, whose
+    references are then unseen, and applied to all rows. References number in
+    the order of the rows; the broadcast head is kept small to join the rest."""
+    df = model_input(spark, sf_dir).withColumn("item_ref", F.when(F.col("line_no") != 3, F.concat_ws("-", "order_id", F.col("line_no") % 2)))
+    index = LabelIndex.fit(df.where(F.col("order_id") % 10 != 7), ["item_ref", "order_state"], shared_dir(spark, "label-index"))
+    stored = LabelIndex(spark, index.path)
+    return stored.transform(df, head=1000).select("order_id", "line_no", "item_ref_index", "order_state_index")
+
+
 @query("one_hot_encode", with_fixtures(
     "SELECT order_id, line_no, " + ", ".join(f"{_onehot_text(c)} AS {c}_onehot" for c in CATEGORICAL_FEATURES)
     + " FROM indexed", "model_input", extra=_FEATURE_CTES))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F, types as T
 from ..operators import geo
 from ..schema import to_reference, to_snake
 from ..sinks import files as sinks
+from ..sinks.versioned import VersionedTable
 from ..sources import files as sources
 from ..sources.fixtures import city_names, gazetteer, geocode_candidates, order_items
 from ..session import shared_dir
@@ -134,7 +135,7 @@ def sink_gazetteer_append(spark, sf_dir):
     return sources.read_gazetteer(spark, path)
 
 
-@query("sink_gazetteer_append_retry", with_fixtures("""
+_RETRIED = """
 SELECT order_city, order_state, dest_lat, dest_lon FROM gazetteer_done d
 WHERE d.dest_lat IS NOT NULL AND d.dest_lon IS NOT NULL
 UNION ALL
@@ -145,15 +146,19 @@ LEFT JOIN picked p ON k.order_city IS NOT DISTINCT FROM p.order_city
 WHERE NOT EXISTS (SELECT 1 FROM gazetteer_done d
                   WHERE d.order_city IS NOT DISTINCT FROM k.order_city
                     AND d.order_state IS NOT DISTINCT FROM k.order_state
-                    AND d.dest_lat IS NOT NULL AND d.dest_lon IS NOT NULL)""",
-    "order_items", "gazetteer_done", "geocode_candidates", extra="""
+                    AND d.dest_lat IS NOT NULL AND d.dest_lon IS NOT NULL)"""
+_PICKED = """
 picked AS (
 SELECT order_city, order_state,
        CASE WHEN lat IS NOT NULL AND lon IS NOT NULL THEN lat END AS dest_lat,
        CASE WHEN lat IS NOT NULL AND lon IS NOT NULL THEN lon END AS dest_lon
 FROM (SELECT *, row_number() OVER (PARTITION BY order_city, order_state
           ORDER BY CASE WHEN result_type = 'city' THEN 0 ELSE 1 END, rank) AS rn
-      FROM geocode_candidates) WHERE rn = 1)"""))
+      FROM geocode_candidates) WHERE rn = 1)"""
+
+
+@query("sink_gazetteer_append_retry", with_fixtures(
+    _RETRIED, "order_items", "gazetteer_done", "geocode_candidates", extra=_PICKED))
 def sink_gazetteer_append_retry(spark, sf_dir):
     """The resumed run also retries failed keys and appends their answers;
     reading the folder with unique keys gives one row per key."""
@@ -167,6 +172,45 @@ def sink_gazetteer_append_retry(spark, sf_dir):
     return sources.read_gazetteer(spark, path, unique=True)
 
 
+@query("sink_gazetteer_versions", with_fixtures(
+    f"""SELECT *, 1 AS rows_on_disk, 2 AS version FROM ({_RETRIED}
+UNION ALL
+SELECT order_city, order_state, dest_lat, dest_lon FROM gazetteer_done d
+WHERE (d.dest_lat IS NULL OR d.dest_lon IS NULL)
+  AND NOT EXISTS (SELECT 1 FROM order_items k WHERE k.order_city IS NOT DISTINCT FROM d.order_city
+                  AND k.order_state IS NOT DISTINCT FROM d.order_state))""", "order_items", "gazetteer_done", "geocode_candidates", extra=_PICKED))
+def sink_gazetteer_versions(spark, sf_dir):
+    """The resumable gazetteer as a versioned table: a run that is killed
+    while it writes, its repetition, and a repetition after it had finished
+    leave one row a key on disk."""
+    store = VersionedTable(spark, shared_dir(spark, "gazetteer-versions"))
+    store.append(gazetteer(spark, sf_dir, done_only=True).select(*geo.GAZ_COLS), "first")
+    keys = order_items(spark, sf_dir).select("order_city", "order_state").distinct()
+    cands = geocode_candidates(spark, sf_dir)
+
+    def resolved(done):
+        return geo.incremental_gazetteer(done, keys, cands, retry_failed=True)
+
+    def killed(rows, key_cols):
+        half = F.pmod(F.xxhash64(*key_cols), F.lit(2)) == 0
+        whole = geo.dedup_gazetteer(rows, key_cols)
+        return whole.withColumn("dest_lat", F.when(half, F.raise_error(F.lit("killed half way"))).otherwise(F.col("dest_lat")))
+
+    try:  # the write itself dies, with some of its rows written
+        VersionedTable(spark, store.path, reduce=killed).append(resolved, "second")
+    except Exception as e:  # noqa: BLE001  the write is meant to fail
+        if "killed half way" not in str(e):
+            raise
+    else:
+        raise AssertionError("the killed run finished")
+    store.append(resolved, "second")
+    v = store.append(resolved, "second")
+    on_disk = spark.read.parquet(f"{store.path}/data/{v.folder}").groupBy(*geo.GEO_KEYS).agg(F.count(F.lit(1)).cast("int").alias("rows_on_disk"))
+    rows = store.read()
+    same = [rows[k].eqNullSafe(on_disk[k]) for k in geo.GEO_KEYS]
+    return rows.join(on_disk, same).select(*[rows[c] for c in geo.GAZ_COLS], "rows_on_disk", F.lit(v.number).alias("version"))
+
+
 _DOC_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampNTZType()), T.StructField("Order City", T.StringType()),
     T.StructField("Order Region", T.StringType()), T.StructField("Order Item Total", T.DoubleType()),

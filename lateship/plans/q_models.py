@@ -13,11 +13,13 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import DataFrame, functions as F
 
 from ..ml import train as T
+from ..ml.moments import fold_statistics, merged
+from ..operators.clean import hash_bucket, split_hash
 from ..operators.evaluate import classification_metrics
 from ..schema import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES
 from ..session import shared_dir
 from .oracle import with_fixtures
-from .q_features import _bucket_sql, model_input
+from .q_features import _bucket_sql, _present, model_input
 from .registry import query
 
 _KEYS = ["order_id", "line_no"]
@@ -145,3 +147,105 @@ def model_save_load_score(spark, sf_dir):
     loaded = T.load_model(path)
     saved = T.score(r.model, r.test).select(*r.test.columns, F.col("probability").alias("p_saved"))
     return T.score(loaded, saved).select(*_KEYS, (F.col("p_saved") == F.col("probability")).alias("same"))
+
+
+# --- feature statistics by fold, and what was fitted from them -------------------
+
+_FOLD = _bucket_sql("fold", 2)
+
+
+def _fold_rows(spark, sf_dir):
+    train, _ = split_hash(model_input(spark, sf_dir), _KEYS)
+    return train.withColumn("fold", hash_bucket(_KEYS, 2, "fold"))
+
+
+def _moments_sql(c: str, where: str) -> str:
+    """Present values, and moments after missing values became the mean."""
+    present = f"FILTER (WHERE {_present(c)})"
+    return f"""
+SELECT '{c}' AS column_name, count(*) {present} AS present, avg({c}) {present} AS mean,
+       sqrt(var_pop({c}) {present} * count(*) {present} / (count(*) - 1)) AS std
+FROM model_input WHERE {where}"""
+
+
+@query("fold_moments", with_fixtures("\nUNION ALL\n".join(
+    f"SELECT {k} AS without_fold, column_name, present, round(mean, 6) AS mean, round(std, 6) AS std "
+    f"FROM ({_moments_sql(c, _TRAIN + f' AND {_FOLD} <> {k}')})" for k in (-1, 0, 1) for c in NUMERIC_FEATURES), "model_input"))
+def fold_moments(spark, sf_dir):
+    """Moments of the imputed features for the training part and for each
+    fold left out, all from one aggregate by fold."""
+    s = fold_statistics(_fold_rows(spark, sf_dir), NUMERIC_FEATURES, [])
+    rows = []
+    for k in (-1, 0, 1):
+        m = merged(s, without=k)
+        rows += [(k, c, m.moments[c].n, *(round(x, 6) for x in m.imputed(c))) for c in NUMERIC_FEATURES]
+    return spark.createDataFrame(rows, "without_fold int, column_name string, present long, mean double, std double")
+
+
+@query("fold_labels", with_fixtures("\nUNION ALL\n".join(f"""
+SELECT {k} AS without_fold, '{c}' AS column_name, value, cnt AS "count", CAST(row_number() OVER (ORDER BY cnt DESC, value) - 1 AS INTEGER) AS "index"
+FROM (SELECT {c} AS value, count(*) AS cnt FROM model_input WHERE {_TRAIN} AND {_FOLD} <> {k} AND {c} IS NOT NULL GROUP BY 1)"""
+    for k in (-1, 0, 1) for c in CATEGORICAL_FEATURES), "model_input"))
+def fold_labels(spark, sf_dir):
+    """Label order for the training part and for each fold left out."""
+    s = fold_statistics(_fold_rows(spark, sf_dir), [], CATEGORICAL_FEATURES)
+    rows = []
+    for k in (-1, 0, 1):
+        m = merged(s, without=k)
+        rows += [(k, c, v, m.labels[c][v], i) for c in CATEGORICAL_FEATURES for i, v in enumerate(m.ordered_labels(c))]
+    return spark.createDataFrame(rows, "without_fold int, column_name string, value string, count long, index int")
+
+
+def _feature_sql(select: str) -> str:
+    """Features of the training part in vector order."""
+    labels = "\nUNION ALL\n".join(f"""
+SELECT {i} AS block, '{c}' AS column_name, value, row_number() OVER (ORDER BY cnt DESC, value) AS nth, cnt / n AS mean,
+       sqrt(cnt * (n - cnt) / (n * (n - 1))) AS std
+FROM (SELECT {c} AS value, CAST(count(*) AS DOUBLE) AS cnt FROM train WHERE {c} IS NOT NULL GROUP BY 1), (SELECT CAST(count(*) AS DOUBLE) AS n FROM train)"""
+        for i, c in enumerate(CATEGORICAL_FEATURES, 1))
+    numbers = "\nUNION ALL\n".join(f"""
+SELECT 0 AS block, column_name, NULL AS value, {i} AS nth, mean, std FROM ({_moments_sql(c, _TRAIN)})"""
+        for i, c in enumerate(NUMERIC_FEATURES))
+    return with_fixtures(select, "model_input", extra=f"""
+train AS (SELECT * FROM model_input WHERE {_TRAIN}),
+parts AS ({numbers} UNION ALL {labels}),
+features AS (SELECT CAST(row_number() OVER (ORDER BY block, nth) - 1 AS INTEGER) AS position, * FROM parts)""")
+
+
+def _feature_names(r) -> list[tuple]:
+    """(column, label or None) of each position of the fitted vector."""
+    index = [s for s in r.model.stages if hasattr(s, "labelsArray")]
+    return [(c, None) for c in NUMERIC_FEATURES] + [(c, v) for c, s in zip(CATEGORICAL_FEATURES, index) for v in s.labels]
+
+
+@query("trained_feature_stages", _feature_sql(
+    "SELECT position, column_name, value, round(mean, 6) AS mean, round(std, 6) AS std FROM features"))
+def trained_feature_stages(spark, sf_dir):
+    """Label order, means and deviations in the stages of the trained
+    pipeline, which come from fold statistics, next to SQL over the rows."""
+    r = fitted(spark, sf_dir, LR)
+    scaler = r.model.stages[-2]
+    rows = [(i, c, v, round(float(m), 6), round(float(d), 6))
+            for i, ((c, v), m, d) in enumerate(zip(_feature_names(r), scaler.mean.toArray(), scaler.std.toArray()))]
+    return spark.createDataFrame(rows, "position int, column_name string, value string, mean double, std double")
+
+
+@query("logistic_gradient", _feature_sql("SELECT position, column_name, value, true AS stationary FROM features"))
+def logistic_gradient(spark, sf_dir):
+    """Whether the regularised log-loss is stationary at the returned
+    coefficients: the gradient over all training rows, feature by feature, for
+    the stated regularisation. A wrong parameter, a dropped feature or wrong
+    moments would move it."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.stat import Summarizer
+    r = fitted(spark, sf_dir, LR)
+    w, reg = r.model.stages[-1].coefficients.toArray(), 0.01
+    miss = vector_to_array("probability")[1] - F.col(LABEL)
+    x = T.score(r.model, r.train).select("features_scaled", miss.alias("miss"))
+    part = lambda sign: F.greatest(F.col("miss") * sign, F.lit(0.0))  # noqa: E731  weights may not be negative
+    mean = lambda sign: Summarizer.mean(F.col("features_scaled"), part(sign))
+    s = x.select(mean(1).alias("over"), mean(-1).alias("under"), F.sum(part(1)).alias("o"), F.sum(part(-1)).alias("u"),
+                 F.count(F.lit(1)).alias("n")).first()  # two vectors
+    g = (s["over"].toArray() * s["o"] - s["under"].toArray() * s["u"]) / s["n"] + reg * w
+    rows = [(i, c, v, bool(abs(d) < 1e-4)) for i, ((c, v), d) in enumerate(zip(_feature_names(r), g))]
+    return spark.createDataFrame(rows, "position int, column_name string, value string, stationary boolean")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import profile
+from ..operators import profile, profile_state, sketch
 from ..schema import MODEL_COLUMNS, PROFILE_COLUMNS
-from ..sources.fixtures import order_items
+from ..session import shared_dir
+from ..sources.fixtures import order_items, order_items_nulls
 from .oracle import with_fixtures
 from .registry import query
 
@@ -117,3 +118,44 @@ _SCHEMA_ROWS = ",\n".join(
     "order_items"))
 def schema_report(spark, sf_dir):
     return profile.schema_report(order_items(spark, sf_dir).select(*MODEL_COLUMNS))
+
+
+_STATE_NUMBERS = ["latitude", "longitude", "order_item_quantity", "discount_rate", "order_item_total"]
+_STATE_TEXTS = ["shipping_mode", "order_state", "order_city"]
+
+
+def _state_sql(c: str, number: bool) -> str:
+    has = f"{c} IS NOT NULL" + (f" AND NOT isnan({c})" if number else "")
+    f = f"FILTER (WHERE {has})"
+    moments = (f"round(min({c}) {f}, 6) AS low, round(max({c}) {f}, 6) AS high, round(avg({c}) {f}, 6) AS mean, round(stddev_samp({c}) {f}, 6) AS std"
+               if number else "NULL AS low, NULL AS high, NULL AS mean, NULL AS std")
+    top = f"(SELECT {c} FROM order_items_nulls WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC LIMIT 1)" if c == "shipping_mode" else "NULL"
+    return f"""SELECT '{c}' AS column_name, count(*) AS rows, count(*) {f} AS present, count(*) - count(*) {f} AS missing, {moments},
+       {top} AS most_frequent, true AS distinct_ok, {"true" if number else "NULL"} AS quantiles_ok FROM order_items_nulls"""
+
+
+@query("profile_state_merged", with_fixtures("\nUNION ALL\n".join(
+    [_state_sql(c, True) for c in _STATE_NUMBERS] + [_state_sql(c, False) for c in _STATE_TEXTS]), "order_items_nulls"))
+def profile_state_merged(spark, sf_dir):
+    """Profile states of each market, stored, read back and merged: equal to
+    the single operators over the whole table. Distinct counts are held
+    against the exact ones (3 %), quantiles against their true ranks."""
+    df, path = order_items_nulls(spark, sf_dir), shared_dir(spark, "profile-states")
+    cols = _STATE_NUMBERS + _STATE_TEXTS
+    profile_state.profile_state(df, cols, by=["market"]).write.parquet(f"{path}/states")
+    probs = [0.25, 0.5, 0.75]
+    report = profile_state.profile_report(profile_state.merged_profile(spark.read.parquet(f"{path}/states")), probs, top=1)
+    exact = {r["column_name"]: r["n"] for r in profile.distinct_values(df, cols).where("value IS NOT NULL AND value <> 'NaN'")
+             .groupBy("column_name").agg(F.count("*").alias("n")).collect()}  # one row a column
+    slack, ok = 2 * sketch.rank_error(), {}
+    for r in report.where("mean IS NOT NULL").select("column_name", "q", "present").collect():
+        v = sketch.value_column(r["column_name"])
+        n = df.agg(*[F.count(F.when(v < q, 1)).alias(f"a{i}") for i, q in enumerate(r["q"])],
+                   *[F.count(F.when(v <= q, 1)).alias(f"b{i}") for i, q in enumerate(r["q"])]).first()
+        ok[r["column_name"]] = all(n[f"a{i}"] <= (p + slack) * r["present"] + 1 and n[f"b{i}"] >= (p - slack) * r["present"] - 1
+                                   for i, p in enumerate(probs))
+    held = spark.createDataFrame([(c, exact[c], ok.get(c)) for c in cols], "column_name string, exact long, quantiles_ok boolean")
+    top = F.when(F.col("column_name") == "shipping_mode", F.get("top", F.lit(0))["item"])
+    return report.join(held, "column_name").select(
+        "column_name", "rows", "present", "missing", *[F.round(c, 6).alias(c) for c in ("low", "high", "mean", "std")],
+        top.alias("most_frequent"), (F.abs(F.col("n_distinct") - F.col("exact")) <= 0.03 * F.col("exact")).alias("distinct_ok"), "quantiles_ok")

@@ -6,9 +6,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import geo
 from ..session import shared_dir
+from ..sinks.versioned import VersionedTable
 from ..sources.events import write_event_files
 from ..sources.fixtures import _still_there, gazetteer
+from ..sources.lines import rotating_lines
 from ..streaming import job
 from .oracle import with_fixtures
 from .registry import query
@@ -159,3 +162,74 @@ def stream_foreach_batch_dual(spark, sf_dir):
     b = d.select(F.col("Order City").alias("city"), F.col("Order Region").alias("region"), F.col("Order Item Total").alias("amount"),
                  "prediction", F.col("timestamp").isNotNull().alias("has_timestamp"), F.lit("documents").alias("target"))
     return a.unionByName(b)
+
+
+@query("stream_rotating_lines", with_fixtures("SELECT value FROM event_lines", "event_lines"))
+def stream_rotating_lines(spark, sf_dir):
+    """The lines of growing files by byte offsets; a second run from the same
+    checkpoint adds nothing."""
+    out, ckpt = shared_dir(spark, "rotating-out"), shared_dir(spark, "rotating-ckpt")
+    for _ in range(2):
+        job.run_available_now(rotating_lines(spark, events_dir(spark, sf_dir), pattern="part-*", splitBytes=4 << 20), ckpt, out)
+    return spark.read.parquet(out)
+
+
+_EVEN = "coalesce(order_item_quantity % 2 = 0, false)"
+
+
+@query("stream_refreshed_gazetteer", with_fixtures(f"""
+SELECT e.order_date, e.order_city, e.order_state, e.order_item_total, g.dest_lat, g.dest_lon, 0 AS round
+FROM events_parsed e LEFT JOIN gazetteer_done g ON e.order_city = g.order_city AND e.order_state = g.order_state WHERE {_EVEN}
+UNION ALL
+SELECT e.order_date, e.order_city, e.order_state, e.order_item_total, g.dest_lat, g.dest_lon, 1 AS round
+FROM events_parsed e LEFT JOIN gazetteer g ON e.order_city = g.order_city AND e.order_state = g.order_state WHERE NOT {_EVEN}""",
+    "events_parsed", "gazetteer", "gazetteer_done"))
+def stream_refreshed_gazetteer(spark, sf_dir):
+    """One running query. Orders of even quantity come first, in one
+    micro-batch, and are joined with the gazetteer as far as it is done; after
+    that batch the rest of the gazetteer is appended, and the second batch
+    sees it."""
+    store = VersionedTable(spark, shared_dir(spark, "refresh-gazetteer"))
+    store.append(gazetteer(spark, sf_dir, done_only=True).select(*geo.GAZ_COLS), "done")
+    lines = spark.read.text(events_dir(spark, sf_dir))
+    quantity = F.from_json("value", "`Order Item Quantity` int")["Order Item Quantity"]
+    even = F.coalesce(quantity % 2 == 0, F.lit(False))
+    source, out = shared_dir(spark, "refresh-events"), shared_dir(spark, "refresh-out")
+    lines.where(even).coalesce(1).write.mode("overwrite").text(source)
+    lines.where(~even).coalesce(1).write.mode("append").text(source)
+
+    def then(joined, batch_id):
+        (joined.select("order_date", "order_city", "order_state", "order_item_total", "dest_lat", "dest_lon")
+         .withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(out))
+        store.append(gazetteer(spark, sf_dir).select(*geo.GAZ_COLS), "rest")
+
+    stream = job.parse_orders(job.line_source(spark, source, max_files_per_trigger=1), with_ingest_ts=False)
+    job.run_available_now(stream, shared_dir(spark, "refresh-ckpt"), foreach_batch=job.refreshing_join(store, then))
+    return spark.read.parquet(out).withColumnRenamed("batch", "round")
+
+
+_REPLAYED = " UNION ALL ".join(f"SELECT *, '{t}' AS target FROM ({_DUAL})" for t in ("file format", "connector"))
+
+
+@query("stream_replay_connector", with_fixtures(_REPLAYED, "events_parsed", "gazetteer"))
+def stream_replay_connector(spark, sf_dir):
+    """Every micro-batch is written twice, as a replay would, to a file format
+    and through a connector that can only append: each row is stored once."""
+    stream = job.scoring_stream(_lines(spark, sf_dir), gazetteer(spark, sf_dir), job.Scoring("fixed"))
+    files, connected, ledger = shared_dir(spark, "replay-files"), shared_dir(spark, "replay-connector"), shared_dir(spark, "replay-ledger")
+    # a source named by its class is any connector to the sink: it appends
+    connector = "org.apache.spark.sql.execution.datasources.parquet.ParquetFileFormat"
+    sinks = [job.dual_sink(documents_path=files, documents_format="parquet"),
+             job.dual_sink(documents_path=connected, documents_format=connector, ledger_path=ledger)]
+
+    def twice(batch, batch_id):
+        for _ in range(2):
+            for s in sinks:
+                s(batch, batch_id)
+
+    job.run_available_now(stream, shared_dir(spark, "replay-ckpt"), foreach_batch=twice)
+    parts = [spark.read.parquet(path).select(
+        F.col("Order City").alias("city"), F.col("Order Region").alias("region"), F.col("Order Item Total").alias("amount"), "prediction",
+        F.col("timestamp").isNotNull().alias("has_timestamp"), F.lit(target).alias("target"))
+        for path, target in ((files, "file format"), (connected, "connector"))]
+    return parts[0].unionByName(parts[1])

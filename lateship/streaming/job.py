@@ -17,10 +17,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.expr import fixed_logit, zero_score
 from ..functions.geo import haversine_km
-from ..operators.geo import geo_join_using
+from ..operators.geo import GAZ_COLS, geo_join_using
 from ..schema import EVENT_SCHEMA, REFERENCE_TO_SNAKE
-from ..sinks.files import write_json_documents
 from ..sinks.jdbc import RELATIONAL_COLUMNS, to_relational, write_jdbc
+from ..sources.lines import RotatingLines
+from ..sinks.ledger import BatchLedger
+from ..sinks.versioned import VersionedTable
 
 FINAL_COLUMNS = ["ingest_ts", "order_city", "order_region", "order_item_total", "prediction"]
 # Field names of one stored prediction document.
@@ -33,14 +35,20 @@ def line_source(spark: SparkSession, path: str | None = None, fmt: str = "text",
                 options: dict | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """Unbounded rows of one string column ``value``.
 
-    A text directory by default; ``socket`` or ``kafka`` (with its options)
-    by configuration. Kafka's ``value`` is binary and is cast to string.
+    A text directory by default; ``rotating_lines`` for files that are still
+    appended to (:mod:`..sources.lines`); ``socket`` or ``kafka`` (with its
+    options) by configuration. Kafka's ``value`` is binary and is cast to
+    string.
     """
+    if fmt == RotatingLines.name():
+        spark.dataSource.register(RotatingLines)
     r = spark.readStream.format(fmt)
     for k, v in (options or {}).items():
         r = r.option(k, v)
     if max_files_per_trigger and fmt == "text":
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if path and fmt == RotatingLines.name():
+        r, path = r.option("path", path), None
     df = r.load(path) if path else r.load()
     return df.select(F.col("value").cast("string").alias("value"))
 
@@ -127,14 +135,19 @@ def _writer_of(batch: DataFrame) -> str:
     return wid
 
 
+#: Formats that write folders of files and can replace one partition.
+FILE_FORMATS = ("json", "parquet", "orc", "csv")
+
+
 def dual_sink(relational_path: str | None = None, documents_path: str | None = None,
               jdbc: dict | None = None, writer_id: str | None = None,
-              documents_format: str = "json", documents_options: dict | None = None):
+              documents_format: str = "json", documents_options: dict | None = None,
+              ledger_path: str | None = None, documents_undo=None):
     """``foreachBatch`` function writing each micro-batch to two targets.
 
     * relational: a JDBC table when ``jdbc`` (url, table, properties) is
       configured, else a Parquet table;
-    * documents: JSON objects, or any connector given by
+    * documents: JSON objects, another file format, or any connector given by
       ``documents_format`` and ``documents_options`` (appended to).
 
     File targets are partitioned by date, writer and batch id and overwrite
@@ -142,10 +155,23 @@ def dual_sink(relational_path: str | None = None, documents_path: str | None = N
     replayed batch replaces its earlier output, and what other queries (batch
     ids start at 0 with every new checkpoint) have written stays. The writer
     is the streaming query's id, or ``writer_id``; the date comes from the
-    batch's time stamp, which a replay repeats. Empty batches are skipped.
-    Errors propagate and stop the query, so the batch is retried from the
-    checkpoint rather than silently lost.
+    batch's time stamp, which a replay repeats.
+
+    Other connectors can only append, so they need ``ledger_path``, a shared
+    folder that outlives the query: a batch that the ledger has as done is
+    skipped on replay. For one that was begun and not finished,
+    ``documents_undo(spark, writer_id, batch_id)`` is called first, to take
+    back what it may have stored; without it such a batch raises.
+
+    Empty batches are skipped. Errors propagate and stop the query, so the
+    batch is retried from the checkpoint rather than silently lost.
     """
+    appends = documents_format not in FILE_FORMATS
+    if appends and not ledger_path:
+        raise ValueError(f"connector {documents_format!r} needs a ledger_path to be safe against replays")
+    if documents_format in FILE_FORMATS and documents_format != "json" and not documents_path:
+        raise ValueError(f"format {documents_format!r} needs a documents_path")
+
     def keyed(df: DataFrame, stamp: str, wid: str, batch_id: int) -> DataFrame:
         return df.withColumns({"batch_date": F.to_date(F.col(stamp)), "writer_id": F.lit(wid),
                                "batch_id": F.lit(batch_id).cast("long")})
@@ -153,6 +179,20 @@ def dual_sink(relational_path: str | None = None, documents_path: str | None = N
     def replace_own(df: DataFrame):
         return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*BATCH_KEYS)
 
+    def append_once(batch: DataFrame, wid: str, batch_id: int) -> None:
+        ledger = BatchLedger(batch.sparkSession, ledger_path)
+        state = ledger.state(wid, batch_id, "documents")
+        if state == "done":
+            return
+        if state == "begun":
+            if documents_undo is None:
+                raise RuntimeError(f"batch {batch_id} of {wid} was begun and not finished: its stored documents are unknown")
+            documents_undo(batch.sparkSession, wid, batch_id)
+        ledger.mark(wid, batch_id, "documents", "begun")
+        w = to_documents(batch).write.format(documents_format).mode("append").options(**(documents_options or {}))
+        w.save(documents_path) if documents_path else w.save()
+        ledger.mark(wid, batch_id, "documents", "done")
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
@@ -164,16 +204,40 @@ def dual_sink(relational_path: str | None = None, documents_path: str | None = N
                            jdbc.get("properties"), replaces=(wid, batch_id), delete_first=jdbc.get("delete_first"))
             elif relational_path:
                 replace_own(keyed(to_relational(batch), "timestamp", wid, batch_id)).parquet(relational_path)
-            if documents_format != "json":
-                w = to_documents(batch).write.format(documents_format).mode("append").options(**(documents_options or {}))
-                w.save(documents_path) if documents_path else w.save()
+            if appends:
+                append_once(batch, wid, batch_id)
             elif documents_path:
-                replace_own(keyed(to_documents(batch), "timestamp", wid, batch_id)).json(documents_path)
+                (replace_own(keyed(to_documents(batch), "timestamp", wid, batch_id)).options(**(documents_options or {}))
+                 .format(documents_format).save(documents_path))
         finally:
             batch.unpersist()
     return write
 
 
+def refreshing_join(table: VersionedTable, then):
+    """``foreachBatch`` function for a stream of parsed orders: joins each
+    micro-batch with the gazetteer's current version and hands it to
+    ``then(joined, batch_id)``.
+
+    The version is looked up once a batch, so rows that were appended to the
+    table while the stream runs reach the next batch, and one batch sees one
+    version. Before the first version, the coordinates are null.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        now = table.current()
+        if now is None:
+            joined = batch.withColumns({c: F.lit(None).cast("double") for c in ("dest_lat", "dest_lon")})
+        else:
+            joined = join_gazetteer(batch, table.read(now).select(*GAZ_COLS))
+        then(joined, batch_id)
+    return write
+
+
+def refreshing_scores(table: VersionedTable, scoring: Scoring, sink):
+    """:func:`refreshing_join`, then score and hand to ``sink(batch, batch_id)``."""
+    return refreshing_join(table, lambda joined, batch_id: sink(final_columns(score_orders(joined, scoring)), batch_id))
+
+
 def run_available_now(df: DataFrame, checkpoint: str, sink_path: str | None = None,
                       fmt: str = "parquet", foreach_batch=None, timeout_s: float | None = None):
     """Process everything available, then stop (``availableNow`` trigger).
@@ -200,4 +264,4 @@ def run_available_now(df: DataFrame, checkpoint: str, sink_path: str | None = No
 
 __all__ = ["line_source", "parse_orders", "join_gazetteer", "fill_missing_coords", "Scoring",
            "score_orders", "final_columns", "scoring_stream", "to_documents", "dual_sink",
-           "run_available_now", "RELATIONAL_COLUMNS"]
+           "refreshing_join", "refreshing_scores", "run_available_now", "RELATIONAL_COLUMNS"]

@@ -21,7 +21,10 @@ EXPECTED = {
     "filter_geocoded", "clean_drop_nulls", "clean_null_audit", "drop_null_label",
     "fill_missing_coords", "geo_join_nullsafe", "geo_join_using", "geo_pending_keys",
     "geo_pending_keys_retry", "geo_dedup_gazetteer", "json_parse_flatten", "enrich_repeated_keys",
-    "sink_gazetteer_append_retry", "sample_hash_small",
+    "sink_gazetteer_append_retry", "sample_hash_small", "fold_moments", "fold_labels",
+    "trained_feature_stages", "logistic_gradient", "string_index_table", "auc_histogram",
+    "profile_state_merged", "sink_gazetteer_versions", "stream_rotating_lines",
+    "stream_refreshed_gazetteer", "stream_replay_connector",
 }
 
 

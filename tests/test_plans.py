@@ -11,9 +11,8 @@ load_all()
 # (a checkpointed table is read back as "Scan ExistingRDD": allowed)
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
                 "MapInPandas", "PythonUDF", "PythonRDD")
-# streaming and model queries run their work inside the call; the rest are lazy
-KEYS = sorted(k for k in ORACLES if not k.startswith(("stream_", "sink_", "scan_", "train_", "cross_", "score_batch",
-                                                             "model_", "prediction_view", "evaluate_model")))
+# streaming and training queries run their work inside the call; the rest are lazy
+KEYS = sorted(k for k in ORACLES if not k.startswith(("stream_", "sink_", "scan_", "train_", "cross_")))
 
 
 @pytest.mark.parametrize("key", KEYS)

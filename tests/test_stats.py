@@ -1,5 +1,9 @@
+import os
+import tempfile
+
 import numpy as np
 import pandas as pd
+import pytest
 from hypothesis import given, settings, strategies as st
 
 from pyspark.sql import functions as F
@@ -90,32 +94,59 @@ def test_auc_single_class_is_null(spark):
     assert r["auc"] is None and r["n_pos"] == 2 and r["n_neg"] == 0
 
 
-def test_quantile_brackets_are_widened_until_exact(spark, monkeypatch):
+@pytest.mark.parametrize("collect_rows", [10 ** 6, 0])
+def test_quantile_brackets_are_widened_until_exact(spark, monkeypatch, collect_rows):
     """A sketch of next to no accuracy and no margin: ranks miss their brackets."""
     rng = np.random.default_rng(7)
     xs, ys = rng.normal(size=3000), np.round(rng.random(3000), 1)
     df = spark.createDataFrame(pd.DataFrame({"x": xs, "y": ys, "z": [float("nan")] * 3000})).repartition(5)
     passes = []
-    lookup = stats._lookup
-    monkeypatch.setattr(stats, "_lookup", lambda *a: passes.append(1) or lookup(*a))
+    counts = stats._bracket_counts
+    monkeypatch.setattr(stats, "_bracket_counts", lambda *a: passes.append(1) or counts(*a))
     probs = [0.0, 0.013, 0.5, 0.99, 1.0]
-    q = {(r.column_name, r.p): r.value for r in stats.exact_quantiles(df, ["x", "y", "z"], probs, accuracy=3, margin=0.0).collect()}
+    q = {(r.column_name, r.p): r.value
+         for r in stats.exact_quantiles(df, ["x", "y", "z"], probs, k=8, margin=0.001, collect_rows=collect_rows).collect()}
     assert len(passes) > 1 and {c for c, _ in q} == {"x", "y"}
     for c, v in (("x", xs), ("y", ys)):
         assert all(abs(q[c, p] - np.quantile(v, p)) < 1e-9 for p in probs)
 
 
+def test_quantiles_of_infinities_ties_and_one_value(spark):
+    inf = float("inf")
+    cols = {"a": [-inf] * 30 + [0.0] * 40 + [inf] * 30, "b": [2.5] * 100, "c": [None] * 99 + [7.0], "d": [-0.0] * 50 + [0.0] * 50}
+    df = spark.createDataFrame(list(zip(*cols.values())), "a double, b double, c double, d double")
+    q = {(r.column_name, r.p): r.value for r in stats.exact_quantiles(df, list(cols), [0.0, 0.3, 0.31, 0.7, 1.0], "disc").collect()}
+    assert [q["a", p] for p in (0.0, 0.3, 0.31, 0.7, 1.0)] == [-inf, -inf, 0.0, 0.0, inf]
+    assert {q["b", p] for p in (0.0, 0.3, 1.0)} == {2.5} and {q["c", p] for p in (0.0, 1.0)} == {7.0} and q["d", 0.3] == 0.0
+
+
+def test_quantile_states_merge(spark):
+    from lateship.operators import sketch
+    rng = np.random.default_rng(11)
+    df = spark.createDataFrame(pd.DataFrame({"day": rng.integers(0, 5, 8000), "x": rng.normal(size=8000), "y": rng.random(8000)}))
+    path = os.path.join(tempfile.mkdtemp(), "states")
+    sketch.quantile_state(df, ["x", "y"], by=["day"], k=512).write.parquet(path)   # states are stored, the data is not read again
+    whole = sketch.merged_states(spark.read.parquet(path), k=512)
+    got = {r.column_name: r for r in sketch.with_quantiles(whole, [0.01, 0.5, 0.99]).collect()}
+    pdf = df.toPandas()
+    for c in ("x", "y"):
+        v = np.sort(pdf[c])
+        assert got[c].n == 8000
+        ranks = np.searchsorted(v, got[c].q, side="right") / len(v)
+        assert np.abs(ranks - [0.01, 0.5, 0.99]).max() < 2 * sketch.rank_error(512)
+
+
 def test_quantiles_leave_no_tables_behind(spark):
     import os
     from lateship.session import ensure_checkpoint_dir, local_path
     base = os.path.join(local_path(ensure_checkpoint_dir(spark)), "..")
     seen = lambda: {d for _, ds, _ in os.walk(base) for d in ds if d.startswith("quantile-")}
     before = seen()
-    stats.exact_quantiles(spark.range(1000).selectExpr("CAST(id AS DOUBLE) AS x"), ["x"], [0.5]).collect()
+    stats.exact_quantiles(spark.range(1000).selectExpr("CAST(id AS DOUBLE) AS x"), ["x"], [0.5], collect_rows=0).collect()
     assert seen() == before
 
 
 def test_approximate_box_plot_does_no_exact_work(spark, monkeypatch):
-    monkeypatch.setattr(stats, "_cells", lambda *a: 1 / 0)
+    monkeypatch.setattr(stats, "_bracket_counts", lambda *a: 1 / 0)
     df = spark.range(2000).selectExpr("CAST(id AS DOUBLE) AS x")
     assert stats.boxplot_stats(df, ["x"], exact=False).first()["n"] == 2000

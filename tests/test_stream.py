@@ -82,7 +82,60 @@ def test_documents_by_connector(spark):
     path = shared_dir(spark, "t-docs5")
     w = job.dual_sink(documents_path=path, documents_format="parquet", writer_id="a", documents_options={"compression": "gzip"})
     w(df, 1)
-    assert spark.read.parquet(path).columns == list(job.DOCUMENT_NAMES.values())
+    w(df, 1)  # replay: a file format replaces its own batch
+    stored = spark.read.parquet(path)
+    assert stored.count() == 1
+    assert stored.drop(*job.BATCH_KEYS).columns == list(job.DOCUMENT_NAMES.values())
+
+
+CONNECTOR = "org.apache.spark.sql.execution.datasources.parquet.ParquetFileFormat"  # any source that appends
+
+
+def test_connector_batches_are_stored_once(spark):
+    df = spark.createDataFrame([(None, "C", "R", 1.0, 0.0)], SCORED)
+    path, ledger = shared_dir(spark, "t-docs6"), shared_dir(spark, "t-ledger")
+    with pytest.raises(ValueError, match="ledger"):
+        job.dual_sink(documents_path=path, documents_format=CONNECTOR)
+    undone = []
+    sink = lambda **kw: job.dual_sink(documents_path=path, documents_format=CONNECTOR, writer_id="a", ledger_path=ledger, **kw)
+    for batch in (1, 1, 2):
+        sink()(df, batch)
+    assert spark.read.parquet(path).count() == 2
+    # a write that dies half way leaves "begun": the batch raises, or is taken back first
+    w = sink()
+    good = job.to_documents
+    job.to_documents = lambda b: good(b).withColumn("prediction", F.raise_error(F.lit("died")).cast("double"))
+    try:
+        with pytest.raises(Exception, match="died"):
+            w(df, 3)
+    finally:
+        job.to_documents = good
+    with pytest.raises(RuntimeError, match="not finished"):
+        w(df, 3)
+    sink(documents_undo=lambda s, writer, batch: undone.append((writer, batch)))(df, 3)
+    sink()(df, 3)
+    assert undone == [("a", 3)] and spark.read.parquet(path).count() == 3
+    from lateship.sinks.ledger import BatchLedger
+    book = BatchLedger(spark, ledger)
+    book.forget_before("a", 3)
+    assert [book.state("a", b, "documents") for b in (1, 2, 3)] == [None, None, "done"]
+
+
+def test_new_gazetteer_rows_reach_a_running_stream(spark, sf_dir):
+    from lateship.operators.geo import GAZ_COLS
+    from lateship.sinks.versioned import VersionedTable
+    store = VersionedTable(spark, shared_dir(spark, "t-refresh"))
+    seen = {}
+    orders = spark.createDataFrame([("a", "s", 1), ("b", "s", 1)], "order_city string, order_state string, order_item_quantity int")
+    w = job.refreshing_join(store, lambda joined, k: seen.__setitem__(k, {r.order_city: r.dest_lat for r in joined.collect()}))
+    schema = "order_city string, order_state string, dest_lat double, dest_lon double"
+    w(orders, 0)                                                  # before the first version
+    store.append(spark.createDataFrame([("a", "s", 1.0, 2.0)], schema), "r1")
+    w(orders, 1)
+    store.append(spark.createDataFrame([("b", "s", 3.0, 4.0)], schema), "r2")
+    w(orders, 2)
+    assert seen == {0: {"a": None, "b": None}, 1: {"a": 1.0, "b": None}, 2: {"a": 1.0, "b": 3.0}}
+    assert store.read().columns == GAZ_COLS
 
 
 def test_empty_batch_is_skipped(spark):
