@@ -120,39 +120,37 @@ def _brackets(df: DataFrame, cols: list[str], probs: list[float], width: float,
     return out
 
 
-def _bracket_counts(df: DataFrame, brackets: dict[str, list]) -> dict[str, list[tuple[int, int, int, int]]]:
-    """Per bracket the number of values below it, at its low end, strictly
-    inside, and at its high end: conditional counts in one flat aggregate."""
+def _bracket_counts(df: DataFrame, brackets: dict[str, list]) -> dict[str, list[tuple[int, int, int]]]:
+    """Per bracket the number of values below it, at its low end, and in the
+    rest of it: conditional counts in one flat aggregate. A bracket of one
+    value has no rest."""
     aggs = []
-    for i, (c, bs) in enumerate(brackets.items()):
-        v = _value(c)
+    for i, bs in enumerate(brackets.values()):
+        v = F.col(f"v{i}")
         for j, (lo, hi) in enumerate(bs):
-            at_hi = v == hi if lo < hi else F.lit(False)
-            for name, cond in (("b", v < lo), ("l", v == lo), ("i", (v > lo) & (v < hi)), ("h", at_hi)):
-                aggs.append(F.count(F.when(cond, True)).alias(f"{name}{i}_{j}"))
-    row = df.agg(*aggs).first()
-    return {c: [tuple(row[f"{x}{i}_{j}"] for x in "blih") for j in range(len(bs))] for i, (c, bs) in enumerate(brackets.items())}
+            conds = [("b", v < lo), ("l", v == lo)] + ([("r", (v > lo) & (v <= hi))] if lo < hi else [])
+            aggs += [F.count(F.when(cond, True)).alias(f"{name}{i}_{j}") for name, cond in conds]
+    row = df.select(*[_value(c).alias(f"v{i}") for i, c in enumerate(brackets)]).agg(*aggs).first().asDict()
+    return {c: [tuple(row.get(f"{x}{i}_{j}", 0) for x in "blr") for j in range(len(bs))] for i, (c, bs) in enumerate(brackets.items())}
 
 
 def _place(k: int, brackets: list, counts: list) -> tuple | None:
-    """Where rank ``k`` lies: ``(bracket, value, None)`` if at an end,
-    ``(bracket, None, rank inside)``, or None if in no bracket."""
-    for j, ((lo, hi), (below, at_lo, inside, at_hi)) in enumerate(zip(brackets, counts)):
+    """Where rank ``k`` lies: ``(bracket, value, None)`` if at a low end,
+    ``(bracket, None, rank in the rest)``, or None if in no bracket."""
+    for j, ((lo, _), (below, at_lo, rest)) in enumerate(zip(brackets, counts)):
         r = k - below
         if 0 < r <= at_lo:
             return j, lo, None
-        if 0 < r <= at_lo + inside:
+        if 0 < r <= at_lo + rest:
             return j, None, r - at_lo
-        if 0 < r <= at_lo + inside + at_hi:
-            return j, hi, None
     return None
 
 
 def _gathered(df: DataFrame, wanted: list[tuple[str, float, float]]) -> DataFrame:
-    """(cell, value, w): the distinct values strictly inside each bracket
+    """(cell, value, w): the distinct values above the low end of each bracket
     ``(column, low, high)`` and how often they occur. Rows outside all of
     them are filtered away before anything is built from them."""
-    inside = [(F.col(c).cast("double") > lo) & (F.col(c).cast("double") < hi) for c, lo, hi in wanted]
+    inside = [(_value(c) > lo) & (_value(c) <= hi) for c, lo, hi in wanted]
     some = reduce(lambda a, b: a | b, inside)
     parts = [F.when(x, F.struct(F.lit(i).alias("cell"), F.col(c).cast("double").alias("value")))
              for i, (x, (c, _, _)) in enumerate(zip(inside, wanted))]
@@ -197,9 +195,9 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], method:
 
     Three passes, all flat: a KLL sketch gives a bracket around each wanted
     rank (``margin`` to either side, twice the sketch's error by default);
-    conditional counts tell how many values lie below, at the ends of and
-    inside each bracket; and only where a rank falls inside one, the values
-    inside (about ``2 * margin`` of the rows) are gathered and ordered. If a
+    conditional counts tell how many values lie below, at the low end of and
+    in the rest of each bracket; and only where a rank falls in the rest, its
+    values (about ``2 * margin`` of the rows) are gathered and ordered. If a
     rank lies in no bracket, the bracket is widened and the passes are
     repeated for that column: the result is exact at any accuracy. The result
     is a local table of columns x probabilities.
