@@ -8,11 +8,18 @@ archives, so they are committed atomically wherever Spark can write.
 
 Reading: records are parsed by their content length; continuation records are
 grouped by origin identifier, ordered by segment number, checked against the
-total length, joined, and the chunked framing is decoded. Only segmented
-records are shuffled, and a group is the segments of one record.
-
-Archives are bounded in size (``archive_bytes`` before compression plus one
-record), so a task holds a few of them at a time, never a table.
+total length, joined, and the chunked framing is decoded. Records that stand
+whole in one archive are put together there; segments of the others, which an
+archive's end has cut off, are shuffled by origin. A group is the segments of
+one record: record ids of repeated rows carry a copy number.
+
+Only rows whose payload occurs more than once need a decision between response
+and revisit, so only their digests are joined, and payloads stay where they
+are. Archives are bounded in size (``archive_bytes`` before compression plus
+one record), so a task holds a few of them at a time, never a table; for a
+large crawl it is set to about 1 GB, which keeps the number of files small.
+
+Payloads of any length are cut, joined and digested whole.
 """
 
 from __future__ import annotations
@@ -29,12 +36,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
+from .components import dropped, saved
+
 VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
-SEGMENT_BYTES = 32 << 10
+SEGMENT_BYTES = 2 << 10
 ARCHIVE_BYTES = 8 << 20
 CHUNK_BYTES = 8 << 10
+#: Digests of repeated payloads that are broadcast (about 60 bytes each).
+BROADCAST_DIGESTS = 400_000
 
 PARSED = StructType([
     StructField("record_type", StringType()), StructField("row_id", StringType()), StructField("refers_to", StringType()),
@@ -84,14 +95,15 @@ def _clean(value: str) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: quote(m[0]), value)
 
 
-def record_id(row_id, digest: str) -> str:
-    return f"<urn:row:{'' if row_id is None else quote(str(row_id), safe='')}:{digest}>"
+def record_id(row_id, digest: str, copy: int | None = None) -> str:
+    """The id of a row's record; ``copy`` tells rows with equal id and payload apart."""
+    return f"<urn:row:{'' if row_id is None else quote(str(row_id), safe='')}:{digest}{'' if copy is None else f':c{copy}'}>"
 
 
 def build_records(row_id, url, payload: bytes | None, digest: str, length: int, response_id, date: str,
-                  segment_bytes: int = SEGMENT_BYTES) -> list[bytes]:
+                  segment_bytes: int = SEGMENT_BYTES, copy: int | None = None) -> list[bytes]:
     """The records of one row; ``payload`` is None for a revisit."""
-    own = record_id(row_id, digest)
+    own = record_id(row_id, digest, copy)
     common = [("WARC-Date", date), *([("WARC-Target-URI", _clean(url))] if url is not None else []),
               ("WARC-Payload-Digest", f"sha1:{digest}")]
     if payload is None:
@@ -119,24 +131,33 @@ def write_archives(df: DataFrame, path: str, id_col: str, url_col: str, payload_
     Payloads of at least ``revisit_bytes`` bytes that equal that of a row with
     a smaller id become revisits. A string payload is stored in UTF-8; null is
     an empty payload. Rows that share the smallest id are all responses; null
-    ids count as the largest.
+    ids count as the largest, and a payload that only rows without an id have
+    makes each of them a response. An empty input writes no record.
     """
     rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").cast("string").alias("url"),
                      F.coalesce(F.col(f"`{payload_col}`").cast("binary"), F.lit(b"")).alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
-    first = rows.groupBy("digest").agg(F.min("id").alias("first_id"))
-    joined = rows.join(first, "digest")
-    revisit = (F.octet_length("payload") >= revisit_bytes) & ~F.col("id").eqNullSafe(F.col("first_id"))
+    # Of each payload: its smallest id, and whether rows share it. Few payloads repeat.
+    counted = rows.groupBy("digest", "id").agg(F.count("*").alias("n"))
+    order = F.struct(F.col("id").isNull(), F.col("id"))
+    first = (counted.groupBy("digest").agg(F.min("id").alias("first_id"), F.sum("n").alias("rows"), F.min_by("n", order).alias("same"))
+             .where("rows > 1").select("digest", "first_id", (F.col("same") > 1).alias("repeated")))
+    first = saved(df.sparkSession, first, "repeated")
+    small = first.count() <= BROADCAST_DIGESTS
+    joined = rows.join(F.broadcast(first) if small else first, "digest", "left")
+    known = F.col("repeated").isNotNull()
+    revisit = known & (F.octet_length("payload") >= revisit_bytes) & ~F.col("id").eqNullSafe(F.col("first_id"))
+    copy = F.when(known & (F.col("repeated") | ~F.col("id").eqNullSafe(F.col("first_id"))), F.monotonically_increasing_id())
     ready = joined.select(F.col("id").cast("string").alias("id"), "url", "digest", F.octet_length("payload").cast("long").alias("n"),
-                          F.when(~revisit, F.col("payload")).alias("payload"), F.col("first_id").cast("string").alias("first_id"))
+                          F.when(~revisit, F.col("payload")).alias("payload"), F.col("first_id").cast("string").alias("first_id"), copy.alias("copy"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for b in batches:
-            for row_id, url, digest, n, payload, first_id in zip(*[c for c in b.columns]):
+            for row_id, url, digest, n, payload, first_id, copy in zip(*[c for c in b.columns]):
                 base32 = base64.b32encode(bytes.fromhex(digest.as_py())).decode()
                 for r in build_records(row_id.as_py(), url.as_py(), payload.as_py(), base32, n.as_py(), first_id.as_py(),
-                                       date, segment_bytes):
+                                       date, segment_bytes, copy.as_py()):
                     held.append(r)
                     size += len(r)
                     if size >= archive_bytes:
@@ -149,6 +170,7 @@ def write_archives(df: DataFrame, path: str, id_col: str, url_col: str, payload_
     # One archive a file; the line separator is what ends a WARC record.
     (blobs.select(F.col("a").cast("string").alias("value")).write.option("lineSep", "\r\n\r\n")
      .option("maxRecordsPerFile", 1).option("compression", "gzip").text(path))
+    dropped(df.sparkSession, first)
 
 
 def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -206,14 +228,16 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     could not be had (missing or conflicting segments, a total length that
     differs, broken framing, a digest that differs). Damaged records are
     returned with their error, never dropped; copies of a segmented record
-    give a row each. A file that is no WARC archive raises an error.
+    give a row each, and of a record that stands whole in one archive a
+    segment elsewhere is a damaged record of its own. A file that is no WARC
+    archive raises an error.
     """
     files = spark.read.format("binaryFile").load(path).select("content")
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for content in b.column(0):
-                rows = []
+                rows, cut = [], {}
                 for f, block in parse_archive(content.as_py()):
                     kind = f.get("warc-type")
                     digest = (f.get("warc-payload-digest") or "").removeprefix("sha1:") or None
@@ -224,9 +248,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                     elif kind == "continuation" or kind == "response" and number:
                         origin = f.get("warc-segment-origin-id") or f.get("warc-record-id")
                         total = f.get("warc-segment-total-length")
-                        rows.append((kind, _id_of(origin), None, digest, None, block, origin, number, int(total) if total else None))
+                        cut.setdefault(origin, []).append((kind, _id_of(origin), None, digest, None, block, origin, number, int(total) if total else None))
                     elif kind == "response":
                         rows.append((kind, _id_of(f.get("warc-record-id")), None, digest, None, block, None, None, None))
+                for segments in cut.values():
+                    rows += _joined(segments)
                 if rows:
                     cols = list(zip(*rows))
                     types = [pa.string()] * 4 + [pa.int64(), pa.binary(), pa.string(), pa.int32(), pa.int64()]
@@ -260,6 +286,17 @@ def _finished(single: DataFrame, grouped: DataFrame, finish) -> DataFrame:
     return a.unionByName(b).mapInArrow(finish, RECORD)
 
 
+def _joined(segments: list[tuple]) -> list[tuple]:
+    """The rows of one archive's segments of a record: the whole record if it
+    is all there, once and undamaged, else the segments."""
+    try:
+        block, copies = reassemble([{"segment": r[7], "block": r[5], "total": r[8]} for r in segments])
+    except ValueError:
+        return segments
+    digest = next((r[3] for r in segments if r[3]), None)
+    return [("response", segments[0][1], None, digest, None, block, None, None, None)] if copies == 1 else segments
+
+
 def reassemble(parts: list[dict]) -> tuple[bytes, int]:
     """The block of a segmented record and how many copies of it there are."""
     by_number: dict[int, list] = {}

@@ -48,6 +48,33 @@ def test_round_trip(spark, segment, archive, revisit):
             assert bytes(r.payload) == html[int(r.row_id)]
 
 
+def test_many_copies_without_an_id_are_records_of_their_own(spark):
+    """Above the segment size: each copy is a group of its own segments."""
+    text = "word " * 2000
+    rows = [(None, "n", text)] * 3000 + [(4, "u", text + "x")] * 3 + [(9, "u", text + "x")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    path = f"{shared_dir(spark, 'warc-test')}/a"
+    warc.write_archives(df, path, "page_id", "url", "html", archive_bytes=100_000)   # archives cut records
+    origins = []
+    for r in spark.read.format("binaryFile").load(path).select("content").collect():
+        origins += [f["warc-segment-origin-id"] for f, _ in warc.parse_archive(bytes(r.content)) if f["warc-type"] == "continuation"]
+    most = max(origins.count(o) for o in set(origins[:50]))
+    assert len(set(origins)) == 3003 and most <= len(text) // warc.SEGMENT_BYTES + 1
+    got = warc.read_archives(spark, path).collect()
+    assert sorted([(int(r.row_id) if r.row_id else None, r.payload_bytes, r.payload_digest, r.record_type, int(r.refers_to) if r.refers_to else None)
+                   for r in got], key=str) == expected(rows)
+    assert all(r.error is None for r in got)
+
+
+def test_most_pages_are_segmented(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html")
+    path = f"{shared_dir(spark, 'warc-test')}/a"
+    warc.write_archives(pages, path, "page_id", "url", "html")
+    kinds = [f["warc-type"] for r in spark.read.format("binaryFile").load(path).select("content").collect()
+             for f, _ in warc.parse_archive(bytes(r.content)) if f.get("warc-segment-number", "1") == "1" and "warc-segment-number" in f]
+    assert 2 * len(kinds) > pages.count()
+
+
 def test_empty_table(spark):
     path = f"{shared_dir(spark, 'warc-test')}/a"
     warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), path, "page_id", "url", "html")
