@@ -60,15 +60,15 @@ def is_ref(value) -> bool:
     return isinstance(value, dict) and list(value) == ["$ref"] and isinstance(value["$ref"], str)
 
 
-def validate(value, schema: dict, at: str = "$") -> list[str]:
-    """What in ``value`` breaks ``schema`` (a subset of JSON Schema). A
-    reference to another call's result stands for a value of any kind."""
+def _broken(value, schema: dict, at: str) -> tuple[list[str], list[tuple]]:
+    """What is wrong with ``value`` itself, and what remains to be looked at:
+    ``(value, schema, place)`` of its parts, or a message, in order."""
     if is_ref(value):
-        return []
+        return [], []
     kind = schema.get("type")
     if kind and not any(_TYPES[k](value) for k in ([kind] if isinstance(kind, str) else kind)):
-        return [f"{at}: not of type {kind}"]
-    errors = []
+        return [f"{at}: not of type {kind}"], []
+    errors, parts = [], []
     if "enum" in schema and not any(value == e and type(value) is type(e) for e in schema["enum"]):
         errors.append(f"{at}: not one of the allowed values")
     if isinstance(value, str):
@@ -80,16 +80,32 @@ def validate(value, schema: dict, at: str = "$") -> list[str]:
     elif isinstance(value, list):
         if len(value) < schema.get("minItems", 0) or len(value) > schema.get("maxItems", len(value)):
             errors.append(f"{at}: number of items out of bounds")
-        for i, x in enumerate(value):
-            errors += validate(x, schema.get("items", {}), f"{at}[{i}]")
+        if schema.get("items"):
+            parts = [(x, schema["items"], f"{at}[{i}]") for i, x in enumerate(value)]
     elif isinstance(value, dict):
         known = schema.get("properties", {})
         errors += [f"{at}.{k}: missing" for k in schema.get("required", []) if k not in value]
         for k in sorted(value):
             if k in known:
-                errors += validate(value[k], known[k], f"{at}.{k}")
+                parts.append((value[k], known[k], f"{at}.{k}"))
             elif schema.get("additionalProperties", True) is False:
-                errors.append(f"{at}.{k}: unknown")
+                parts.append((f"{at}.{k}: unknown",))
+    return errors, parts
+
+
+def validate(value, schema: dict, at: str = "$") -> list[str]:
+    """What in ``value`` breaks ``schema`` (a subset of JSON Schema). A
+    reference to another call's result stands for a value of any kind. Values
+    nested to any depth are walked with a stack of their own."""
+    errors, todo = [], [(value, schema, at)]
+    while todo:
+        item = todo.pop()
+        if len(item) == 1:
+            errors.append(item[0])
+            continue
+        found, parts = _broken(*item)
+        errors += found
+        todo += reversed(parts)
     return errors
 
 
@@ -181,7 +197,9 @@ def link_tool_calls(spark: SparkSession, calls: DataFrame, results: DataFrame, s
     smallest content) holds; repeated calls each give a row with the same
     result; results without a call are not listed; null arguments are JSON
     null; a null conversation is a conversation of its own; empty tables give
-    an empty result; other columns are not read.
+    an empty result; other columns are not read. Arguments of any length are
+    parsed whole; those nested too deeply for the JSON parser are an error
+    entry (``invalid``), like any other text that cannot be parsed.
     """
     calls = calls.select(F.col("conv").cast("string").alias("conv"), F.col("position").cast("long").alias("position"),
                          F.col("call").cast("string").alias("call"), F.col("name").cast("string").alias("name"),

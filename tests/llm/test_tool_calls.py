@@ -96,6 +96,26 @@ def test_schema_rules(value, schema, bad):
     assert len(validate(value, schema)) == bad
 
 
+@pytest.mark.parametrize("depth", [500, 3000, 100_000])
+def test_deep_and_long_arguments_are_no_crash(spark, depth):
+    rule = {"type": "array"}
+    for _ in range(4):
+        rule = {"type": "array", "items": rule}
+    loop = {"type": "object", "properties": {"a": rule}}
+    loop["properties"]["a"]["items"] = loop["properties"]["a"]           # a schema of any depth
+    errors, refs, text = check_arguments("t", '{"a":' + "[" * depth + "]" * depth + "}", {"t": loop})
+    assert refs == [] and (errors == [] and text is not None or errors == ["$: not JSON: RecursionError"])
+    deep = []
+    for _ in range(depth):
+        deep = [deep]
+    assert validate(deep, loop["properties"]["a"]) == []
+    while deep:
+        deep = deep.pop()
+    calls = spark.createDataFrame([("c", 1, "x", "t", '{"b":' + "[" * depth + "]" * depth + "}"), ("c", 2, "y", "t", '{"a":1,"b":["%s"]}' % ("é" * 200_000))], CALLS)
+    got = {r.call: r for r in link_tool_calls(spark, calls, spark.createDataFrame([], RESULTS), S).collect()}
+    assert got["x"].status == "invalid" and got["y"].status == "no_result" and len(got["y"].message) > 200_000
+
+
 def test_strict_json():
     for bad in ("", "{", '{"a":1,"a":1}', "NaN", "[1,]"):
         with pytest.raises(ValueError):
