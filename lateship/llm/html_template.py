@@ -26,8 +26,8 @@
 A host with too few pages for a template is judged by the page alone.
 
 No page set of a host is ever gathered: signatures and sums are pre-aggregated
-in the tasks, and a host's template holds elements on at least ``MIN_PAGES``
-pages that stand once a page. Templates reach the pages by a broadcast if they
+in the tasks, and a host's template is bounded: containers on at least
+``MIN_PAGES`` and one in a hundred of its pages, and texts on at least half. Templates reach the pages by a broadcast if they
 are small, else by a join on the host.
 
 Parsing is linear in the page's length: every search for an end goes forward
@@ -52,6 +52,9 @@ from .url_filter import url_host
 #: A class is valid from so many tokens on so many of a host's pages.
 MIN_CLASS = 3
 MIN_PAGES = 3
+#: ... and this share of them, so a host may have a hundred layouts, and its
+#: template is no longer than a hundred pages' containers.
+LEAST = 0.01
 #: An element is entered if it holds this share of the text around it; less
 #: suffices for an article or main element.
 MOST = 0.6
@@ -137,6 +140,10 @@ class Element:
         self.place = 0
 
 
+def text_token(element: Element, text: str) -> int:
+    return xxh64_intdigest(f"{element.role}:{text}") | 1
+
+
 class Page:
     """One page as elements and text blocks.
 
@@ -270,7 +277,7 @@ class Page:
         for e in self.elements[1:]:
             around = self.elements[e.parent]
             of = around.kids.get(f"{e.tag}.{e.name}", 0) if e.place else 0
-            e.role = xxh64_intdigest(f"{around.role}/{e.tag}.{e.name}#{e.place}/{of}")
+            e.role = xxh64_intdigest(f"{around.role}/{e.tag}.{e.name}#{e.place}/{of}") & ~1
 
     def _mark(self) -> None:
         """Mark the blocks in named regions that are furniture."""
@@ -301,13 +308,12 @@ class Page:
         self.blocks = [(k, t, x, self.elements[k].out or away[k]) for k, t, x, _ in self.blocks]
 
     def tokens(self) -> Iterator[int]:
-        """The tokens in page order."""
+        """The tokens in page order: containers (even) and texts (odd)."""
         for k in self.order:
-            if k >= 0:
+            if k < 0:
+                yield text_token(self.elements[self.blocks[~k][0]], self.blocks[~k][1])
+            elif self.elements[k].place:
                 yield self.elements[k].role
-            else:
-                e, text, _, _ = self.blocks[~k]
-                yield xxh64_intdigest(f"{self.elements[e].role}:{text}")
 
 
 def _signed(x: int) -> int:
@@ -362,7 +368,7 @@ def page_shares(page: Page, once: dict[int, int], fixed: set[int]) -> list[tuple
     and is no link or furniture, in it and in the nearest such element around."""
     own = [0] * len(page.elements)
     for k, text, linked, out in page.blocks:
-        if not out and 2 * linked <= len(text) and (not fixed or xxh64_intdigest(f"{page.elements[k].role}:{text}") not in fixed):
+        if not out and 2 * linked <= len(text) and (not fixed or text_token(page.elements[k], text) not in fixed):
             own[k] += len(text)
     for k in range(len(own) - 1, 0, -1):
         own[page.elements[k].parent] += own[k]
@@ -380,10 +386,11 @@ def _checks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each candidate token: how often it stands out of its class's order,
     the pages it was seen on, its parent's class, and its text and the text around."""
     sums = _Sums(["pages", "disorder", "parents", "parent", "held", "around"])
+    known = _ByHost(lambda tokens: {t["token"] & ((1 << 64) - 1): t for t in tokens})
     for b in batches:
         for host, source, tokens in zip(*b.columns):
-            host, tokens = host.as_py(), tokens.as_py()
-            of = {t["token"] & ((1 << 64) - 1): t for t in tokens or []}
+            host = host.as_py()
+            of = known.get(host, tokens)
             if not of:
                 continue
             page = Page(source.as_py() or "")
@@ -394,8 +401,8 @@ def _checks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if c["rank"] < last.get(c["klass"], -1):
                         sums.add(host, t, 0, 1, 0, 0, 0, 0)
                     last[c["klass"]] = max(c["rank"], last.get(c["klass"], -1))
-            once = {t: 1 for t, c in of.items() if c["once"]}
-            fixed = {t for t, c in of.items() if c["fixed"]}
+            once = {t: 1 for t, c in of.items() if c["once"] and not t & 1}
+            fixed = {t for t, c in of.items() if t & 1}
             for k, p, held, around in page_shares(page, once, fixed):
                 if k:
                     e = page.elements[k]
@@ -407,6 +414,20 @@ def _checks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield sums.rows()
 
 
+class _ByHost:
+    """What a task has made of the lists of the hosts it met last."""
+
+    def __init__(self, make, hosts: int = 64):
+        self.make, self.hosts, self.kept = make, hosts, {}
+
+    def get(self, host: str, tokens):
+        if host not in self.kept:
+            if len(self.kept) >= self.hosts:
+                self.kept.clear()
+            self.kept[host] = self.make(tokens.as_py() or [])
+        return self.kept[host]
+
+
 def _one_each(pages: DataFrame) -> DataFrame:
     return pages.groupBy("host", "key").agg(F.first("html").alias("html"))
 
@@ -426,9 +447,9 @@ def deduce_templates(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """``(host, token, once, fixed, share)``: the tokens of each host's valid
     classes, as a saved table.
 
-    ``pages(host, html)``. Copies of a page count once. ``once``: the token
-    stands once on each page that has it; ``fixed``: it is on at least half of
-    the host's pages; ``share``: how much of the text of the element around
+    ``pages(host, html)``. Copies of a page count once. Containers that stand
+    once a page (``once``) on enough pages, and texts (and other containers)
+    on at least half of them (``fixed``); ``share``: how much of the text of the element around
     it an element holds, over all its pages (null for texts).
     """
     longs = lambda *names: [StructField(n, LongType()) for n in names]
@@ -443,13 +464,17 @@ def deduce_templates(spark: SparkSession, pages: DataFrame) -> DataFrame:
         F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.bit_xor("vector").alias("vector"), F.sum("places").alias("places"))
     found = saved(spark, found.where(f"pages >= {MIN_PAGES}"), "signatures")
     size = found.where("token = 0").select("host", F.col("pages").alias("host_pages"))
-    tokens = found.where("token <> 0").join(size, "host")
+    support = F.greatest(F.lit(float(MIN_PAGES)), F.col("host_pages") * LEAST)
+    tokens = found.where("token <> 0").join(size, "host").where(F.col("pages") >= support)
     classes = tokens.groupBy("host", "vector", "pages", "total").agg(F.count("*").alias("size")).where(F.col("size") >= MIN_CLASS)
     # The order of a class: by mean place, which is the same pages for all its tokens.
     rank = (F.col("places") * 2 / F.col("pages")).cast("long")
-    large = saved(spark, tokens.join(classes.drop("size"), ["host", "vector", "pages", "total"]).select(
+    large = tokens.join(classes.drop("size"), ["host", "vector", "pages", "total"]).select(
         "host", "token", (F.col("pages") == F.col("total")).alias("once"), (F.col("pages") >= FIXED * F.col("host_pages")).alias("fixed"),
-        F.xxhash64("vector", "pages", "total").alias("klass"), rank.alias("rank")), "classes")
+        F.xxhash64("vector", "pages", "total").alias("klass"), rank.alias("rank"))
+    # Texts that fewer pages share are theirs (lines of copied articles, say), not the template's.
+    container = F.col("token").bitwiseAND(F.lit(1)) == 0
+    large = saved(spark, large.where(F.col("fixed") | F.col("once") & container), "classes")
     dropped(spark, found)
 
     shape = StructType([StructField("host", StringType()), *longs("token", "pages", "disorder", "parents", "parent", "held", "around")])
@@ -519,7 +544,7 @@ def extract(source: str | None, template: dict[int, float | None], fixed: set[in
             continue
         # Outside an article, text that the host's pages share and lists of links are furniture.
         if not named and (at == 0 or elements[at].tag in ("html", "body")) and (
-                2 * linked > len(text) or fixed and xxh64_intdigest(f"{elements[k].role}:{text}") in fixed):
+                2 * linked > len(text) or fixed and text_token(elements[k], text) in fixed):
             continue
         out.append(text)
     return "\n".join(out)
@@ -544,18 +569,18 @@ def extract_main_text(spark: SparkSession, df: DataFrame, url_col: str = "url",
     pages = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{html_col}`").alias("html"),
                       url_host(F.col(f"`{url_col}`")).alias("host"))
     templates = deduce_templates(spark, pages.select("host", "html"))
-    out = _with_lists(pages, templates, "token", "once", "fixed", "share").select("row", "html", "tokens")
+    out = _with_lists(pages, templates, "token", "once", "fixed", "share").select("row", "host", "html", "tokens")
     row = out.schema["row"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(tokens: list[dict]) -> tuple[dict, set]:
+            mask = (1 << 64) - 1
+            return ({t["token"] & mask: t["share"] for t in tokens if t["once"] and t["share"] is not None},
+                    {t["token"] & mask for t in tokens if t["token"] & 1})
+
+        known = _ByHost(made)
         for b in batches:
-            texts = []
-            for source, tokens in zip(*b.columns[1:]):
-                tokens = tokens.as_py() or []
-                mask = (1 << 64) - 1
-                template = {t["token"] & mask: t["share"] for t in tokens if t["once"] and t["share"] is not None}
-                fixed = {t["token"] & mask for t in tokens if t["fixed"] and t["share"] is None}
-                texts.append(extract(source.as_py(), template, fixed))
+            texts = [extract(source.as_py(), *known.get(host.as_py(), tokens)) for host, source, tokens in zip(*b.columns[1:])]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["row", "main_text"])
 
     return out.mapInArrow(run, StructType([row, StructField("main_text", StringType())])).select("row.*", "main_text")

@@ -65,7 +65,8 @@ def brute_template(sources):
             orders = {tuple(t for t in p if t in ts) for p in pages} - {()}
             if len(orders) > 1:
                 continue
-        valid |= ts
+        fixed = 2 * sum(x > 0 for x in v) >= len(pages)
+        valid |= {t for t in ts if fixed or max(v) == 1 and not t & 1}
     return valid, {t for t in valid if max(vectors[t]) == 1}
 
 
