@@ -9,6 +9,10 @@ sys.path.insert(0, ROOT)
 SMALL = "/root/testdata/sf0.001"
 
 
+def pytest_configure(config):
+    config.addinivalue_line("markers", "slow: minutes of passes over the same rows (leave out with -m 'not slow')")
+
+
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession

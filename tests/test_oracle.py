@@ -10,7 +10,7 @@ from lateship.plans.registry import ORACLES as SQL, QUERIES, load_all  # noqa: E
 from oracle_check import canon, duck  # noqa: E402
 
 load_all()
-# minutes of passes over the same rows; smaller grids are in test_models and test_jobs
+# many passes over the same rows; smaller grids are in test_models and test_jobs
 LONG = {"train_gbt", "train_random_forest", "cross_validate_grid"}
 
 
@@ -19,7 +19,7 @@ def con(sf_dir):
     return duck(sf_dir)
 
 
-@pytest.mark.parametrize("key", sorted(set(SQL) - LONG))
+@pytest.mark.parametrize("key", [*sorted(set(SQL) - LONG), *[pytest.param(k, marks=pytest.mark.slow) for k in sorted(LONG)]])
 def test_query_matches_oracle(spark, sf_dir, con, key):
     df = QUERIES[key](spark, sf_dir)
     rows = [tuple(r) for r in df.collect()]
