@@ -24,6 +24,8 @@ from .components import dropped, saved
 ORDER = 4
 #: n-grams with their scores are broadcast up to this many rows (about 60 bytes each), else joined.
 BROADCAST_GRAMS = 400_000
+#: Characters whose n-grams are cut from one block of a text.
+GRAM_BLOCK = 512
 #: One URL text in HELD_OUT is kept for the calibration of the threshold.
 HELD_OUT = 5
 MICRO = 1_000_000
@@ -56,11 +58,17 @@ def match_rules(host: Column, path: Column, rules) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def _grams(text: Column, order: int) -> Column:
-    """The n-grams of ``order`` + 1 characters that end at each character and
-    at the end mark, the beginning filled up with begin marks."""
-    padded = F.concat(F.lit(BEGIN * order), text, F.lit(END))
-    return F.transform(F.sequence(F.lit(1), F.length(text) + 1), lambda i: F.substring(padded, i, F.lit(order + 1)))
+def _grams(rows: DataFrame, order: int, *kept: str) -> DataFrame:
+    """``(*kept, gram)``: the n-grams of ``order`` + 1 characters that end at
+    each character of ``url`` and at the end mark, the beginning filled up with
+    begin marks. They are cut from blocks of the text, because a substring
+    costs its distance from the beginning."""
+    url = F.col("url")
+    padded = F.concat(F.lit(BEGIN * order), url, F.lit(END))
+    starts = F.sequence(F.lit(0), F.floor(F.length(url) / F.lit(GRAM_BLOCK)).cast("int"))
+    blocks = F.transform(starts, lambda k: F.substring(padded, k * GRAM_BLOCK + 1, F.lit(GRAM_BLOCK + order)))
+    cut = F.transform(F.sequence(F.lit(1), F.length("__block") - order), lambda i: F.substring(F.col("__block"), i, F.lit(order + 1)))
+    return rows.select(*kept, F.explode(blocks).alias("__block")).select(*kept, F.explode(cut).alias("gram"))
 
 
 def gram_scores(spark: SparkSession, urls: DataFrame, order: int = ORDER) -> DataFrame:
@@ -72,7 +80,7 @@ def gram_scores(spark: SparkSession, urls: DataFrame, order: int = ORDER) -> Dat
     Witten and Bell: an order counts against the next lower one as its events
     against the distinct characters that followed the context.
     """
-    grams = (urls.select(F.explode(_grams(F.col("url"), order)).alias("gram"), "a", "r")
+    grams = (_grams(urls, order, "a", "r")
              .groupBy("gram").agg(F.sum("a").alias("a"), F.sum("r").alias("r")))
     grams = saved(spark, grams, "grams")
     chars = grams.groupBy(F.substring("gram", order + 1, 1).alias("c")).agg(F.sum("a").alias("a"), F.sum("r").alias("r"))
@@ -104,15 +112,15 @@ def gram_scores(spark: SparkSession, urls: DataFrame, order: int = ORDER) -> Dat
 
 
 def score_urls(urls: DataFrame, scores: DataFrame, order: int = ORDER, broadcast_grams: int = BROADCAST_GRAMS) -> DataFrame:
-    """``(url, score)``: the length-normalised log ratio of each text, in millionths.
+    """``(no, score)`` for ``urls(no, url)``: the length-normalised log ratio
+    of each text, in millionths. Only its number goes with a text's n-grams.
 
     The model is broadcast only if it has at most ``broadcast_grams`` rows;
     beyond that both sides are shuffled by n-gram.
     """
     small = scores.count() <= broadcast_grams
-    at = urls.select("url", F.explode(_grams(F.col("url"), order)).alias("gram"))
-    joined = at.join(F.broadcast(scores) if small else scores, "gram")
-    return joined.groupBy("url").agg(F.expr("sum(score) div count(*)").alias("score"))
+    joined = _grams(urls, order, "no").join(F.broadcast(scores) if small else scores, "gram")
+    return joined.groupBy("no").agg(F.expr("sum(score) div count(*)").alias("score"))
 
 
 def calibrate(scored: DataFrame) -> float:
@@ -152,8 +160,9 @@ def filter_urls(spark: SparkSession, df: DataFrame, rules, url_col: str = "url",
     Defined results: a null URL is an empty one (empty host and path, scored
     as the empty text); if the rules accept or reject nothing, the models have
     one class without counts and the threshold is zero; repeated rows are each
-    returned; an empty input gives an empty result; other columns pass
-    through, and one with a result's name is replaced.
+    returned; an empty input gives an empty result; very long URLs are scored
+    whole; other columns pass through, and one with a result's name is
+    replaced.
     """
     out = ["host", "path", "rule", "score", "threshold", "verdict"]
     kept = [F.col(f"`{c}`") for c in df.columns if c not in out]
@@ -166,11 +175,11 @@ def filter_urls(spark: SparkSession, df: DataFrame, rules, url_col: str = "url",
             .withColumns({"a": F.when(F.col("by_rule") == "allow", F.col("n")).otherwise(0),
                           "r": F.when(F.col("by_rule") == "block", F.col("n")).otherwise(0),
                           "held": F.pmod(F.xxhash64("url"), F.lit(HELD_OUT)) == 0}))
-    urls = saved(spark, urls, "urls")
+    urls = saved(spark, urls.withColumn("no", F.monotonically_increasing_id()), "urls")
     fit = urls.select("url", F.when(~F.col("held"), F.col("a")).otherwise(0).alias("a"),
                       F.when(~F.col("held"), F.col("r")).otherwise(0).alias("r"))
     scores = gram_scores(spark, fit, order)
-    scored = saved(spark, urls.join(score_urls(urls, scores, order, broadcast_grams), "url"), "scored")
+    scored = saved(spark, urls.join(score_urls(urls, scores, order, broadcast_grams), "no"), "scored")
     dropped(spark, urls, scores)
     threshold = calibrate(scored.where("held"))
     judged = scored.select(F.col("url").alias("__url"), "host", "path", "rule", (F.col("score") / MICRO).alias("score"),

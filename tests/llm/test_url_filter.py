@@ -83,13 +83,23 @@ def brute_scores(counts):
 @pytest.mark.parametrize("bound", [400_000, 1])
 def test_scores_match_brute_force(spark, bound):
     """With the model broadcast, and joined."""
-    counts = {"": (1, 0), "abab": (3, 0), "abba": (0, 2), "baab": (1, 1), "zz": (0, 0), "aba": (0, 5)}
-    urls = spark.createDataFrame([(u, *c) for u, c in counts.items()], "url string, a long, r long")
-    got = {r.url: r.score for r in score_urls(urls, gram_scores(spark, urls), broadcast_grams=bound).collect()}
+    counts = {"": (1, 0), "abab": (3, 0), "abba": (0, 2), "baab": (1, 1), "zz": (0, 0), "aba": (0, 5), "ab" * 700: (1, 0),
+              "b" * 511: (0, 1), "b" * 512: (0, 0), "é字a" * 513: (2, 1)}
+    urls = spark.createDataFrame([(i, u, *c) for i, (u, c) in enumerate(counts.items())], "no long, url string, a long, r long")
+    texts = list(counts)
+    got = {texts[r.no]: r.score for r in score_urls(urls, gram_scores(spark, urls), broadcast_grams=bound).collect()}
     want = brute_scores(counts)
     assert set(got) == set(want) and all(abs(got[u] - want[u]) <= 1 for u in want)
 
 
+def test_very_long_urls_take_little_time(spark):
+    import time
+    df = spark.createDataFrame([(1, "http://a.net/" + "é/" * 500_000), (2, "http://b.org/fr/x"), (3, "http://c.net/y")], "page_id long, url string")
+    start = time.monotonic()
+    assert {r.page_id: r.verdict for r in filter_urls(spark, df, URL_RULES).collect()} == {1: "block", 2: "allow", 3: "block"}
+    assert time.monotonic() - start < 90
+
+
 def test_calibration(spark):
     df = lambda rows: spark.createDataFrame(rows, "score long, a long, r long")
     assert calibrate(df([])) == 0.0 and calibrate(df([(5, 1, 0)])) == 0.0
