@@ -157,7 +157,7 @@ def find_benchmark_passages(spark: SparkSession, docs: DataFrame, items: DataFra
     Defined results: a null or wordless text has no words and no hits;
     wordless items match nothing; an item with a null id marks its hits but is
     not listed; no items, or an empty input, hit nothing; repeated rows are
-    each searched; other columns pass through, and a column with the name of a
+    each searched; very long texts are searched whole; other columns pass through, and a column with the name of a
     result is replaced.
     """
     out = ["n_words", "spans", "item_ids", "n_hit", "contaminated"]

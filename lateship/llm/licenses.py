@@ -108,8 +108,8 @@ def scan_licenses(df: DataFrame, text_col: str = "text", threshold: float = THRE
 
     Defined results: a null or empty text has no entries; ties between
     templates are all listed; repeated rows are each scanned; an empty input
-    gives an empty result; other columns pass through, and one named
-    ``licenses`` is replaced.
+    gives an empty result; very long texts are scanned whole; other columns
+    pass through, and one named ``licenses`` is replaced.
     """
     known = templates(notices)
     kept = [F.col(f"`{c}`") for c in df.columns if c != "licenses"]

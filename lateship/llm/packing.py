@@ -198,7 +198,8 @@ def pack_sequences(docs: DataFrame, json_path: str, ranks_path: str | None = Non
 
     Defined results: a null text is an empty one (one piece: the end id);
     repeated rows and ids are packed each on their own; a null id stays null;
-    an empty input gives no row; other columns are not read.
+    very long texts are encoded whole and cut into full windows; an empty
+    input gives no row; other columns are not read.
     """
     id_type = docs.schema[id_col].dataType
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]

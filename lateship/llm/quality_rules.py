@@ -10,7 +10,7 @@ sources or copies cannot unbalance anything.
 
 Defined results: a null text counts as an empty one (no words, ``base_failed``
 true, ``kept`` false); an empty input gives an empty result; repeated rows are
-judged each on its own; other columns pass through untouched, and a column
+judged each on its own; very long texts are judged whole; other columns pass through untouched, and a column
 that has the name of a result column is replaced by the result.
 """
 
