@@ -29,14 +29,28 @@ def events_dir(spark, sf_dir):
     return _EVENTS[key]
 
 
+#: Micro-batches of a run over stored events.
+BATCHES = 8
+
+
+def _files(spark, folder) -> int:
+    """Number of data files in ``folder``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return sum(not f.getPath().getName().startswith(("_", ".")) for f in found)
+
+
 def _lines(spark, sf_dir):
-    # up to 4 files (400k events) per micro-batch
-    return job.line_source(spark, events_dir(spark, sf_dir), max_files_per_trigger=4)
+    """All events, in up to ``BATCHES`` micro-batches of 4 files (400k events)
+    or more. Each micro-batch broadcasts the gazetteer anew, which grows with
+    the events too: batches of a fixed size would send it ever more often."""
+    folder = events_dir(spark, sf_dir)
+    return job.line_source(spark, folder, max_files_per_trigger=max(4, -(-_files(spark, folder) // BATCHES)))
 
 
 def _run(spark, df, name):
     out, ckpt = shared_dir(spark, f"{name}-out"), shared_dir(spark, f"{name}-ckpt")
-    job.run_available_now(df, ckpt, out)
+    job.run_available_now(df, ckpt, out, options={"compression": "zstd"})
     return spark.read.parquet(out)
 
 
@@ -155,7 +169,7 @@ def stream_foreach_batch_dual(spark, sf_dir):
     stream = job.scoring_stream(_lines(spark, sf_dir), gazetteer(spark, sf_dir), job.Scoring("fixed"))
     rel, docs, ckpt = (shared_dir(spark, "relational"), shared_dir(spark, "docs"),
                        shared_dir(spark, "dual-ckpt"))
-    job.run_available_now(stream, ckpt, foreach_batch=job.dual_sink(rel, docs))
+    job.run_available_now(stream, ckpt, foreach_batch=job.dual_sink(rel, docs, documents_options={"compression": "gzip"}))
     a = spark.read.parquet(rel).select("city", "region", "amount", "prediction",
                                        F.col("timestamp").isNotNull().alias("has_timestamp"), F.lit("relational").alias("target"))
     d = spark.read.schema(_DUAL_DOCUMENT).json(docs)
@@ -170,7 +184,8 @@ def stream_rotating_lines(spark, sf_dir):
     checkpoint adds nothing."""
     out, ckpt = shared_dir(spark, "rotating-out"), shared_dir(spark, "rotating-ckpt")
     for _ in range(2):
-        job.run_available_now(rotating_lines(spark, events_dir(spark, sf_dir), pattern="part-*", splitBytes=4 << 20), ckpt, out)
+        job.run_available_now(rotating_lines(spark, events_dir(spark, sf_dir), pattern="part-*", splitBytes=4 << 20), ckpt, out,
+                              options={"compression": "zstd"})
     return spark.read.parquet(out)
 
 
@@ -188,22 +203,28 @@ def stream_refreshed_gazetteer(spark, sf_dir):
     """One running query. Orders of even quantity come first, in one
     micro-batch, and are joined with the gazetteer as far as it is done; after
     that batch the rest of the gazetteer is appended, and the second batch
-    sees it."""
+    sees it. The micro-batches are files, older ones first: as many as hold
+    the even orders; the others are written to no more files than that."""
     store = VersionedTable(spark, shared_dir(spark, "refresh-gazetteer"))
     store.append(gazetteer(spark, sf_dir, done_only=True).select(*geo.GAZ_COLS), "done")
     lines = spark.read.text(events_dir(spark, sf_dir))
     quantity = F.from_json("value", "`Order Item Quantity` int")["Order Item Quantity"]
     even = F.coalesce(quantity % 2 == 0, F.lit(False))
     source, out = shared_dir(spark, "refresh-events"), shared_dir(spark, "refresh-out")
-    lines.where(even).coalesce(1).write.mode("overwrite").text(source)
-    lines.where(~even).coalesce(1).write.mode("append").text(source)
+
+    def write(part, mode):
+        part.write.mode(mode).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(source)
+
+    write(lines.where(even), "overwrite")
+    first = _files(spark, source)
+    write(lines.where(~even).coalesce(first), "append")
 
     def then(joined, batch_id):
         (joined.select("order_date", "order_city", "order_state", "order_item_total", "dest_lat", "dest_lon")
-         .withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(out))
+         .write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/batch={batch_id}"))
         store.append(gazetteer(spark, sf_dir).select(*geo.GAZ_COLS), "rest")
 
-    stream = job.parse_orders(job.line_source(spark, source, max_files_per_trigger=1), with_ingest_ts=False)
+    stream = job.parse_orders(job.line_source(spark, source, max_files_per_trigger=first), with_ingest_ts=False)
     job.run_available_now(stream, shared_dir(spark, "refresh-ckpt"), foreach_batch=job.refreshing_join(store, then))
     return spark.read.parquet(out).withColumnRenamed("batch", "round")
 

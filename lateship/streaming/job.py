@@ -239,8 +239,10 @@ def refreshing_scores(table: VersionedTable, scoring: Scoring, sink):
 
 
 def run_available_now(df: DataFrame, checkpoint: str, sink_path: str | None = None,
-                      fmt: str = "parquet", foreach_batch=None, timeout_s: float | None = None):
+                      fmt: str = "parquet", foreach_batch=None, timeout_s: float | None = None,
+                      options: dict | None = None):
     """Process everything available, then stop (``availableNow`` trigger).
+    ``options`` are the sink's, such as its compression.
 
     With ``timeout_s``, a query that has not finished by then is stopped and
     ``TimeoutError`` raised: a partial result is never returned as a whole one
@@ -251,7 +253,7 @@ def run_available_now(df: DataFrame, checkpoint: str, sink_path: str | None = No
     if foreach_batch is not None:
         q = w.foreachBatch(foreach_batch).start()
     else:
-        q = w.format(fmt).start(sink_path)
+        q = w.format(fmt).options(**(options or {})).start(sink_path)
     if timeout_s is None:
         q.awaitTermination()
     elif not q.awaitTermination(timeout_s):

@@ -171,3 +171,50 @@ def test_permissive_parse(spark):
     assert rows[0].order_city == "X" and rows[0].order_item_quantity is None
     assert all(v is None for v in rows[1])
     assert rows[2].order_item_quantity == 2
+
+
+def test_event_files_are_compressed(spark, events):
+    import gzip
+    folder = events.replace("file:", "")
+    files = [os.path.join(folder, f) for f in os.listdir(folder) if f.startswith("part-")]
+    plain = sum(len(gzip.open(f).read()) for f in files)
+    assert 5 * sum(os.path.getsize(f) for f in files) < plain
+
+
+def test_number_of_batches_does_not_grow_with_the_files(spark, monkeypatch):
+    from lateship.plans import q_stream
+    folder = shared_dir(spark, "t-many")
+    spark.range(100).selectExpr("cast(id as string) AS value").repartition(40).write.mode("overwrite").text(folder)
+    monkeypatch.setattr(q_stream, "events_dir", lambda spark, sf_dir: folder)
+    seen = []
+    lines = q_stream._lines(spark, "any")
+    job.run_available_now(lines, shared_dir(spark, "t-many-ckpt"), foreach_batch=lambda b, k: seen.append(b.count()))
+    assert sum(seen) == 100 and len(seen) == q_stream.BATCHES
+
+
+def test_refreshed_gazetteer_in_two_batches_of_several_files(spark, monkeypatch):
+    """Also with more odd orders than even ones, and with each half in several files."""
+    from lateship.plans import q_stream
+    from lateship.sources import fixtures
+    folder = shared_dir(spark, "t-halves")
+    event = F.to_json(F.struct(F.concat(F.lit("C"), F.col("id")).alias("Order City"), F.lit("S").alias("Order State"),
+                               F.when(F.col("id") < 40, 2).otherwise(1).alias("Order Item Quantity")))
+    spark.range(0, 200, 1, 20).select(event.alias("value")).write.mode("overwrite").text(folder)
+    monkeypatch.setattr(q_stream, "events_dir", lambda spark, sf_dir: folder)
+    row = "order_city string, order_state string, dest_lat double, dest_lon double"
+    done = [(f"C{i}", "S", 1.0, 1.0) for i in range(0, 200, 2)]
+    whole = done + [(f"C{i}", "S", 1.0, 1.0) for i in range(1, 200, 2)]
+    monkeypatch.setattr(q_stream, "gazetteer", lambda spark, sf_dir, done_only=False: spark.createDataFrame(done if done_only else whole, row))
+    written = []
+    batches = q_stream.job.line_source
+    monkeypatch.setattr(q_stream.job, "line_source", lambda spark, path, **kw: written.append(path) or batches(spark, path, **kw))
+    old = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(64 << 20))
+    try:
+        out = q_stream.stream_refreshed_gazetteer(spark, "any")
+        got = {(r["round"], r.found): r.n for r in out.groupBy("round", F.col("dest_lat").isNotNull().alias("found")).agg(F.count("*").alias("n")).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", old)
+    assert got == {(0, True): 20, (0, False): 20, (1, True): 160}
+    files = [f for f in os.listdir(written[0].replace("file:", "")) if f.startswith("part-")]
+    assert len(files) > 2 and all(f.endswith(".gz") for f in files)
