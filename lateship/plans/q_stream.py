@@ -240,8 +240,9 @@ def stream_replay_connector(spark, sf_dir):
     files, connected, ledger = shared_dir(spark, "replay-files"), shared_dir(spark, "replay-connector"), shared_dir(spark, "replay-ledger")
     # a source named by its class is any connector to the sink: it appends
     connector = "org.apache.spark.sql.execution.datasources.parquet.ParquetFileFormat"
-    sinks = [job.dual_sink(documents_path=files, documents_format="parquet"),
-             job.dual_sink(documents_path=connected, documents_format=connector, ledger_path=ledger)]
+    options = {"compression": "zstd"}
+    sinks = [job.dual_sink(documents_path=files, documents_format="parquet", documents_options=options),
+             job.dual_sink(documents_path=connected, documents_format=connector, documents_options=options, ledger_path=ledger)]
 
     def twice(batch, batch_id):
         for _ in range(2):
