@@ -181,6 +181,23 @@ def test_event_files_are_compressed(spark, events):
     assert 5 * sum(os.path.getsize(f) for f in files) < plain
 
 
+def test_prepared_rows_are_compressed_well(spark, sf_dir):
+    """What many queries write once: the prepared tables and training rows."""
+    from lateship.ml import train as T
+    from lateship.sources.fixtures import order_items
+    rows = order_items(spark, sf_dir)
+    small = T.train_and_select(spark.range(400).selectExpr("id", "rand(1) AS x", "cast(id % 2 AS string) AS c", "cast(id % 3 = 0 AS int) AS y"),
+                               "Logistic Regression", ["id"], ["x"], ["c"], "y")
+    for df in (rows, small.train):
+        assert df.inputFiles() and all(f.endswith(".zstd.parquet") for f in df.inputFiles())
+
+
+def test_replayed_documents_are_compressed_well(spark, sf_dir):
+    from lateship.plans import q_stream
+    files = q_stream.stream_replay_connector(spark, sf_dir).inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
 def test_number_of_batches_does_not_grow_with_the_files(spark, monkeypatch):
     from lateship.plans import q_stream
     folder = shared_dir(spark, "t-many")
