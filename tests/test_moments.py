@@ -106,3 +106,42 @@ def test_only_the_longest_boosting_is_fitted():
     assert all(p[est.maxIter] == 50 for p, _ in fits) and all(t == grid[i][est.maxIter] for _, points in fits for i, t in points)
     est, grid = T.classifier_and_grid("Logistic Regression", grid={"regParam": [0.1, 0.2]})
     assert [points for _, points in T._fits(est, grid)] == [[(0, None)], [(1, None)]]
+
+
+@pytest.mark.parametrize("reg", [0.001, 0.3])
+def test_newton_fit_equals_the_fit_on_vectors(spark, rows, reg):
+    """Coefficients, intercept and cross-validated area of MLlib's fits on
+    prepared vectors, with missing numbers and labels and a label that only
+    one fold holds; no vectors are prepared for the fit."""
+    odd = F.when((F.col("fold") == 0) & (F.col("id") % 50 == 0), "rare").otherwise(F.col("c"))
+    train = rows.withColumn("c", odd).cache()
+    cols, stats = ["x", "const"], fold_statistics(train, ["x", "const"], CAT)
+    est, grid = T.classifier_and_grid("Logistic Regression", "y", grid={"regParam": [reg]}, features="features_scaled")
+    assert T.applies(est, grid, CAT, cols, merged(stats))
+    metrics, fits, layout = T.newton_search(train, stats, cols, CAT, est, grid, 3, "y")
+    mine = T.fitted_model(spark, est, grid[0], fits[0], layout)
+    ref = LogisticRegression(featuresCol="features_scaled", labelCol="y", regParam=reg, tol=1e-10)
+    theirs = ref.fit(PipelineModel(stages=fitted_stages(spark, merged(stats), cols, CAT)).transform(train))
+    assert np.abs(mine.coefficients.toArray() - theirs.coefficients.toArray()).max() < 1e-5
+    assert abs(mine.intercept - theirs.intercept) < 1e-5 and mine.getOrDefault("regParam") == reg
+    assert abs(metrics[0] - T.cross_validate(train, stats, cols, CAT, ref, [{}], 3, "y")[0]) < 1e-4
+
+
+def test_two_folds_and_the_refit_share_the_passes(spark, rows, monkeypatch):
+    from lateship.ml import logistic
+    passes, one = [], logistic._pass
+    monkeypatch.setattr(logistic, "_pass", lambda *a: passes.append(len(a[2])) or one(*a))
+    monkeypatch.setattr(LogisticRegression, "fit", lambda *a: pytest.fail("prepared vectors"))
+    r = T.train_and_select(rows, "Logistic Regression", ["id"], ["x", "const"], CAT, label="y")
+    assert passes[0] == 3 and len(passes) <= 8
+    r.release()
+
+
+def test_other_logistic_fits_are_left_to_mllib(spark, rows):
+    stats = merged(fold_statistics(rows, NUM, CAT))
+    of = lambda **grid: T.classifier_and_grid("Logistic Regression", grid=grid)
+    assert T.applies(*of(elasticNetParam=[0.0]), CAT, NUM, stats) and not T.applies(*of(elasticNetParam=[0.5]), CAT, NUM, stats)
+    assert not T.applies(*of(maxIter=[3]), CAT, NUM, stats) and not T.applies(*T.classifier_and_grid("Random Forest"), CAT, NUM, stats)
+    three = rows.withColumn("y", F.col("id") % 3)
+    est, grid = T.classifier_and_grid("Logistic Regression", "y")
+    assert T.newton_search(three, fold_statistics(rows, ["x"], CAT), ["x"], CAT, est, grid, 3, "y") is None
