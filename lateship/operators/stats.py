@@ -277,8 +277,22 @@ def boxplot_stats(df: DataFrame, cols: list[str], whisker: float = 1.5,
     of one sketch pass, and no exact work); whiskers are the furthest data
     points within ``whisker x IQR`` of the box; outliers are the points
     beyond. With the quartiles known, one aggregate over all columns gives
-    the rest. Columns without values are absent.
+    the rest. Columns without values are absent. Exact statistics read the
+    rows four times, so the columns are written once to the shared folder:
+    what ``df`` joins or computes is not repeated.
     """
+    if not exact or not cols:
+        return _boxplot(df, cols, whisker, exact)
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, "boxplot-columns")
+    try:
+        df.select(*dict.fromkeys(cols)).write.mode("overwrite").option("compression", "zstd").parquet(path)
+        return _boxplot(spark.read.parquet(path), cols, whisker, exact)
+    finally:
+        delete_path(spark, path)
+
+
+def _boxplot(df: DataFrame, cols: list[str], whisker: float, exact: bool) -> DataFrame:
+    """A local table: nothing of ``df`` is read later."""
     probs = [0.25, 0.5, 0.75]
     if exact:
         box: dict[str, dict] = {}

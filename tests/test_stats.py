@@ -150,3 +150,17 @@ def test_approximate_box_plot_does_no_exact_work(spark, monkeypatch):
     monkeypatch.setattr(stats, "_bracket_counts", lambda *a: 1 / 0)
     df = spark.range(2000).selectExpr("CAST(id AS DOUBLE) AS x")
     assert stats.boxplot_stats(df, ["x"], exact=False).first()["n"] == 2000
+
+
+def test_exact_boxplot_computes_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return float(x)
+
+    df = spark.range(300, numPartitions=3).select(counted.asNondeterministic()("id").alias("x"))
+    r = stats.boxplot_stats(df, ["x"]).first()
+    assert r["n"] == 300 and r["median"] == 149.5 and seen.value == 300
+    assert stats.boxplot_stats(df, []).count() == 0
